@@ -7,6 +7,7 @@ import tempfile
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -165,3 +166,17 @@ def text_bytes(docs: DataFrame, column: str = "text") -> tuple[int, int]:
     """Rows and UTF-8 bytes of a text column, over all rows."""
     row = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(column)).alias("b")).first()
     return row["n"], row["b"] or 0
+
+
+def byte_slices(batches, limit: int, column: str = "text"):
+    """Arrow record batches cut into runs of rows whose texts hold at most `limit` bytes; a longer text stands alone."""
+    for b in batches:
+        size = np.array([0 if t is None else t for t in pc.binary_length(b.column(column).cast(pa.large_binary())).to_pylist()], np.int64)
+        a, held = 0, 0
+        for i, n in enumerate(size.tolist()):
+            if i > a and held + n > limit:
+                yield b.slice(a, i - a)
+                a, held = i, 0
+            held += n
+        if b.num_rows > a or b.num_rows == 0:
+            yield b.slice(a)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import substring_dedup
+from . import langid, ngram_join, packing, substring_dedup, token_count, token_file
 
 
 def _on(table: str, f: Callable[..., DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -15,11 +15,17 @@ def _on(table: str, f: Callable[..., DataFrame]) -> Callable[[SparkSession, str]
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_token_count": _on("documents", token_count.op2_token_count),
         "op4_substring_dedup": _on("documents", substring_dedup.op4_substring_dedup),
+        "op6_ngram_join": _on("documents", ngram_join.op6_ngram_join),
+        "op7_packing": _on("documents", packing.op7_packing),
+        "op9_token_file": _on("documents", token_file.op9_token_file),
+        "op10_language_id": _on("documents", langid.op10_language_id),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_substring_dedup": substring_dedup.SQL,
+        "op6_ngram_join": ngram_join.SQL,
     }
