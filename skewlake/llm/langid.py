@@ -209,5 +209,26 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     return plain(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def keep_known(docs: DataFrame, least: float = 0.3) -> DataFrame:
+    """The documents, with all their columns, whose language is told with a score of at least `least`; `und` goes.
+
+    The network is trained on these documents' labels (held-out ones excepted); a document's own label never counts.
+    """
+    net = train(docs)
+
+    @F.arrow_udf("boolean")
+    def known(texts: pa.Array) -> pa.Array:
+        out = []
+        for b in byte_slices([pa.RecordBatch.from_arrays([texts], ["text"])], 8 << 20):
+            lettered = np.array([t is not None and LETTER.search(t) is not None for t in b.column("text").to_pylist()], bool)
+            if net and lettered.any():
+                total, count = net.documents(b.column("text"))
+                lettered &= total.max(1) >= least * np.maximum(count, 1)
+            out.append(pa.array(lettered & bool(net), pa.bool_()))
+        return pa.concat_arrays(out)
+
+    return docs.filter(known(F.col("text").cast("string")))
+
+
 def op10_language_id(docs: DataFrame) -> DataFrame:
     return identify(docs, train(docs)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

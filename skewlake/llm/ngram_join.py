@@ -267,6 +267,19 @@ def _large(rows: DataFrame, percent: int, most: int) -> DataFrame:
     return one.union(two).union(three)
 
 
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """The documents, with all their columns, of which each group keeps that with the smallest doc_id.
+
+    Rows without a doc_id stay. Of rows that repeat a kept doc_id and its text one stays.
+    """
+    groups = cut(ngram_groups(docs, **options).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("low"), F.count(F.lit(1)).alias("n")))
+    gone = groups.filter("low < doc_id").select("doc_id")
+    out = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    if groups.filter("n > 1 AND low = doc_id").isEmpty():
+        return out
+    return out.filter("doc_id IS NULL").unionByName(out.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]))
+
+
 def op6_ngram_join(docs: DataFrame) -> DataFrame:
     return ngram_groups(docs)
 

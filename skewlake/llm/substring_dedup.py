@@ -57,7 +57,7 @@ def _windows(words: Words, ids: np.ndarray, window: int) -> tuple[np.ndarray, np
     return at, h[at]
 
 
-def dedup_substrings(docs: DataFrame, window: int = 13, block_bytes: int = 6 << 20) -> DataFrame:
+def dedup_substrings(docs: DataFrame, window: int = 13, block_bytes: int = 6 << 20, carry: bool = False) -> DataFrame:
     """Parse every document against the reference blocks of all documents with a smaller doc_id, and drop what is copied.
 
     Blocks are ranges of doc_id. Each block is indexed by the hashes of its `window`-word windows; the index is
@@ -72,8 +72,15 @@ def dedup_substrings(docs: DataFrame, window: int = 13, block_bytes: int = 6 <<
     Null or empty text: no words, kept is empty. Null doc_id: neither copies nor is copied. Rows with the same doc_id
     do not copy from each other and each give a row. An empty table gives no rows. Extra columns are not read.
     Window hashes have 64 bits: over 10^10 windows about three are expected to be taken for another.
+
+    With carry, the input's columns come back instead, with text replaced in the documents that lose words.
     """
-    docs, n = _blocks(plain(docs, doc_id="long", text="string"), block_bytes)
+    names, kinds = docs.columns, dict(docs.dtypes)
+    rest = [c for c in names if c not in ("doc_id", "text")] if carry else []
+    packed = F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)]).alias("rest")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *([packed] if carry else []))
+    docs, n = _blocks(docs, block_bytes)
+    out = OUT + (f", rest {dict(docs.dtypes)['rest']}, old string" if carry else "")
     buckets = min(n, MAX_BUCKETS)
 
     def index(key: tuple, table: pa.Table) -> pa.Table:
@@ -106,6 +113,7 @@ def dedup_substrings(docs: DataFrame, window: int = 13, block_bytes: int = 6 <<
 
     def parse(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         ids, texts = _sorted_block(table)
+        order = pa.array(np.argsort(table.column("doc_id").combine_chunks().fill_null(NULL_ID).to_numpy(zero_copy_only=False), kind="stable"))
         words = Words(texts)
         at, h = _windows(words, ids, window)
         distinct, first, inverse = np.unique(h, return_index=True, return_inverse=True)
@@ -146,11 +154,16 @@ def dedup_substrings(docs: DataFrame, window: int = 13, block_bytes: int = 6 <<
         per_doc = np.concatenate([[0], np.cumsum(np.bincount(d[lead], minlength=len(ids)))]) if len(ids) else np.zeros(1)
         items = pa.StructArray.from_arrays([pa.array(w[lead] - words.first[d[lead]], pa.int64()), pa.array(run + window - 1, pa.int64()), pa.array(b[lead], pa.int64())], fields=list(FACTOR.value_type))
         factors = pa.ListArray.from_arrays(pa.array(per_doc.astype(np.int32)), items)
-        return pa.table({"doc_id": pa.array(ids, pa.int64(), mask=ids == NULL_ID), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept": pa.array([raw[x:y] for x, y in zip(starts.tolist(), ends.tolist(), strict=True)], pa.binary()).cast(pa.string()), "factors": factors.cast(FACTOR)})
+        more = {"rest": table.column("rest").combine_chunks().take(order), "old": texts} if carry else {}
+        return pa.table({"doc_id": pa.array(ids, pa.int64(), mask=ids == NULL_ID), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept": pa.array([raw[x:y] for x, y in zip(starts.tolist(), ends.tolist(), strict=True)], pa.binary()).cast(pa.string()), "factors": factors.cast(FACTOR), **more})
 
     messages = docs.groupBy("block").applyInArrow(index, "bucket long, block long, body binary")
     answers = messages.groupBy("bucket").applyInArrow(match, "bucket long, block long, hits binary, source binary")
-    return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(parse, OUT)
+    found = docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(parse, out)
+    if not carry:
+        return found
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("old"))
+    return found.select(*[F.col("doc_id").cast(kinds[c]).alias(c) if c == "doc_id" else text.cast(kinds[c]).alias(c) if c == "text" else F.col(f"rest.c{rest.index(c)}").alias(c) for c in names])
 
 
 def op4_substring_dedup(docs: DataFrame) -> DataFrame:
