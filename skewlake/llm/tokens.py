@@ -4,22 +4,71 @@ from __future__ import annotations
 
 import json
 import os
-
-import numpy as np
+from array import array
 
 #: Runs kept by a worker; beyond it the table starts afresh.
-KEPT = 400_000
+KEPT = 1_200_000
+#: Signs that may follow a word; with them split off, the word itself is often known.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def byte_letters() -> dict[int, int]:
+    """The letters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from 256 on in order."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
+
+
 _OPEN: dict[str, Encoder] = {}
 
 
+class Runs(dict):
+    """Ids of runs without white space, each with `lead` before it, encoded when first asked for.
+
+    A run of Latin-1 letters, and signs after it, is one pre-token and perhaps a second of signs: the first is given
+    straight to the library's model (such letters are normalised by lowering alone). Any other run is encoded whole.
+    """
+
+    def __init__(self, owner: Encoder, lead: str = "", lower: bool = False):
+        self.owner, self.lead, self.lower, self.signs = owner, lead, lower, {}
+
+    def __missing__(self, run: str | bytes) -> bytes | None:
+        if len(self) >= KEPT:
+            self.clear()
+        self[run] = out = self._encode(run if isinstance(run, str) else run.decode(), type(run))
+        return out
+
+    def _encode(self, run: str, kind: type) -> bytes | None:
+        owner = self.owner
+        if owner.kind == "blank":
+            if run[:1] == "\n":
+                ids = owner.first[run[1:]]
+                return None if ids is None else owner.line + ids
+            # white space of another kind at the edge of a run may belong to a longer run: such texts are encoded whole
+            if run[:1].isspace() or run[-1:].isspace():
+                return None
+        word = run.rstrip(SIGNS)
+        if not (word.isalpha() and (word.isascii() or max(word) < "\u0100")):
+            return owner.whole(self.lead + run)
+        if len(word) < len(run):
+            signs = run[len(word) :]
+            if signs not in self.signs:
+                if len(self.signs) >= KEPT:
+                    self.signs.clear()
+                self.signs[signs] = owner.whole(signs)
+            return self[word if kind is str else word.encode()] + self.signs[signs]
+        text = self.lead + (word.lower() if self.lower else word)
+        return array("I", [t.id for t in owner.model.tokenize(text.encode().decode("latin-1").translate(owner.letters))]).tobytes()
+
+
 class Encoder:
     """Ids of whole texts, equal to those that the library gives for the text (no added special tokens).
 
-    A run between ASCII white space is encoded by the library once and kept. This is exact for two kinds of tokenizer, which
-    are told by their file: those that drop white space (kind "dropped"; special tokens hold no white space, and no
-    normaliser step joins characters across it), and byte-level ones whose pieces take one blank before a word (kind
-    "blank"; texts with longer runs of white space, or white space at an end, go to the library whole). Any other file
-    (kind "whole") has every text encoded whole.
+    A run between white space is encoded by the library once and kept. This is exact for two kinds of tokenizer, which are
+    told by their file: those that drop white space (kind "dropped"; special tokens hold no white space, and no normaliser
+    step joins characters across it), and byte-level ones whose pieces take one blank before a word (kind "blank"; texts
+    with longer runs of white space, or white space at an end, go to the library whole). Any other file (kind "whole") has
+    every text encoded whole.
     """
 
     def __init__(self, path: str):
@@ -41,74 +90,33 @@ class Encoder:
             self.kind = "dropped"
         elif norm is None and pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]:
             self.kind = "blank"
-        self.runs: dict[bytes, bytes] = {}
-        self.first: dict[str, bytes | None] = {}
-        self.after: dict[str, bytes | None] = {}
-        self.line = self._ids(["\n"])[0]
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for i in range(0, len(texts), 20_000):
-            out += [np.array(x.ids, "<u4").tobytes() for x in self.library.encode_batch_fast(texts[i : i + 20_000], add_special_tokens=False)]
-        return out
+        self.model, self.letters = self.library.model, byte_letters()
+        self.line = self.whole("\n")
+        self.runs, self.first, self.after = Runs(self, lower=True), Runs(self), Runs(self, " ")
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, one after the other; null is empty."""
-        texts = ["" if t is None else t for t in texts]
-        return getattr(self, f"_{self.kind}")(texts)
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return self._ids(texts)
-
-    def _dropped(self, texts: list[str]) -> list[bytes]:
-        split = [t.encode().split() for t in texts]
-        new = list(set().union(*split) - self.runs.keys()) if split else []
-        if len(self.runs) + len(new) > KEPT:
-            self.runs.clear()
-            new = list(set().union(*split))
-        self.runs.update(zip(new, self._ids([x.decode() for x in new]), strict=True))
-        runs = self.runs
-        return [b"".join([runs[x] for x in s]) for s in split]
+        one = {"dropped": self._dropped, "blank": self._blank, "whole": self.whole}[self.kind]
+        return [one(t) if t else b"" for t in texts]
+
+    def _dropped(self, text: str) -> bytes:
+        return b"".join(map(self.runs.__getitem__, text.encode().split()))
 
     def pieces(self, runs: list[bytes]) -> list[int]:
         """Number of ids of each run (kind "dropped"), each counted once."""
-        if len(self.runs) > KEPT:
-            self.runs.clear()
-        new = [x for x in dict.fromkeys(runs) if x not in self.runs]
-        self.runs.update(zip(new, self._ids([x.decode() for x in new]), strict=True))
         return [len(self.runs[x]) // 4 for x in runs]
 
-    def _blank(self, texts: list[str]) -> list[bytes]:
-        plain = [bool(t) and t[0] not in " \n" and t[-1] not in " \n" and not ("  " in t or " \n" in t or "\n " in t or "\n\n" in t or any(s in t for s in self.special)) for t in texts]
-        split = [[line.split(" ") for line in t.split("\n")] if p else [] for t, p in zip(texts, plain, strict=True)]
-        heads, tails = {line[0] for s in split for line in s}, set()
-        for s in split:
-            for line in s:
-                tails.update(line[1:])
-        for held, seen, lead in ((self.first, heads, ""), (self.after, tails, " ")):
-            if len(held) + len(seen) > KEPT:
-                held.clear()
-            new = [x for x in seen if x not in held]
-            # white space of another kind at the edge of a run may belong to a longer run: such texts are encoded whole
-            held.update(zip(new, self._ids([lead + x for x in new]), strict=True))
-            held.update({x: None for x in new if x[0].isspace() or x[-1].isspace()})
-        first, after, line_end = self.first.__getitem__, self.after.__getitem__, self.line
-        out: list[bytes | None] = []
-        for p, s in zip(plain, split, strict=True):
-            if not p:
-                out.append(None)
-                continue
-            ids: list[bytes | None] = []
-            for line in s:
-                ids.append(first(line[0]))
-                ids.extend(map(after, line[1:]))
-                ids.append(line_end)
-            ids.pop()
-            out.append(None if None in ids else b"".join(ids))
-        rest = [i for i, x in enumerate(out) if x is None]
-        for i, x in zip(rest, self._ids([texts[i] for i in rest]), strict=True):
-            out[i] = x
-        return out
+    def _blank(self, text: str) -> bytes:
+        if text[0] in " \n" or text[-1] in " \n" or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or any(s in text for s in self.special):
+            return self.whole(text)
+        head, *rest = text.replace("\n", " \n").split(" ")
+        try:
+            return b"".join([self.first[head], *map(self.after.__getitem__, rest)])
+        except TypeError:  # a run that can't be told apart
+            return self.whole(text)
 
 
 def encoder(path: str) -> Encoder:
