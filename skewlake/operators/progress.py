@@ -9,7 +9,6 @@ from .. import config
 from ..functions import scalars as S
 
 COUNTED = ["IN_PROGRESS", "RETRY", "FAILED"]
-FINISHED = F.col("status").startswith("VERIFIED_") | (F.col("status") == "COMPLETE")
 
 
 def checkpoint_state(log: DataFrame, key: list[str], order: str, ts: str, budget: int = config.RETRY_BUDGET, count_in_progress: bool = True) -> DataFrame:
@@ -19,10 +18,11 @@ def checkpoint_state(log: DataFrame, key: list[str], order: str, ts: str, budget
     before the shuffle. RETRY with its budget used up is FAILED; a RETRY within the budget waits for its backoff.
     """
     counted = COUNTED if count_in_progress else [s for s in COUNTED if s != "IN_PROGRESS"]
+    finished = F.col("status").startswith("VERIFIED_") | (F.col("status") == "COMPLETE")
     out = log.groupBy(*key).agg(
         F.count_if(F.col("status").isin(counted)).cast("int").alias("attempts"),
         F.max_by(F.struct("status", F.col(ts).alias("at")), F.col(order)).alias("last"),
-        F.max_by(F.when(FINISHED, F.col(ts)), F.when(FINISHED, F.col(order))).alias("completed_at"),
+        F.max_by(F.when(finished, F.col(ts)), F.when(finished, F.col(order))).alias("completed_at"),
     )
     exhausted = (F.col("last.status") == "RETRY") & (F.col("attempts") >= budget)
     status = F.when(exhausted, "FAILED").otherwise(F.col("last.status"))

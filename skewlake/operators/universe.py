@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 
-SIDES = F.array(F.lit("C"), F.lit("P"))
+
+def sides() -> Column:
+    return F.array(F.lit("C"), F.lit("P"))
 
 
 def chain_union(chains: DataFrame, by: str, arrays: list[str]) -> DataFrame:
@@ -40,12 +42,12 @@ def target_grid(config: DataFrame) -> DataFrame:
     """Each symbol's tenors by deltas by calls and puts."""
     grid = config.select("symbol", F.explode("tenors_dte").alias("target_tenor_dte"), "deltas_abs")
     grid = grid.select("symbol", "target_tenor_dte", F.explode("deltas_abs").alias("target_delta_abs"))
-    return grid.withColumn("option_type", F.explode(SIDES)).withColumn("target_delta", S.signed_target(F.col("target_delta_abs"), F.col("option_type")))
+    return grid.withColumn("option_type", F.explode(sides())).withColumn("target_delta", S.signed_target(F.col("target_delta_abs"), F.col("option_type")))
 
 
 def contract_universe(strikes: DataFrame, expiries: DataFrame, by: list[str]) -> DataFrame:
     """Strikes by expiries by calls and puts of one symbol (and day), never across symbols."""
-    return strikes.join(expiries, by).withColumn("option_type", F.explode(SIDES))
+    return strikes.join(expiries, by).withColumn("option_type", F.explode(sides()))
 
 
 def nearest(groups: DataFrame, chain: DataFrame, by: list[str], value: str, gap: Column, out: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
@@ -15,8 +15,6 @@ from ..operators import clean, universe
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-ASOF = F.lit("2024-01-02").cast("date")
-NOW = F.lit("2024-01-20 12:00:00").cast("timestamp")
 TENORS, DELTAS = [45, 100, 170, 400], [0.1, 0.2]
 
 #: Cleaned quotes, in SQL.
@@ -47,6 +45,14 @@ STATES = """states AS (SELECT batch_id, contract_id, attempts, CASE WHEN st = 'R
     arg_max(ts, attempt_seq) FILTER (WHERE status = 'COMPLETE' OR status LIKE 'VERIFIED_%') AS completed_at FROM fx_attempts GROUP BY ALL))"""
 
 
+def asof() -> Column:
+    return F.lit("2024-01-02").cast("date")
+
+
+def now() -> Column:
+    return F.lit("2024-01-20 12:00:00").cast("timestamp")
+
+
 def query(sql: str | None = None, name: str | None = None) -> Callable:
     """Register a function of (spark, sf_dir) under its name, with its SQL."""
 

@@ -8,7 +8,7 @@ from .. import config
 from ..functions import pricing
 from ..operators import clean, joins, progress
 from ..operators import universe as U
-from .base import ASOF, CQ, NOW, STATES, S, attempts, bars, cleaned, daily, expiries, query, quotes, strikes, table, view
+from .base import asof, CQ, now, STATES, S, attempts, bars, cleaned, daily, expiries, query, quotes, strikes, table, view
 
 QUOTE_COLUMNS = ["symbol", "snapshot_time", "expiry", "strike", "option_type"]
 
@@ -56,7 +56,7 @@ def what_to_show(spark, d):
 @query("SELECT symbol, expiry, CASE WHEN symbol = 'SPX' AND expiry - DATE '2024-01-02' <= 30 THEN 'SPXW' END AS trading_class FROM (SELECT DISTINCT CASE WHEN symbol = 'S1' THEN 'SPX' ELSE symbol END AS symbol, expiry FROM fx_quotes)")
 def trading_class(spark, d):
     q = quotes(spark, d).select(F.when(F.col("symbol") == "S1", "SPX").otherwise(F.col("symbol")).alias("symbol"), "expiry").distinct()
-    return q.withColumn("trading_class", S.trading_class(F.col("symbol"), S.dte(F.col("expiry"), ASOF)))
+    return q.withColumn("trading_class", S.trading_class(F.col("symbol"), S.dte(F.col("expiry"), asof())))
 
 
 @query("SELECT doc_id, left(text, 500) AS error_message FROM documents")
@@ -89,13 +89,13 @@ FROM (SELECT contract_id, max(CASE WHEN status = 'COMPLETE' THEN ts END) AS last
 def min_interval_gate(spark, d):
     log = attempts(spark, d)
     done = progress.last_completed(log, "contract_id", "ts", "COMPLETE")
-    return progress.min_interval_gate(log.select("contract_id").distinct(), done, "contract_id", NOW, 6)
+    return progress.min_interval_gate(log.select("contract_id").distinct(), done, "contract_id", now(), 6)
 
 
 @query(f"WITH {STATES} SELECT batch_id, contract_id, status, backoff_until FROM states WHERE status IN ('PENDING', 'RETRY', 'IN_PROGRESS') AND (backoff_until IS NULL OR backoff_until <= TIMESTAMP '2024-01-20 12:00:00')")
 def queue_eligible(spark, d):
     states = progress.checkpoint_state(attempts(spark, d), ["batch_id", "contract_id"], "attempt_seq", "ts")
-    return progress.queue_eligible(states, NOW.cast("timestamp_ntz")).select("batch_id", "contract_id", "status", "backoff_until")
+    return progress.queue_eligible(states, now().cast("timestamp_ntz")).select("batch_id", "contract_id", "status", "backoff_until")
 
 
 @query("SELECT d AS asof, d - CASE WHEN isodow(d) = 7 THEN 2 ELSE 1 END AS start_date FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events)")
@@ -127,7 +127,7 @@ def duration_days(spark, d):
 
 @query("SELECT DISTINCT symbol, expiry, CAST(expiry - DATE '2024-01-02' AS INTEGER) AS dte FROM fx_quotes")
 def dte(spark, d):
-    return expiries(spark, d).withColumn("dte", S.dte(F.col("expiry"), ASOF))
+    return expiries(spark, d).withColumn("dte", S.dte(F.col("expiry"), asof()))
 
 
 @query("""SELECT symbol, snapshot_time, expiry, strike, option_type, m AS moneyness, coalesce(abs(m - 1) < 0.01, false) AS is_atm
@@ -149,7 +149,7 @@ OFFSET = """round((CASE WHEN dl >= 0.4 THEN 0.012 WHEN dl >= 0.3 THEN 0.021 WHEN
 @query(f"SELECT symbol, expiry, dl AS delta, option_type, {OFFSET} AS offset_ratio FROM (SELECT DISTINCT symbol, expiry, abs(delta) AS dl, option_type FROM fx_quotes WHERE delta IS NOT NULL)")
 def moneyness_offset(spark, d):
     q = quotes(spark, d).filter("delta IS NOT NULL").select("symbol", "expiry", F.abs("delta").alias("delta"), "option_type").distinct()
-    return q.withColumn("offset_ratio", F.round(S.moneyness_offset(F.col("delta"), S.dte(F.col("expiry"), ASOF), F.col("option_type")), 8))
+    return q.withColumn("offset_ratio", F.round(S.moneyness_offset(F.col("delta"), S.dte(F.col("expiry"), asof()), F.col("option_type")), 8))
 
 
 @query("SELECT p_partkey, option_type, CASE WHEN option_type = 'C' THEN sigma ELSE -sigma END AS target_delta FROM fx_pricing")

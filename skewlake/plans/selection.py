@@ -10,7 +10,7 @@ from ..operators import clean, progress
 from ..operators import select as P
 from ..operators import universe as U
 from ..sources import tables as T
-from .base import ASOF, CQ, GRID, STATUS, S, cleaned, expiries, grid, query, quotes, spots, strikes
+from .base import asof, CQ, GRID, STATUS, S, cleaned, expiries, grid, query, quotes, spots, strikes
 
 BY = ["symbol", "snapshot_time", "option_type", "target_tenor_dte", "target_delta_abs"]
 
@@ -30,7 +30,7 @@ def target_grid(spark, d):
 
 @query(f"WITH {CQ}, {GRID} SELECT * FROM ne")
 def nearest_expiry(spark, d):
-    return U.nearest_expiry(grid(spark, d).select("symbol", "target_tenor_dte").distinct(), expiries(spark, d), ASOF)
+    return U.nearest_expiry(grid(spark, d).select("symbol", "target_tenor_dte").distinct(), expiries(spark, d), asof())
 
 
 @query("""SELECT g.symbol, g.guess, arg_min(s.strike, abs(s.strike - g.guess) * 1000000 + s.strike) AS selected_strike FROM (SELECT DISTINCT symbol, underlying_price + v AS guess FROM fx_quotes, (SELECT CAST(unnest([-7.5, 0.5, 9]) AS DOUBLE) AS v)) g
@@ -43,12 +43,12 @@ def nearest_strike(spark, d):
 @query(f"WITH {CQ}, {GRID} SELECT symbol, snapshot_time, target_tenor_dte, target_delta_abs, option_type, 'MISSING_NO_CANDIDATE' AS status FROM plan WHERE symbol = 'S1'")
 def missing_targets(spark, d):
     """Targets that no expiry serves: those of a symbol whose chain is left out."""
-    plan = P.plan_targets(quotes(spark, d), grid(spark, d), ASOF, expiries(spark, d).filter(F.col("symbol") != "S1"))
+    plan = P.plan_targets(quotes(spark, d), grid(spark, d), asof(), expiries(spark, d).filter(F.col("symbol") != "S1"))
     return plan.filter("selected_expiry IS NULL").select("symbol", "snapshot_time", "target_tenor_dte", "target_delta_abs", "option_type", F.lit("MISSING_NO_CANDIDATE").alias("status"))
 
 
 def _plan(spark, d) -> DataFrame:
-    return P.plan_targets(quotes(spark, d), grid(spark, d), ASOF)
+    return P.plan_targets(quotes(spark, d), grid(spark, d), asof())
 
 
 RANKED = "rk AS (SELECT symbol, strike, row_number() OVER (PARTITION BY symbol ORDER BY strike) AS place FROM (SELECT DISTINCT symbol, strike FROM fx_quotes)), sp AS (SELECT DISTINCT symbol, underlying_price AS spot FROM fx_quotes)"
@@ -85,8 +85,8 @@ a AS (SELECT g.symbol, g.expiry, guess, arg_min(place, abs(strike - guess) * 100
 SELECT DISTINCT a.symbol, a.expiry, strike FROM a JOIN rk ON rk.symbol = a.symbol AND rk.expiry = a.expiry AND place BETWEEN pos - 1 AND pos + 1""")
 def candidate_strikes(spark, d):
     chain = quotes(spark, d).select("symbol", "expiry", "strike").distinct()
-    wanted = expiries(spark, d).join(spots(spark, d), "symbol").withColumn("target_delta_abs", F.explode(F.array(F.lit(0.1), F.lit(0.2)))).withColumn("option_type", F.explode(U.SIDES))
-    return U.candidate_strikes(chain, U.delta_guesses(wanted, S.dte(F.col("expiry"), ASOF)), ["symbol", "expiry"], 1)
+    wanted = expiries(spark, d).join(spots(spark, d), "symbol").withColumn("target_delta_abs", F.explode(F.array(F.lit(0.1), F.lit(0.2)))).withColumn("option_type", F.explode(U.sides()))
+    return U.candidate_strikes(chain, U.delta_guesses(wanted, S.dte(F.col("expiry"), asof())), ["symbol", "expiry"], 1)
 
 
 @query("SELECT symbol, expiry, strike, CASE WHEN row_number() OVER (PARTITION BY symbol, expiry ORDER BY strike) <= count(*) OVER (PARTITION BY symbol, expiry) / 2 THEN 'P' ELSE 'C' END AS option_type FROM (SELECT DISTINCT symbol, expiry, strike FROM fx_quotes)")
@@ -110,7 +110,7 @@ def best_delta(spark, d):
 
 def _guessed(spark, d) -> DataFrame:
     plan = _plan(spark, d).filter("selected_expiry IS NOT NULL").join(spots(spark, d), "symbol")
-    return U.delta_guesses(plan, S.dte(F.col("selected_expiry"), ASOF)).drop("spot")
+    return U.delta_guesses(plan, S.dte(F.col("selected_expiry"), asof())).drop("spot")
 
 
 @query()
@@ -131,7 +131,7 @@ def starting_strike(spark, d):
 @query("""SELECT symbol, snapshot_time, expiry, strike, option_type, CAST(row_number() OVER (PARTITION BY symbol, snapshot_time ORDER BY expiry - DATE '2024-01-02', abs(strike - underlying_price), strike, option_type) AS INTEGER) AS queue_place FROM fx_quotes""")
 def work_queue(spark, d):
     contracts = quotes(spark, d).select("symbol", "snapshot_time", "expiry", "strike", "option_type", "underlying_price")
-    return progress.work_queue(contracts, ["symbol", "snapshot_time"], ASOF, "underlying_price").drop("underlying_price")
+    return progress.work_queue(contracts, ["symbol", "snapshot_time"], asof(), "underlying_price").drop("underlying_price")
 
 
 @query("SELECT symbol, expiry FROM (SELECT symbol, expiry, row_number() OVER (PARTITION BY symbol ORDER BY expiry) AS rn FROM (SELECT DISTINCT symbol, expiry FROM fx_quotes WHERE expiry > DATE '2024-03-02')) WHERE rn <= 3")
@@ -150,7 +150,7 @@ def skew_snapshot(spark, d):
     """Rows of the targets that are filled, as stored."""
     _, best = _best(spark, d)
     kept = best.filter("best.incomplete = 0")
-    out = kept.select("symbol", "snapshot_time", F.col("selected_expiry").alias("expiry"), F.col("best.strike").alias("strike"), "option_type", "target_tenor_dte", "target_delta_abs", S.dte(F.col("selected_expiry"), ASOF).alias("dte"), F.col("best.gap").alias("delta_gap_abs"), *[F.col(f"best.{c}").alias(c) for c in BEST], F.col("best.delta").alias("delta"))
+    out = kept.select("symbol", "snapshot_time", F.col("selected_expiry").alias("expiry"), F.col("best.strike").alias("strike"), "option_type", "target_tenor_dte", "target_delta_abs", S.dte(F.col("selected_expiry"), asof()).alias("dte"), F.col("best.gap").alias("delta_gap_abs"), *[F.col(f"best.{c}").alias(c) for c in BEST], F.col("best.delta").alias("delta"))
     return out.withColumn("moneyness", S.moneyness(F.col("strike"), F.col("underlying_price")))
 
 
@@ -166,7 +166,7 @@ SELECT symbol, snapshot_time, count(*) AS n_contracts, count(*) FILTER (WHERE in
 def quote_snapshot(spark, d):
     """Strikes around spot by the first expiries, cleaned quotes with metrics, one write, and the roll-up of what was stored."""
     near = U.strikes_around_spot(strikes(spark, d), spots(spark, d), 10).select("symbol", "strike")
-    contracts = U.contract_universe(near, U.first_expiries(expiries(spark, d), 2, ASOF), ["symbol"])
-    rows = clean.quote_metrics(cleaned(spark, d).join(contracts, ["symbol", "strike", "expiry", "option_type"]), ASOF)
+    contracts = U.contract_universe(near, U.first_expiries(expiries(spark, d), 2, asof()), ["symbol"])
+    rows = clean.quote_metrics(cleaned(spark, d).join(contracts, ["symbol", "strike", "expiry", "option_type"]), asof())
     back = T.write_and_read(rows.withColumn("complete", clean.complete_reading()).withColumn("snapshot_date", F.to_date("snapshot_time")), ["snapshot_date"])
     return back.groupBy("symbol", "snapshot_time").agg(F.count(F.lit(1)).alias("n_contracts"), F.count_if("complete").alias("n_stored"), F.count_if("is_atm").alias("n_atm"))
