@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from .common import byte_slices, plain, shared_dir, text_bytes
 from .tokens import encoder
 
+#: Files at most; with more text files are larger. So the table of parts, a row for each file, is small enough to broadcast.
+MAX_PARTS = 65_536
 #: Row groups and pages of the files; ids are dictionary-encoded where that is smaller, else delta-encoded (format version 2).
 WRITER = {"parquet.block.size": str(16 << 20), "parquet.page.size": str(256 << 10), "parquet.page.row.count.limit": "2000", "parquet.enable.dictionary": "true", "parquet.writer.version": "PARQUET_2_0", "compression": "zstd"}
 
@@ -25,7 +27,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, pa
     """
     docs = plain(docs, doc_id="long", text="string")
     _, total = text_bytes(docs)
-    dealt = docs.repartitionByRange(max(1, -(-total // part_bytes)), "doc_id").sortWithinPartitions("doc_id", "text").withColumn("part", F.spark_partition_id())
+    dealt = docs.repartitionByRange(min(MAX_PARTS, max(1, -(-total // part_bytes))), "doc_id").sortWithinPartitions("doc_id", "text").withColumn("part", F.spark_partition_id())
 
     def run(batches):
         end, at = np.array([end_id], "<u4").tobytes(), 0
@@ -45,7 +47,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.schema("doc_id long, part int, at long, n_tokens long, ids array<int>").parquet(path)
     parts = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = parts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    return rows.join(before, "part").select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids")
+    return rows.join(F.broadcast(before), "part").select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids")
 
 
 def describe_tokens(rows: DataFrame) -> DataFrame:
