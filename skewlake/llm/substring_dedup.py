@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import Words, bucket_edges, pack_sorted, pack_u32, plain, unpack_sorted, unpack_u32
 
@@ -80,7 +81,9 @@ def dedup_substrings(docs: DataFrame, window: int = 13, block_bytes: int = 6 <<
     packed = F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)]).alias("rest")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *([packed] if carry else []))
     docs, n = _blocks(docs, block_bytes)
-    out = OUT + (f", rest {dict(docs.dtypes)['rest']}, old string" if carry else "")
+    out = StructType.fromDDL(OUT)
+    if carry:
+        out = out.add("rest", docs.schema["rest"].dataType).add("old", "string")
     buckets = min(n, MAX_BUCKETS)
 
     def index(key: tuple, table: pa.Table) -> pa.Table:
