@@ -161,7 +161,7 @@ class _Groups:
         return x
 
 
-def _solve(percent: int):
+def _solve(percent: int, final: bool = False):
     """Find what links among the sets of each part (column part), given the labels already known (column label).
 
     Candidates share a prefix token under every order and have near sizes; then the whole sets are compared. Sets
@@ -201,26 +201,24 @@ def _solve(percent: int):
                             break
             for t in prefix[0][i]:
                 posting[t].setdefault(me, []).append(i)
+        if final:
+            links = [(x, groups.find(x)) for x in label]
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     return run
 
 
 def _parts(sets: DataFrame) -> DataFrame:
-    """Give each set its part: no link leaves a part under any of the orders. Parts of one set are left out."""
-    held = sets.select("node", *[f"prefix{k}" for k in range(ORDERS)]).withColumn("part", F.lit(0).cast("long"))
-    for k in range(ORDERS):
-        postings = held.select("node", "part", F.explode(f"prefix{k}").alias("t")).select("node", F.xxhash64("part", "t").alias("key"))
-        held = held.drop("part").join(components(stars(postings)), "node")
-    return held.select("node", "part")
+    """node, part of the sets that share prefix tokens under the first order, directly or by way of others; no link leaves a part."""
+    return components(stars(sets.select("node", F.explode("prefix0").alias("key"))))
 
 
 def ngram_groups(docs: DataFrame, size: int = 3, percent: int = 90, block_bytes: int = 6 << 20, most: int = 1500) -> DataFrame:
     """Group documents by links: 100 * intersection >= percent * union of their sets of `size`-word shingles.
 
     Equal sets stand as one. Tokens (shingles) are ordered rarest first, with ties broken in ORDERS different ways; two
-    sets that link share a token in their prefixes under every order. Sets that share prefix tokens form parts, refined
-    order by order; inside a part candidates must pass the filter of every order, then whole sets are compared. Parts of
+    sets that link share a token in their prefixes under every order. Sets that share prefix tokens under the first form
+    parts; inside a part candidates must pass the filters of all orders, then whole sets are compared. Parts of
     more than `most` sets are solved in chunks, then by one set for each group found, then, where a part still holds
     several groups, by all pairs of chunks, so no link is lost.
 
@@ -239,11 +237,9 @@ def ngram_groups(docs: DataFrame, size: int = 3, percent: int = 90, block_bytes:
     ready = live.join(part.join(count, "part"), "node").withColumn("label", F.col("node"))
     total = part.join(live.select("node", "n"), "node").agg(F.sum("n")).first()[0] or 0
     packs = max(1, -(-8 * total // block_bytes))
-    found = ready.filter(F.col("size") <= most).groupBy(hashed(packs, "part").alias("pack")).applyInArrow(_solve(percent), "a long, b long")
-    large = ready.filter(F.col("size") > most)
-    if not part.join(count.filter(F.col("size") > most), "part").isEmpty():
-        found = found.union(_large(cut(large), percent, most))
-    label = components(found)
+    label = ready.filter(F.col("size") <= most).groupBy(hashed(packs, "part").alias("pack")).applyInArrow(_solve(percent, True), "a long, b long").toDF("node", "part")
+    if not count.filter(F.col("size") > most).isEmpty():
+        label = label.union(components(_large(cut(ready.filter(F.col("size") > most)), percent, most)))
     out = sets.join(reps.select("k1", "k2", F.col("doc_id").alias("rep")), ["k1", "k2"], "left")
     out = out.join(label.withColumnRenamed("node", "rep"), "rep", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("part", "rep", "doc_id")).alias("component_id"))
