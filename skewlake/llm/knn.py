@@ -61,7 +61,7 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64,
     by_dim: dict[int, list] = {}
     for p in list(dict.fromkeys(tuple(r["v"]) for r in some))[:pivots]:
         by_dim.setdefault(len(p), []).append(p)
-    centre = {d: np.array([*p, (0,) * d], np.float64).reshape(-1, d) for d, p in by_dim.items()}
+    centre = {d: np.array([*p, (0,) * d], np.float64).reshape(len(p) + 1, d) for d, p in by_dim.items()}
 
     def centres(dim: int) -> np.ndarray:
         return centre[dim] if dim in centre else np.zeros((1, dim))

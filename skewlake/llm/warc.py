@@ -149,7 +149,7 @@ def merge_runs(runs: DataFrame) -> DataFrame:
         name = table.column("run").to_pylist()
         keys = list(zip(table.column("url_key").to_pylist(), table.column("captured").cast(pa.int64()).to_pylist(), [-1 if x is None else x for x in table.column("page_id").to_pylist()], strict=True))
         heads = [i for i in range(len(name)) if not i or name[i] != name[i - 1]]
-        lists = [keys[a:b] for a, b in zip(heads, [*heads[1:], len(name)], strict=True)]
+        lists = [keys[a:b] for a, b in zip(heads, [*heads[1:], len(name)], strict=False)]
         order = [heads[w] + at for w, at in LoserTree(lists)]
         yield from table.take(pa.array(order, pa.int64())).combine_chunks().to_batches()
 
