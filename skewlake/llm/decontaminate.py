@@ -42,7 +42,7 @@ def _blocks(fingerprint: str, radius: int) -> Column:
     return F.array(*[F.expr(f"shiftleft({i}L, 32) | (shiftrightunsigned({fingerprint}, {a}) & {(1 << (b - a)) - 1}L)") for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))])
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, percent: int = 80, radius: int = 11) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, percent: int = 80, radius: int = 15) -> DataFrame:
     """doc_id, item_id, first_word, n_words, similarity: the best window of each document for each item that it repeats.
 
     Words are runs of letters and digits, lower-cased. A window has as many words as the item (fewer at a document's end)
