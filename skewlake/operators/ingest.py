@@ -83,12 +83,18 @@ def upsert(stored: DataFrame, arriving: DataFrame, key: list[str], version: str)
     return both.groupBy(*key).agg(best).select(*[F.col(c) if c in key else F.col(f"row.{c}").alias(c) for c in stored.columns])
 
 
-def rolling_cost(log: DataFrame, by: list[str], ts: str, cost: Column, seconds: int = config.REQUEST_WINDOW_S) -> DataFrame:
+def rolling_cost(log: DataFrame, by: list[str], ts: str, cost: Column, seconds: int = config.REQUEST_WINDOW_S, span: int = 12) -> DataFrame:
     """Cost of each request and those less than `seconds` before it, against the budget.
 
-    by: what shares a budget. Requests at exactly `seconds` before no longer count.
+    by: what shares a budget. Requests at exactly `seconds` before no longer count. A busy client's log is cut in pieces of
+    `span` windows of time; requests within a window of the next piece's begin are also given to that piece, as history
+    only, so no task has to sort one client's whole log.
     """
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    w = Window.partitionBy(*by).orderBy("at").rangeBetween(-(seconds * 1_000_000) + 1, 0)
-    used = log.withColumn("cost", cost).withColumn("at", micros).withColumn("window_cost", F.sum("cost").over(w))
-    return used.withColumn("over_budget", F.col("window_cost") > config.REQUEST_BUDGET).drop("at")
+    width = seconds * 1_000_000
+    costed = log.withColumn("cost", cost).withColumn("at", F.unix_micros(F.col(ts).cast("timestamp")))
+    piece = F.floor(F.col("at") / (span * width))
+    copies = F.array(F.struct(piece.alias("piece"), F.lit(True).alias("own")), F.struct((piece + 1).alias("piece"), F.lit(False).alias("own")))
+    needed = F.when(F.col("at") > (piece + 1) * (span * width) - width, copies).otherwise(F.slice(copies, 1, 1))
+    w = Window.partitionBy(*by, "piece").orderBy("at").rangeBetween(-width + 1, 0)
+    used = costed.select("*", F.inline(needed)).withColumn("window_cost", F.sum("cost").over(w)).filter("own")
+    return used.withColumn("over_budget", F.col("window_cost") > config.REQUEST_BUDGET).drop("at", "piece", "own")
