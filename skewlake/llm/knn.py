@@ -81,7 +81,7 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64,
     turn = F.row_number().over(Window.partitionBy("dim", "cell").orderBy("dist", "vec_id"))
     near = cells.select("dim", "cell", "dist", turn.alias("turn"), "vec_id").filter(F.col("turn") <= k + 1).groupBy("dim", "cell").agg(F.array_sort(F.collect_list("dist")).alias("near"))
     held = {(r["dim"], r["cell"]): r["near"] for r in near.collect()}
-    rows = {r["dim"]: (r["n"], r["q"]) for r in cells.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.count_if("query").alias("q")).collect()}
+    rows = {r["dim"]: r["n"] for r in cells.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     def bound(batches):
         """The bound of each query, and how far the query is from its pivot."""
@@ -93,7 +93,7 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64,
                 low.append(float(least[k] - 1e-6 * (1 + abs(least[k]))) if len(least) > k else -np.inf)
             yield pa.RecordBatch.from_arrays([b.column("dim"), b.column("cell"), b.column("dist"), pa.array(low, pa.float64())], ["dim", "cell", "dist", "low"])
 
-    wanted = cells.filter("query").mapInArrow(bound, "dim int, cell int, dist double, low double").groupBy("dim", "cell").agg(F.max("dist").alias("radius"), F.min("low").alias("low")).collect()
+    wanted = cells.filter("query").mapInArrow(bound, "dim int, cell int, dist double, low double").groupBy("dim", "cell").agg(F.max("dist").alias("radius"), F.min("low").alias("low"), F.count(F.lit(1)).alias("n")).collect()
     groups: dict[int, list] = {}
     for r in wanted:
         groups.setdefault(r["dim"], []).append((r["cell"], r["radius"], r["low"]))
@@ -111,9 +111,10 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64,
             take = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("vec_id").take(take), b.column("dim").take(take), pa.array(to, pa.int32()), b.column("vector").take(take)], ["vec_id", "dim", "cell", "vector"])
 
-    shards = {d: (-(-n // DATA_ROWS), max(1, -(-q // QUERY_ROWS))) for d, (n, q) in rows.items()} or {0: (1, 1)}
-    per = F.create_map(*[F.lit(x) for d, (a, _) in shards.items() for x in (d, a)])[F.col("dim")]
-    asked = F.create_map(*[F.lit(x) for d, (_, c) in shards.items() for x in (d, c)])[F.col("dim")]
+    # shards of data for each dimension, and of queries for each group: a group with a third of all queries has more
+    per = F.create_map(*[F.lit(x) for d, n in (rows or {0: 1}).items() for x in (d, -(-n // DATA_ROWS))])[F.col("dim")]
+    turns = {f"{r['dim']} {r['cell']}": -(-r["n"] // QUERY_ROWS) for r in wanted} or {"": 1}
+    asked = F.create_map(*[F.lit(x) for pair in turns.items() for x in pair])[F.concat_ws(" ", "dim", "cell")]
     part = lambda n: F.pmod(F.xxhash64("vec_id"), n).cast("int")
     span = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     data = cells.mapInArrow(replicate, "vec_id long, dim int, cell int, vector binary").withColumn("shard", part(per)).select("*", span(asked).alias("turn"))
