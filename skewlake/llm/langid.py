@@ -194,7 +194,7 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     """
 
     def run(batches):
-        for b in byte_slices(batches, 8 << 20):
+        for b in byte_slices(batches, 4 << 20):
             texts = b.column("text").to_pylist()
             lettered = np.array([t is not None and LETTER.search(t) is not None for t in texts], bool)
             label, score = np.full(len(texts), "und", object), np.where(lettered, 0.0, 1.0)
@@ -219,7 +219,7 @@ def keep_known(docs: DataFrame, least: float = 0.3) -> DataFrame:
     @F.arrow_udf("boolean")
     def known(texts: pa.Array) -> pa.Array:
         out = []
-        for b in byte_slices([pa.RecordBatch.from_arrays([texts], ["text"])], 8 << 20):
+        for b in byte_slices([pa.RecordBatch.from_arrays([texts], ["text"])], 4 << 20):
             lettered = np.array([t is not None and LETTER.search(t) is not None for t in b.column("text").to_pylist()], bool)
             if net and lettered.any():
                 total, count = net.documents(b.column("text"))

@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, bucket_edges, cut, hashed, mix, pack_sorted, pack_u32, plain, text_bytes, unpack_sorted, unpack_u32
+from .common import Words, bucket_edges, byte_slices, cut, hashed, mix, pack_sorted, pack_u32, plain, text_bytes, unpack_sorted, unpack_u32
 from .components import components, stars
 
 ORDERS = 3
@@ -52,7 +52,7 @@ def prefix_length(n: int, percent: int) -> int:
 
 def _describe(size: int):
     def run(batches):
-        for b in batches:
+        for b in byte_slices(batches, 4 << 20):
             h, edge = shingle_sets(b.column("text"), size)
             k1, k2 = set_keys(h, edge)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(edge), pa.int64()), pa.array(k1), pa.array(k2)], ["doc_id", "n_shingles", "k1", "k2"])

@@ -7,7 +7,7 @@ import os
 from array import array
 
 #: Runs kept by a worker; beyond it the table starts afresh.
-KEPT = 1_200_000
+KEPT = 600_000
 #: Signs that may follow a word; with them split off, the word itself is often known.
 SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
