@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import Words, bucket_edges, pack_sorted, pack_u32, plain, unpack_sorted, unpack_u32
+from .common import Words, bucket_edges, pack_sorted, pack_u32, unpack_sorted, unpack_u32
 
 NULL_ID = np.iinfo(np.int64).min
 QUANTILES = 512

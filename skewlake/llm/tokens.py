@@ -8,6 +8,8 @@ from array import array
 
 #: Runs kept by a worker; beyond it the table starts afresh.
 KEPT = 600_000
+#: Longer runs aren't kept, so that the table's size is bounded.
+LONGEST = 64
 #: Signs that may follow a word; with them split off, the word itself is often known.
 SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -33,9 +35,11 @@ class Runs(dict):
         self.owner, self.lead, self.lower, self.signs = owner, lead, lower, {}
 
     def __missing__(self, run: str | bytes) -> bytes | None:
-        if len(self) >= KEPT:
-            self.clear()
-        self[run] = out = self._encode(run if isinstance(run, str) else run.decode(), type(run))
+        out = self._encode(run if isinstance(run, str) else run.decode(), type(run))
+        if len(run) <= LONGEST:
+            if len(self) >= KEPT:
+                self.clear()
+            self[run] = out
         return out
 
     def _encode(self, run: str, kind: type) -> bytes | None:
@@ -52,14 +56,20 @@ class Runs(dict):
             return owner.whole(self.lead + run)
         if len(word) < len(run):
             signs = run[len(word) :]
-            if signs not in self.signs:
-                if len(self.signs) >= KEPT:
-                    self.signs.clear()
-                self.signs[signs] = owner.whole(signs)
-            return self[word if kind is str else word.encode()] + self.signs[signs]
+            return self[word if kind is str else word.encode()] + self._signs(signs)
         text = self.lead + (word.lower() if self.lower else word)
         return array("I", [t.id for t in owner.model.tokenize(text.encode().decode("latin-1").translate(owner.letters))]).tobytes()
 
+    def _signs(self, signs: str) -> bytes:
+        out = self.signs.get(signs)
+        if out is None:
+            out = self.owner.whole(signs)
+            if len(signs) <= LONGEST:
+                if len(self.signs) >= KEPT:
+                    self.signs.clear()
+                self.signs[signs] = out
+        return out
+
 
 class Encoder:
     """Ids of whole texts, equal to those that the library gives for the text (no added special tokens).
