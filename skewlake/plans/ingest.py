@@ -9,7 +9,7 @@ from ..functions import scalars as S
 from ..operators import clean, joins, progress
 from ..operators import ingest as I
 from ..sources import tables as T
-from .base import CHAINS, CQ, attempts, bars, chains, cleaned, daily, query, table, text_of
+from .base import CHAINS, CQ, attempts, bars, chains, cleaned, daily, query, text_of
 
 CONTRACT = ["symbol", "strike", "expiry", "option_type", "what_to_show"]
 BAR_KEY = [*CONTRACT, "bar_ts"]
