@@ -78,8 +78,11 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64,
             yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("query"), pa.array(out["dim"], pa.int32()), pa.array(out["cell"], pa.int32()), pa.array(out["dist"], pa.float64()), pa.array(out["norm"], pa.float64()), pa.array(out["vector"], pa.binary())], ["vec_id", "query", "dim", "cell", "dist", "norm", "vector"])
 
     cells = cut(v.mapInArrow(assign, CELL))
-    turn = F.row_number().over(Window.partitionBy("dim", "cell").orderBy("dist", "vec_id"))
-    near = cells.select("dim", "cell", "dist", turn.alias("turn"), "vec_id").filter(F.col("turn") <= k + 1).groupBy("dim", "cell").agg(F.array_sort(F.collect_list("dist")).alias("near"))
+    # the nearest of salted parts of a group first, so that a large group isn't ranked in one task
+    near = cells.select("dim", "cell", "dist", "vec_id", F.pmod(F.xxhash64("vec_id"), F.lit(16)).alias("salt"))
+    for by in (["dim", "cell", "salt"], ["dim", "cell"]):
+        near = near.withColumn("turn", F.row_number().over(Window.partitionBy(*by).orderBy("dist", "vec_id"))).filter(F.col("turn") <= k + 1).drop("turn")
+    near = near.groupBy("dim", "cell").agg(F.array_sort(F.collect_list("dist")).alias("near"))
     held = {(r["dim"], r["cell"]): r["near"] for r in near.collect()}
     rows = {r["dim"]: r["n"] for r in cells.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
 
