@@ -5,7 +5,7 @@ Only DataFrame and SQL functions are used.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, plain
@@ -13,19 +13,40 @@ from .common import cut, plain
 CALLS = "tool_calls array<struct<id string, name string, arguments string, after array<string>>>"
 
 
+#: Calls of one conversation that are gathered at a time.
+GATHERED = 500
+
+
 def _depths(calls: DataFrame) -> DataFrame:
-    """conv_id, id, depth: the longest chain of earlier calls that a call comes after. One round for each step of it."""
+    """conv_id, id, depth: the longest chain of earlier calls that a call comes after.
+
+    Calls only come after those of earlier turns, so one fold in the order of turns gives the depths of a conversation. It
+    runs over GATHERED calls at a time: a longer conversation takes a round for each piece, and what a piece needs of those
+    before it is joined to it.
+    """
     ids = calls.groupBy("conv_id", "id").agg(F.min("turn").alias("turn"))
-    wanted = calls.select("conv_id", "id", "turn", F.explode("after").alias("before")).distinct()
-    known = ids.select("conv_id", F.col("id").alias("before"), F.col("turn").alias("then"))
-    edges = cut(wanted.join(known, ["conv_id", "before"]).filter("then < turn").select("conv_id", "id", "before").distinct())
-    depth = cut(ids.select("conv_id", "id", F.lit(0).alias("depth")))
-    while True:
-        step = edges.join(depth.select("conv_id", F.col("id").alias("before"), "depth"), ["conv_id", "before"]).groupBy("conv_id", "id").agg((F.max("depth") + 1).alias("next"))
-        new = cut(depth.join(step, ["conv_id", "id"], "left").select("conv_id", "id", F.greatest("depth", F.coalesce("next", F.lit(0))).alias("depth"), F.col("depth").alias("old")))
-        if new.filter("depth > old").isEmpty():
-            return new.select("conv_id", "id", "depth")
-        depth = new.select("conv_id", "id", "depth")
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "id"))
+    ids = cut(ids.withColumn("piece", F.floor((place - 1) / GATHERED)))
+    wanted = calls.select("conv_id", "id", F.explode("after").alias("before")).distinct().join(ids, ["conv_id", "id"])
+    known = ids.select("conv_id", F.col("id").alias("before"), F.col("turn").alias("then"), F.col("piece").alias("of"))
+    edges = cut(wanted.join(known, ["conv_id", "before"]).filter("then < turn").select("conv_id", "id", "before", "piece", "of"))
+    near = edges.filter("of = piece").groupBy("conv_id", "id").agg(F.collect_list("before").alias("near"))
+    last = ids.agg(F.max("piece")).first()[0] or 0
+    done: DataFrame | None = None
+    for k in range(last + 1):
+        part = ids.filter(F.col("piece") == k).join(near, ["conv_id", "id"], "left")
+        base = F.lit(0)
+        if done is not None:
+            far = edges.filter((F.col("piece") == k) & (F.col("of") < k)).join(done.withColumnRenamed("id", "before"), ["conv_id", "before"])
+            part = part.join(far.groupBy("conv_id", "id").agg((F.max("depth") + 1).alias("far")), ["conv_id", "id"], "left")
+            base = F.coalesce(F.col("far"), F.lit(0))
+        item = F.struct("turn", "id", base.alias("base"), F.coalesce("near", F.array().cast("array<string>")).alias("near"))
+        rows = part.groupBy("conv_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
+        fold = """aggregate(items, cast(map() AS map<string, int>), (m, x) ->
+            map_concat(m, map(x.id, greatest(x.base, coalesce(array_max(transform(x.near, b -> try_element_at(m, b) + 1)), 0)))))"""
+        new = rows.select("conv_id", F.explode(F.expr(fold)).alias("id", "depth"))
+        done = cut(new if done is None else done.union(new))
+    return done
 
 
 def link_tool_calls(messages: DataFrame, tools: DataFrame) -> DataFrame:
@@ -40,7 +61,7 @@ def link_tool_calls(messages: DataFrame, tools: DataFrame) -> DataFrame:
     sorted keys and no white space).
     A result answers the calls of its identifier in its conversation; of several the earliest turn, then the smallest
     content. A call that comes after an unknown call, or one not made in an earlier turn, has a problem and that order is
-    ignored, so there are no cycles. Null roles, texts that are null, empty or no JSON of this form, and calls without id
+    ignored, so there are no cycles; an id that repeats has the depth of its first turn. Null roles, texts that are null, empty or no JSON of this form, and calls without id
     are no calls; a null conv_id joins nothing. Calls that repeat an id each give a row. Empty tables give no rows.
     Extra columns are not read.
     """

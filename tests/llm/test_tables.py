@@ -127,3 +127,12 @@ def test_components(spark):
     got = {r["node"]: r["part"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(31), 0), 100: 100, 101: 100, 102: 100}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_long_conversations_are_gathered_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(tool_calls, "GATHERED", 4)
+    rows = [(1, t, "assistant", said(call(f"c{t}", "scale", {"by": t}, [f"c{t - 1}", "c0"] if t else None)), "x", 1) for t in range(11)]
+    rows += [(2, 0, "assistant", said(call("r", "scale", {"by": 1})), "x", 1), (2, 1, "assistant", said(call("s", "scale", {"by": 1}, ["r"])), "x", 1), (2, 2, "assistant", said(call("r", "scale", {"by": 1}, ["s"])), "x", 1)]
+    tools = spark.createDataFrame(TOOLS, "name string, parameter string, kind string, required boolean")
+    got = {(r["conv_id"], r["turn"]): r["depth"] for r in tool_calls.link_tool_calls(spark.createDataFrame(rows, MESSAGES), tools).collect()}
+    assert got == {**{(1, t): t for t in range(11)}, (2, 0): 0, (2, 1): 1, (2, 2): 0}
