@@ -65,7 +65,7 @@ def delete_rows(table: DataFrame, gone: Column) -> DataFrame:
 
 def jdbc_options(table: str, partition_column: str | None = None, lower: str | None = None, upper: str | None = None, partitions: int = 16) -> dict[str, str]:
     """Options for a relational store. Address and credentials come from the environment (DB_URL, DB_USER, DB_PASSWORD)."""
-    options = {"url": os.environ.get("DB_URL", "jdbc:postgresql://localhost:5432/options_data"), "dbtable": table, "user": os.environ.get("DB_USER", ""), "password": os.environ.get("DB_PASSWORD", "")}
+    options = {"url": os.environ.get("DB_URL", "jdbc:postgresql://localhost:5432/market"), "dbtable": table, "user": os.environ.get("DB_USER", ""), "password": os.environ.get("DB_PASSWORD", "")}
     if partition_column:
         options |= {"partitionColumn": partition_column, "lowerBound": str(lower), "upperBound": str(upper), "numPartitions": str(partitions)}
     return options
