@@ -7,7 +7,7 @@ import os
 from array import array
 
 #: Runs kept by a worker; beyond it the table starts afresh.
-KEPT = 600_000
+KEPT = 900_000
 #: Longer runs aren't kept, so that the table's size is bounded.
 LONGEST = 64
 #: Signs that may follow a word; with them split off, the word itself is often known.
