@@ -18,7 +18,7 @@ BY = ["symbol", "snapshot_time", "option_type", "target_tenor_dte", "target_delt
 @query("SELECT s.symbol, s.strike, e.expiry, o AS option_type FROM (SELECT DISTINCT symbol, strike FROM fx_quotes WHERE symbol < 'S3') s JOIN (SELECT DISTINCT symbol, expiry FROM fx_quotes) e ON e.symbol = s.symbol, (SELECT unnest(['C', 'P']) AS o) EXCEPT SELECT symbol, strike, expiry, option_type FROM fx_quotes")
 def contract_universe(spark, d):
     """Contracts to be followed, less those already quoted."""
-    every = U.contract_universe(strikes(spark, d).filter(F.col("symbol") < "S3"), expiries(spark, d), ["symbol"])
+    every = U.contract_universe(strikes(spark, d), expiries(spark, d), ["symbol"])
     key = ["symbol", "strike", "expiry", "option_type"]
     return every.select(*key).join(quotes(spark, d).select(*key).distinct(), key, "left_anti")
 
