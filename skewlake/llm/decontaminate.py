@@ -1,5 +1,7 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming search, exact weighted-shingle check.
 
+Pairs beyond the Hamming radius that could pass the check are found by the first of their sorted shingles.
+
 Only DataFrame and SQL functions are used.
 """
 
@@ -42,14 +44,20 @@ def _blocks(fingerprint: str, radius: int) -> Column:
     return F.array(*[F.expr(f"shiftleft({i}L, 32) | (shiftrightunsigned({fingerprint}, {a}) & {(1 << (b - a)) - 1}L)") for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))])
 
 
+def _prefix(tagged: str, percent: int) -> str:
+    """The first tagged shingles in the order of their hashes: two sets of a similarity of `percent` or more share one of these."""
+    return f"slice(array_sort({tagged}), 1, size({tagged}) - (size({tagged}) * {percent} + 99) div 100 + 1)"
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, percent: int = 80, radius: int = 15) -> DataFrame:
     """doc_id, item_id, first_word, n_words, similarity: the best window of each document for each item that it repeats.
 
     Words are runs of letters and digits, lower-cased. A window has as many words as the item (fewer at a document's end)
     and begins where a shingle that it shares with some item would put that item's first word; windows without a common
     shingle have similarity 0 and need no fingerprint. Windows and items of one size get 64-bit SimHash fingerprints of
-    their words; radius + 1 blocks of bits find every pair of fingerprints within the radius; then the multisets of
-    `size`-word shingles must have 100 * (sum of minima) >= percent * (sum of maxima).
+    their words; radius + 1 blocks of bits find every pair of fingerprints within the radius. Pairs farther apart must
+    share one of the first shingles of either side, as many as `percent` leaves open. Then, for both, the multisets of
+    `size`-word shingles must have 100 * (sum of minima) >= percent * (sum of maxima); no pair that has is left out.
 
     Null or empty texts, and texts of fewer than `size` words on either side, repeat nothing. Rows with a null doc_id or
     item_id can't be named and give none. Rows that repeat a doc_id, or items that repeat an item_id, give the best of
@@ -70,10 +78,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, percent: in
     windows = cut(windows.select("doc_id", "first_word", "n", F.size("w").alias("n_words"), F.expr(_simhash("w")).alias("g"), F.expr(_tagged("s")).alias("u")))
     left = windows.select("*", F.explode(_blocks("g", radius)).alias("block"))
     right = items.select("item_id", "n", "f", "t", F.explode(_blocks("f", radius)).alias("block"))
-    pairs = left.join(_small(right, n_places), ["n", "block"]).filter(F.bit_count(F.col("f").bitwiseXOR(F.col("g"))) <= radius)
-    pairs = pairs.dropDuplicates(["doc_id", "item_id", "first_word", "n", "g", "f"])
-    same = F.size(F.array_intersect("t", "u"))
-    pairs = pairs.withColumn("same", same).withColumn("all", F.size("t") + F.size("u") - F.col("same")).filter(F.col("same") * 100 >= F.col("all") * percent)
+    apart = F.bit_count(F.col("f").bitwiseXOR(F.col("g")))
+    passing = F.col("same") * 100 >= F.col("all") * percent
+    one = ["doc_id", "item_id", "first_word", "n", "g", "f"]
+
+    def counted(pairs: DataFrame) -> DataFrame:
+        return pairs.withColumn("same", F.size(F.array_intersect("t", "u"))).withColumn("all", F.size("t") + F.size("u") - F.col("same")).filter(passing).select(*one, "n_words", "same", "all")
+
+    close = left.join(_small(right, n_places), ["n", "block"]).filter(apart <= radius).dropDuplicates(one)
+    left = windows.select("*", F.explode(F.expr(_prefix("u", percent))).alias("tag"))
+    right = items.select("item_id", "n", "f", "t", F.explode(F.expr(_prefix("t", percent))).alias("tag"))
+    far = left.join(_small(right, n_places), ["n", "tag"]).filter(apart > radius)
+    pairs = counted(close).unionByName(counted(far))
     best = F.max(F.struct((F.col("same") / F.col("all")).alias("similarity"), (-F.col("first_word")).alias("first"), "n_words"))
     return pairs.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", (-F.col("b.first")).cast("long").alias("first_word"), F.col("b.n_words").cast("long").alias("n_words"), "b.similarity")
 

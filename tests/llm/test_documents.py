@@ -256,6 +256,26 @@ def test_find_leaks(spark, empty):
     assert decontaminate.find_leaks(empty, bench).count() == 0 and decontaminate.find_leaks(d, bench.limit(0)).count() == 0
 
 
+def test_find_leaks_far_fingerprints(spark):
+    """Items cut off or with other words at their edges, similar enough: all are found, however far their fingerprints are."""
+    rng = np.random.default_rng(17)
+    items, docs, want = [], [], {}
+    for i in range(150):
+        n = int(rng.integers(9, 41))
+        w = [f"i{i}w{x}" for x in rng.integers(0, 900, n)]
+        items.append((i, " ".join(w)))
+        for c in range(1, 9):
+            other = [f"o{len(docs)}x{k}" for k in range(c)]
+            for x in (w[c:], w[: n - c], other + w[c:], w[: n - c] + other):
+                same = len([1 for a in range(max(0, len(x) - 4)) if x[a : a + 5] in [w[b : b + 5] for b in range(n - 4)]])
+                total = n - 4 + max(0, len(x) - 4) - same
+                if 100 * same >= 80 * total:
+                    want[len(docs), i] = same / total
+                    docs.append((len(docs), " ".join(x)))
+    got = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]): r["similarity"] for r in got.collect()} == pytest.approx(want)
+
+
 def test_sql_twins(spark, data, same):
     from skewlake.llm import registry
 
