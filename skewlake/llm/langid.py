@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from .common import Words, byte_slices, plain
 
-#: Bounds of the training sample: languages, documents of each, words of each document.
-LANGUAGES, DOCUMENTS, WORDS = 64, 300, 120
+#: Bounds of the training sample: documents of each language, words of each document.
+DOCUMENTS, WORDS = 300, 120
 HIDDEN, PIECE, STEPS, BATCH = 16, 24, 500, 192
 LETTER = re.compile(r"[^\W\d_]")
 LOWER = np.arange(256, dtype=np.uint8)
@@ -151,27 +151,25 @@ class Network:
 
 
 def _draw(batches):
-    """Up to WORDS words of each document, evenly spaced over the whole text."""
+    """Up to WORDS words of each document, evenly spaced over the whole text; longer ones than PIECE bytes in pieces, as they are read."""
     for b in batches:
         out = []
         for text in b.column("text").to_pylist():
-            w = [x for x in text.encode().split() if len(x) <= PIECE]
+            w = [x[i : i + PIECE] for x in text.encode().split() for i in range(0, len(x), PIECE)]
             out.append([w[i * len(w) // WORDS] for i in range(WORDS)] if len(w) > WORDS else w)
         yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("rank"), pa.array(out, pa.list_(pa.binary()))], ["lang", "rank", "words"])
 
 
 def train(docs: DataFrame, steps: int = STEPS) -> Network | None:
-    """Fit on a bounded sample: up to DOCUMENTS labelled documents (by hash of doc_id) of each of the LANGUAGES most frequent labels.
+    """Fit on a bounded sample: up to DOCUMENTS labelled documents (by hash of doc_id) of every label.
 
     None if no document has both a label and a word. Held-out documents are never read.
     """
     known = plain(docs, doc_id="long", text="string", lang="string").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).withColumn("rank", F.xxhash64("doc_id"))
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    if not counts:
-        return None
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     span = 1 << 40
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], int(min(1.0, (2 * DOCUMENTS + 100) / r["n"]) * span))])
-    some = known.filter(F.pmod("rank", F.lit(span)) < F.coalesce(share[F.col("lang")], F.lit(0)))
+    share = F.least(F.lit(1.0), F.lit(2 * DOCUMENTS + 100) / F.col("n")) * span
+    some = known.join(F.broadcast(counts), "lang").filter(F.pmod("rank", F.lit(span)) < share)
     few = some.withColumn("turn", F.row_number().over(Window.partitionBy("lang").orderBy("rank", "doc_id", "text"))).filter(F.col("turn") <= DOCUMENTS)
     rows = few.select("lang", "rank", "text").mapInArrow(_draw, "lang string, rank long, words array<binary>").collect()
     rows.sort(key=lambda r: (r["lang"], r["rank"], r["words"]))
@@ -179,9 +177,9 @@ def train(docs: DataFrame, steps: int = STEPS) -> Network | None:
     if not labels:
         return None
     net = Network(labels)
-    words = [(bytes(w), labels.index(r["lang"])) for r in rows for w in r["words"]]
     if len(labels) > 1:
-        net.fit([w for w, _ in words], np.array([k for _, k in words]), steps)
+        at = {k: i for i, k in enumerate(labels)}
+        net.fit([bytes(w) for r in rows for w in r["words"]], np.repeat([at[r["lang"]] for r in rows], [len(r["words"]) for r in rows]), steps)
     return net
 
 

@@ -200,6 +200,33 @@ def test_language_id_held_out(spark, data, docs, empty):
     assert langid.keep_known(docs).schema == docs.schema
 
 
+def test_language_without_blanks(spark):
+    """Languages written without blanks, with a Latin name now and then, beside languages with blanks."""
+    rng = np.random.default_rng(23)
+    run = lambda lo, hi: "".join(map(chr, rng.integers(lo, hi, 60)))
+    plain = lambda: " ".join("".join(rng.choice(list("abcdefghiklmnoprstu"), 5)) for _ in range(30))
+    docs = []
+    for _ in range(60):
+        docs += [("en", plain()), ("zh", f"{run(0x4E00, 0x5000)} Tom 24 {run(0x4E00, 0x5000)}"), ("ja", run(0x3041, 0x3090)), ("th", run(0xE01, 0xE2F))]
+    d = spark.createDataFrame([(i, t, k) for i, (k, t) in enumerate(docs)], "doc_id long, text string, lang string")
+    net = langid.train(d)
+    assert net.labels == ["en", "ja", "th", "zh"]
+    got = [(r["lang_pred"], docs[r["doc_id"]][0]) for r in langid.identify(d, net).collect() if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1]
+    assert {k for _, k in got} == {"en", "ja", "th", "zh"} and np.mean([a == b for a, b in got]) > 0.95
+
+
+def test_every_label_is_learned(spark):
+    """70 labels, each of eight letters of its own."""
+    rng = np.random.default_rng(29)
+    docs = [(k, " ".join("".join(chr(0x4E00 + 8 * k + x) for x in rng.integers(0, 8, 5)) for _ in range(20))) for k in range(70) for _ in range(12)]
+    d = spark.createDataFrame([(i, t, f"l{k:02}") for i, (k, t) in enumerate(docs)], "doc_id long, text string, lang string")
+    net = langid.train(d)
+    assert len(net.labels) == 70
+    got = [(r["lang_pred"], f"l{docs[r['doc_id']][0]:02}") for r in langid.identify(d, net).collect() if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1]
+    assert np.mean([a == b for a, b in got]) > 0.75
+    assert np.mean([a == b for a, b in got if b > "l63"]) > 0.5
+
+
 def test_network_gradients():
     rng, net = np.random.default_rng(0), langid.Network(["a", "b", "c"])
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
