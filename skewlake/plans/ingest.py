@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import config, schemas
@@ -166,12 +168,17 @@ v AS (SELECT w.symbol, count(*) AS expected, count(h.symbol) AS completed FROM w
 SELECT v.symbol, n.n_new, v.expected, v.completed, CASE WHEN completed > 0 THEN 'COMPLETED' ELSE 'FAILED' END AS status FROM v JOIN (SELECT symbol, count(*) AS n_new FROM nb GROUP BY symbol) n ON n.symbol = v.symbol""")
 def bar_backfill(spark, d):
     """Clean, drop what is stored, append, verify each contract's day, and roll up by symbol."""
-    stored, arriving = bars(spark, d, 0), clean.normalize_bars(bars(spark, d, 1))
+    return backfill(bars(spark, d, 0), clean.normalize_bars(bars(spark, d, 1)), f"{T.shared_folder(spark)}/bars-{uuid.uuid4().hex}")
+
+
+def backfill(stored, arriving, path):
+    """Append to path the arriving bars that aren't stored, and verify on what is read back. A symbol without new bars has 0."""
     new = I.insert_new(stored, arriving, BAR_KEY, ["close", "volume"])
+    T.append(new, path, ["symbol"])
+    written = T.read_table(new.sparkSession, path, new._jdf.schema().toDDL()).select(*BAR_KEY)
     wanted = arriving.select(*CONTRACT, F.to_date("bar_ts").alias("trade_date")).distinct()
-    after = stored.select(*BAR_KEY).union(new.select(*BAR_KEY))
-    written = I.verify_written(wanted, after, CONTRACT, "trade_date", "bar_ts").withColumn("ok", F.lit(True))
-    checked = wanted.join(written, [*CONTRACT, "trade_date"], "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
-    counts = new.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_new"))
-    out = progress.rollup(checked, ["symbol"], F.col("ok"), "no rows written")
-    return out.join(counts, "symbol").select("symbol", "n_new", "expected", "completed", "status")
+    held = I.verify_written(wanted, stored.select(*BAR_KEY).union(written), CONTRACT, "trade_date", "bar_ts").withColumn("ok", F.lit(True))
+    checked = wanted.join(held, [*CONTRACT, "trade_date"], "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
+    counts = written.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_new"))
+    out = progress.rollup(checked, ["symbol"], F.col("ok"), "no rows written").join(counts, "symbol", "left")
+    return out.select("symbol", F.coalesce("n_new", F.lit(0).cast("long")).alias("n_new"), "expected", "completed", "status")
