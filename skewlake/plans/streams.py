@@ -44,8 +44,11 @@ def stream_ticks(spark, d):
 
 @query("SELECT DISTINCT symbol, ts FROM fx_ticks")
 def stream_dedup(spark, d):
+    """A stored log replayed: the delay is the span of its times, so that no row is late, whatever the order of the files."""
     source = _source(spark, d, "fx_ticks")
-    return _collect(spark, K.stream_dedup(source, ["symbol", "ts"], "ts", "60 days"), "append").select("symbol", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    span = ticks(spark, d).agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    seconds = int((span["high"] - span["low"]).total_seconds()) + 1 if span["low"] else 0
+    return _collect(spark, K.stream_dedup(source, ["symbol", "ts"], "ts", f"{seconds} seconds"), "append").select("symbol", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
 @query("""SELECT symbol, time_bucket(INTERVAL '15 minutes', ts) AS bar_ts, arg_min(last, (epoch_us(ts), event_id)) AS open, max(last) AS high, min(last) AS low, arg_max(last, (epoch_us(ts), event_id)) AS close, CAST(sum(volume) AS BIGINT) AS volume FROM fx_ticks GROUP BY ALL""")

@@ -91,3 +91,16 @@ def test_backfill_again(spark, data, tmp_path):
     assert kept.count() == sum(r["n_new"] for r in first.values()) > 0
     again = {r["symbol"]: r for r in ingest.backfill(stored.select(*ingest.BAR_KEY).union(kept.select(*ingest.BAR_KEY)), arriving, str(tmp_path / "b")).collect()}
     assert set(again) == set(first) and all(r["n_new"] == 0 and r["status"] == "COMPLETED" for r in again.values())
+
+
+def test_stream_dedup_over_batches(spark, data, tmp_path):
+    """A log of 200 days and more in files of three batches, the later days first."""
+    from skewlake.plans import registry
+    from skewlake.plans.base import ticks
+
+    events = spark.read.parquet(f"{data}/events.parquet")
+    path = str(tmp_path / "events.parquet")
+    events.withColumn("ts", events.ts + F.expr("INTERVAL 200 DAYS")).repartition(40).write.parquet(path)
+    events.coalesce(1).write.mode("append").parquet(path)
+    got = registry.queries()["stream_dedup"](spark, str(tmp_path))
+    assert got.count() == ticks(spark, str(tmp_path)).select("symbol", "ts").distinct().count()
