@@ -13,15 +13,16 @@ from pyspark.sql import functions as F
 
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 #: Words longer than this many bytes are hashed one by one.
-LONG_WORD = 4096
-SLICE_BYTES = 1 << 19
+LONG_WORD = 64
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster (spark.checkpoint.dir); a local one only where none is set, as in tests."""
+    """The shared folder of the cluster (spark.checkpoint.dir). Where none is set a local session makes one; a cluster must name it."""
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc._jsc.sc().getCheckpointDir().getOrElse(None)
     if not path:
+        if not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="spark-ckpt-")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(path)
@@ -54,26 +55,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-_BASE = 0x5851F42D4C957F2D
-_TABLES: dict[str, np.ndarray] = {}
-
-
-def _table(name: str) -> np.ndarray:
-    """Byte values (white space is 0), and powers of the base and of its inverse, made once a worker."""
-    if not _TABLES:
-        byte = mix(np.arange(1, 257, dtype=np.uint64) * GOLD)
-        byte[[0x20, 9, 10, 11, 12, 13]] = 0
-        lower = byte.copy()
-        lower[65:91] = byte[97:123]
-        n = SLICE_BYTES + 2 * LONG_WORD
-        _TABLES.update(byte=byte, lower=lower, up=_powers(_BASE, n), down=_powers(pow(_BASE, -1, 1 << 64), n))
-    return _TABLES[name]
+#: Masks that keep the first k of eight bytes.
+KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 
 
 class Words:
@@ -87,8 +72,9 @@ class Words:
         raw = [b"" if t is None else t for t in texts.cast(pa.large_binary()).to_pylist()]
         at = np.zeros(len(raw) + 1, np.int64)
         np.cumsum([len(t) + 1 for t in raw], out=at[1:])
-        self.data = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
+        padded = np.frombuffer(b" ".join(raw) + b" " + bytes(8), np.uint8)
         del raw
+        self.data = padded[:-8]
         space = (self.data == 0x20) | ((self.data >= 9) & (self.data <= 13))
         edge = np.flatnonzero(space[1:] != space[:-1]) + 1
         if len(space) and not space[0]:
@@ -96,34 +82,48 @@ class Words:
         self.begin, self.end = edge[0::2], edge[1::2]
         self.at = at
         self.first = np.searchsorted(self.begin, at)
-        self.hash = self._hash(_table("lower" if lower else "byte"), lower)
-
-    def _hash(self, byte: np.ndarray, lower: bool) -> np.ndarray:
-        n = len(self.begin)
-        out = np.empty(n, np.uint64)
-        size = self.end - self.begin
-        long = np.flatnonzero(size > LONG_WORD)
-        for i in long:
-            word = self.data[self.begin[i] : self.end[i]].tobytes()
-            out[i] = int.from_bytes(hashlib.blake2b(word.lower() if lower else word, digest_size=8).digest(), "little")
-        i = 0
-        up, down = _table("up"), _table("down")
-        stops = [*long.tolist(), n]
-        for stop in stops:
-            while i < stop:
-                j = min(stop, max(i + 1, int(np.searchsorted(self.begin, self.begin[i] + SLICE_BYTES))))
-                lo = self.begin[i]
-                part = byte[self.data[lo : self.end[j - 1]]]
-                part *= up[: len(part)]
-                start = self.begin[i:j] - lo
-                out[i:j] = np.add.reduceat(part, start) * down[start]
-                i = j
-            i = stop + 1
-        short = np.ones(n, bool)
-        short[long] = False
-        out[short] = mix(out[short] ^ (size[short].astype(np.uint64) * GOLD))
+        self.hash = self._hash(LOWER[padded] if lower else padded)
+
+    def _eights(self, data: np.ndarray) -> np.ndarray:
+        """The eight bytes from each place on, as a number."""
+        return np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+
+    def _hash(self, data: np.ndarray) -> np.ndarray:
+        """Words of up to eight bytes have hashes of their own; up to LONG_WORD they are mixed eight bytes at a time; longer ones get BLAKE2."""
+        load, size = self._eights(data), self.end - self.begin
+        out = mix(mix(load[self.begin] & KEEP[np.minimum(size, 8)]) ^ (size.astype(np.uint64) * GOLD))
+        of = np.flatnonzero((size > 8) & (size <= LONG_WORD))
+        k = 8
+        while len(of):
+            out[of] = mix(out[of] ^ mix((load[self.begin[of] + k] & KEEP[np.minimum(size[of] - k, 8)]) ^ GOLD))
+            k += 8
+            of = of[size[of] > k]
+        for i in np.flatnonzero(size > LONG_WORD).tolist():
+            out[i] = int.from_bytes(hashlib.blake2b(data[self.begin[i] : self.end[i]], digest_size=8).digest(), "little")
         return out
 
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """Place of a word for each distinct one, by hash, and which of these each word is. Words of equal hashes are compared."""
+        _, first, inverse = np.unique(self.hash, return_index=True, return_inverse=True)
+        size, rep = self.end - self.begin, first[inverse]
+        same = bool((size == size[rep]).all())
+        load, of, k = self._eights(np.concatenate([self.data, np.zeros(8, np.uint8)])), np.flatnonzero(size > 8), 0
+        while same and len(of):
+            keep = KEEP[np.minimum(size[of] - k, 8)]
+            same = bool(((load[self.begin[of] + k] ^ load[self.begin[rep[of]] + k]) & keep == 0).all())
+            k += 8
+            of = of[size[of] > k]
+        if not same:  # two words have one hash: tell them apart by their bytes
+            raw, seen = self.data.tobytes(), {}
+            words = [raw[a:b] for a, b in zip(self.begin.tolist(), self.end.tolist(), strict=True)]
+            inverse = np.array([seen.setdefault(w, len(seen)) for w in words], np.int64)
+            first = np.unique(inverse, return_index=True)[1]
+            order = np.argsort(self.hash[first], kind="stable")
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            first, inverse = first[order], rank[inverse]
+        return first, inverse
+
     def ngrams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash of the n words from each word on, and whether they lie in one text."""
         total = len(self.hash)
@@ -157,9 +157,9 @@ def unpack_u32(blob: bytes) -> np.ndarray:
 
 
 def bucket_edges(values: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each of `buckets` equal ranges of the 64-bit space begins in sorted values."""
-    cuts = np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
-    return np.concatenate([[0], np.searchsorted(values, cuts), [len(values)]]).astype(np.int64)
+    """Where each of `buckets` (fewer than 2^32) equal ranges of the 64-bit space begins in sorted values."""
+    of = ((values >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    return np.searchsorted(of, np.arange(buckets + 1, dtype=np.uint64)).astype(np.int64)
 
 
 def text_bytes(docs: DataFrame, column: str = "text") -> tuple[int, int]:

@@ -12,7 +12,6 @@ from .common import Words, bucket_edges, byte_slices, cut, hashed, mix, pack_sor
 from .components import components, stars
 
 ORDERS = 3
-MAX_BUCKETS = 2048
 #: A token's rank class is taken from the upper bits of its hash only: that sets the order, never a link.
 LOW_BITS = np.uint64(16)
 SEEDS = [np.uint64(x) for x in (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)]
@@ -60,19 +59,21 @@ def _describe(size: int):
     return run
 
 
-def _chosen(table: pa.Table, ids: list, k1: list, k2: list, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """doc_id, shingles and edges of those rows that stand for their set; of equal rows the first."""
-    want = dict.fromkeys(zip(ids, k1, k2, strict=True))
+def _chosen(table: pa.Table, chosen: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number, shingles and edges of the sets for which a row of the table stands; of equal rows the first."""
+    ids, k1, k2, node = (chosen.column(c).to_pylist() for c in ("doc_id", "k1", "k2", "node"))
+    want = dict(zip(zip(ids, k1, k2, strict=True), node, strict=True))
     held = set(ids)
     doc = table.column("doc_id").to_pylist()
     rows = [i for i, d in enumerate(doc) if d in held]
     h, edge = shingle_sets(table.column("text").combine_chunks().take(pa.array(rows, pa.int64())), size)
     a, b = set_keys(h, edge)
-    keep = [r for r, i in enumerate(rows) if want.pop((doc[i], int(a[r]), int(b[r])), 0) is None]
+    found = {r: want.pop(key) for r, i in enumerate(rows) if (key := (doc[i], int(a[r]), int(b[r]))) in want}
+    keep = list(found)
     mask = np.zeros(len(rows), bool)
     mask[keep] = True
     n = np.diff(edge)
-    return np.array([doc[rows[r]] for r in keep], np.int64), h[np.repeat(mask, n)], np.concatenate([[0], np.cumsum(n[mask])])
+    return np.array(list(found.values()), np.int64), h[np.repeat(mask, n)], np.concatenate([[0], np.cumsum(n[mask])])
 
 
 def _survivors(docs: DataFrame, reps: DataFrame, size: int, percent: int, block_bytes: int) -> DataFrame:
@@ -83,11 +84,12 @@ def _survivors(docs: DataFrame, reps: DataFrame, size: int, percent: int, block_
     """
     _, total = text_bytes(docs)
     n = max(1, -(-total // block_bytes))
-    buckets = min(n, MAX_BUCKETS)
-    docs, reps = docs.withColumn("block", hashed(n, "doc_id")), reps.withColumn("block", hashed(n, "doc_id"))
+    buckets = n
+    # rows without an id link with nothing and need no block
+    docs, reps = docs.filter("doc_id IS NOT NULL").withColumn("block", hashed(n, "doc_id")), reps.withColumn("block", hashed(n, "doc_id"))
 
     def index(key: tuple, table: pa.Table, chosen: pa.Table) -> pa.Table:
-        _, h, _ = _chosen(table, *(chosen.column(c).to_pylist() for c in ("doc_id", "k1", "k2")), size)
+        _, h, _ = _chosen(table, chosen, size)
         v, count = np.unique(h >> LOW_BITS << LOW_BITS, return_counts=True)
         edge = bucket_edges(v, buckets)
         full = np.flatnonzero(np.diff(edge))
@@ -115,7 +117,7 @@ def _survivors(docs: DataFrame, reps: DataFrame, size: int, percent: int, block_
     def survive(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         told = answers.column("bucket").is_valid()
         chosen, answers = answers.filter(pc.invert(told)), answers.filter(told)
-        ids, h, edge = _chosen(table, *(chosen.column(c).to_pylist() for c in ("doc_id", "k1", "k2")), size)
+        ids, h, edge = _chosen(table, chosen, size)
         v, inverse = np.unique(h >> LOW_BITS << LOW_BITS, return_inverse=True)
         cls = np.zeros(len(v), np.uint8)
         at = bucket_edges(v, buckets)
@@ -141,7 +143,7 @@ def _survivors(docs: DataFrame, reps: DataFrame, size: int, percent: int, block_
     grouped = docs.groupBy("block")
     messages = grouped.cogroup(reps.groupBy("block")).applyInArrow(index, "bucket long, block int, body binary, many binary")
     answers = messages.groupBy("bucket").applyInArrow(match, "bucket long, block int, hits binary, rank binary")
-    told = reps.select("block", "doc_id", "k1", "k2").unionByName(answers, allowMissingColumns=True)
+    told = reps.select("block", "doc_id", "k1", "k2", "node").unionByName(answers, allowMissingColumns=True)
     return grouped.cogroup(told.groupBy("block")).applyInArrow(survive, "node long, n long, tokens binary, " + ", ".join(f"prefix{k} array<long>" for k in range(ORDERS)))
 
 
@@ -208,19 +210,33 @@ def _solve(percent: int, final: bool = False):
     return run
 
 
-def _parts(sets: DataFrame) -> DataFrame:
-    """node, part of the sets that share prefix tokens under the first order, directly or by way of others; no link leaves a part."""
-    return components(stars(sets.select("node", F.explode("prefix0").alias("key"))))
+def _parts(sets: DataFrame, most: int) -> DataFrame:
+    """The sets with their part (its smallest node) and its size; no link leaves a part.
+
+    A part holds the sets that share prefix tokens under the first order, directly or by way of others. As links share prefix
+    tokens under every order, parts of more than `most` sets are split further by those of the next orders.
+    """
+    part = cut(components(stars(sets.select("node", F.explode("prefix0").alias("key")))))
+    for k in range(1, ORDERS + 1):
+        count = part.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
+        sized = part.join(count, "part")
+        if k == ORDERS or count.filter(F.col("size") > most).isEmpty():
+            return sets.join(sized, "node")
+        large = cut(sized.filter(F.col("size") > most).select("node", "part"))
+        keys = large.join(sets, "node").select("node", "part", F.explode(f"prefix{k}").alias("token")).select("node", F.struct("part", "token").alias("key"))
+        finer = large.select("node").join(components(stars(keys)), "node", "left").select("node", F.coalesce("part", "node").alias("part"))
+        part = cut(sized.filter(F.col("size") <= most).select("node", "part").union(finer))
+    raise AssertionError
 
 
 def ngram_groups(docs: DataFrame, size: int = 3, percent: int = 90, block_bytes: int = 6 << 20, most: int = 1500) -> DataFrame:
     """Group documents by links: 100 * intersection >= percent * union of their sets of `size`-word shingles.
 
     Equal sets stand as one. Tokens (shingles) are ordered rarest first, with ties broken in ORDERS different ways; two
-    sets that link share a token in their prefixes under every order. Sets that share prefix tokens under the first form
-    parts; inside a part candidates must pass the filters of all orders, then whole sets are compared. Parts of
-    more than `most` sets are solved in chunks, then by one set for each group found, then, where a part still holds
-    several groups, by all pairs of chunks, so no link is lost.
+    sets that link share a token in their prefixes under every order. Sets that share prefix tokens form parts; inside a
+    part candidates must pass the filters of all orders, then whole sets are compared. Parts of more than `most` sets are
+    solved in chunks, then by one set for each group found, then, where a part still holds several groups, by pairs of
+    chunks of the sets that share a prefix token with another group, so no link is lost.
 
     Returns doc_id, n_shingles, component_id (the smallest doc_id that links reach) for each row of docs.
     Words are `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased; with fewer than `size` words the whole sequence is one shingle.
@@ -230,19 +246,21 @@ def ngram_groups(docs: DataFrame, size: int = 3, percent: int = 90, block_bytes:
     docs = plain(docs, doc_id="long", text="string")
     sets = docs.mapInArrow(_describe(size), "doc_id long, n_shingles long, k1 long, k2 long")
     sets = cut(sets)
-    reps = cut(sets.filter("doc_id IS NOT NULL AND n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n")))
-    live = cut(_survivors(docs, reps.select("doc_id", "k1", "k2"), size, percent, block_bytes))
-    part = cut(_parts(live))
-    count = part.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
-    ready = live.join(part.join(count, "part"), "node").withColumn("label", F.col("node"))
-    total = part.join(live.select("node", "n"), "node").agg(F.sum("n")).first()[0] or 0
+    reps = sets.filter("doc_id IS NOT NULL AND n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"))
+    reps = cut(reps.withColumn("node", F.monotonically_increasing_id()))
+    live = cut(_survivors(docs, reps, size, percent, block_bytes))
+    ready = cut(_parts(live, most).withColumn("label", F.col("node")))
+    total = ready.agg(F.sum("n")).first()[0] or 0
     packs = max(1, -(-8 * total // block_bytes))
     label = ready.filter(F.col("size") <= most).groupBy(hashed(packs, "part").alias("pack")).applyInArrow(_solve(percent, True), "a long, b long").toDF("node", "part")
-    if not count.filter(F.col("size") > most).isEmpty():
-        label = label.union(components(_large(cut(ready.filter(F.col("size") > most)), percent, most)))
-    out = sets.join(reps.select("k1", "k2", F.col("doc_id").alias("rep")), ["k1", "k2"], "left")
-    out = out.join(label.withColumnRenamed("node", "rep"), "rep", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("part", "rep", "doc_id")).alias("component_id"))
+    large = ready.filter(F.col("size") > most)
+    if not large.isEmpty():
+        label = label.union(components(_large(large, percent, most)))
+    label = cut(label)
+    low = label.join(reps, "node").groupBy("part").agg(F.min("doc_id").alias("low"))
+    named = reps.join(label.join(low, "part"), "node", "left").select("k1", "k2", F.coalesce("low", "doc_id").alias("component_id"))
+    out = sets.join(named, ["k1", "k2"], "left")
+    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))).alias("component_id"))
 
 
 def _large(rows: DataFrame, percent: int, most: int) -> DataFrame:
@@ -257,7 +275,11 @@ def _large(rows: DataFrame, percent: int, most: int) -> DataFrame:
     two = cut(lead.groupBy("part", "turn").applyInArrow(_solve(percent), "a long, b long"))
     rows = spread(rows, two)
     split = rows.groupBy("part").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("part")
-    rest = rows.join(split, "part").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    open_ = rows.join(split, "part")
+    # only sets with a prefix token that a set of another group has too
+    keys = open_.select("part", "node", "label", F.explode("prefix0").alias("token"))
+    mixed = keys.groupBy("part", "token").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("part", "token")
+    rest = open_.join(keys.join(mixed, ["part", "token"]).select("node").distinct(), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     rest = rest.withColumn("lo", F.least("chunk", "other")).withColumn("hi", F.greatest("chunk", "other"))
     three = rest.groupBy("part", "lo", "hi").applyInArrow(_solve(percent), "a long, b long")
     return one.union(two).union(three)

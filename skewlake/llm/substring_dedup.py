@@ -12,15 +12,15 @@ from .common import Words, bucket_edges, pack_sorted, pack_u32, unpack_sorted, u
 
 NULL_ID = np.iinfo(np.int64).min
 QUANTILES = 512
-MAX_BUCKETS = 2048
-OUT = "doc_id long, n_words long, n_removed long, kept string, factors array<struct<start:long,length:long,block:long>>"
-FACTOR = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("block", pa.int64())]))
+OUT = "doc_id long, n_words long, n_removed long, kept string, factors array<struct<start:long,length:long,block:long,boundary:boolean>>"
+FACTOR = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("block", pa.int64()), ("boundary", pa.bool_())]))
 
 
 def _blocks(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
     """Give each document the number of its reference block: blocks are ranges of doc_id of about block_bytes.
 
-    The driver holds at most QUANTILES + 1 edges; between two of them ids are cut evenly.
+    The driver holds at most QUANTILES + 1 edges; between two of them ids are cut evenly. Rows without an id copy nothing and
+    are copied by none, so they may lie in any block and are dealt by their texts.
     """
     row = docs.agg(
         F.sum(F.octet_length("text")).alias("b"),
@@ -42,7 +42,8 @@ def _blocks(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
         a, b = lo.astype(np.float64)[k], hi.astype(np.float64)[k]
         return ids.__class__(k * per + np.clip((x - a) * per // np.maximum(b - a, 1), 0, per - 1).astype(np.int64))
 
-    return docs.withColumn("block", block("doc_id")), per * (len(edges) - 1)
+    n = per * (len(edges) - 1)
+    return docs.withColumn("block", F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("text"), F.lit(n))).otherwise(block("doc_id"))), n
 
 
 def _sorted_block(table: pa.Table) -> tuple[np.ndarray, pa.Array]:
@@ -58,17 +59,41 @@ def _windows(words: Words, ids: np.ndarray, window: int) -> tuple[np.ndarray, np
     return at, h[at]
 
 
+def greedy_factors(first: np.ndarray, block: np.ndarray, doc: np.ndarray, window: int) -> list[tuple[int, int, int, bool]]:
+    """Parse from left to right: begin, end (in words), block and whether the span is a boundary check.
+
+    first, block, doc: first word, reference block and document of each window that some block holds, in order. A factor
+    begins at the first such window that the factor before leaves free, and grows while the next window is in the same block.
+    Windows that begin inside a factor and run past its end straddle a boundary: no factor holds them, so their
+    spans are given beside the factors.
+    """
+    if not len(first):
+        return []
+    lead = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1] + 1) | (block[1:] != block[:-1]) | (doc[1:] != doc[:-1])]))
+    run = np.diff(np.concatenate([lead, [len(first)]]))
+    out, free = [], 0
+    for a, n, b in zip(first[lead].tolist(), run.tolist(), block[lead].tolist(), strict=True):
+        begin, last = max(a, free), a + n - 1
+        if begin > a:
+            out.append((a, min(begin - 1, last) + window, b, True))
+        if begin <= last:
+            free = last + window
+            out.append((begin, free, b, False))
+    return out
+
+
 def dedup_substrings(docs: DataFrame, window: int = 13, block_bytes: int = 6 << 20, carry: bool = False) -> DataFrame:
     """Parse every document against the reference blocks of all documents with a smaller doc_id, and drop what is copied.
 
     Blocks are ranges of doc_id. Each block is indexed by the hashes of its `window`-word windows; the index is
     dealt over buckets of the hash space, so one shuffle sets each window of a document against every reference block
-    at once, and the answer names the first block that holds it. The parse is greedy: a factor grows while the next
-    window is in the reference and comes from the same block; a factor of at least `window` words is a duplicate span.
-    Windows that straddle the end of one factor and the start of the next are judged too, as each window is asked for.
+    at once, and the answer names the first block that holds it. The parse (greedy_factors) goes from left to right: a
+    factor grows while the next window is in the same block; what is shorter than `window` words is no factor but literal.
+    Factors are the duplicate spans, and so are the windows that straddle the boundary of a factor and are in some block.
+    The words that these spans cover are removed.
 
     Returns doc_id, n_words, n_removed, kept (the words left, joined by one blank) and factors (start, length in
-    words, reference block; they may overlap at their boundaries). A window counts as copied when its word sequence
+    words, reference block, whether it is a boundary check). A window counts as copied when its word sequence
     starts in a document with a smaller doc_id; it is judged on the input.
     Null or empty text: no words, kept is empty. Null doc_id: neither copies nor is copied. Rows with the same doc_id
     do not copy from each other and each give a row. An empty table gives no rows. Extra columns are not read.
@@ -84,7 +109,7 @@ def dedup_substrings(docs: DataFrame, window: int = 13, block_bytes: int = 6 <<
     out = StructType.fromDDL(OUT)
     if carry:
         out = out.add("rest", docs.schema["rest"].dataType).add("old", "string")
-    buckets = min(n, MAX_BUCKETS)
+    buckets = n
 
     def index(key: tuple, table: pa.Table) -> pa.Table:
         ids, texts = _sorted_block(table)
@@ -131,9 +156,11 @@ def dedup_substrings(docs: DataFrame, window: int = 13, block_bytes: int = 6 <<
         me = int(table.column("block")[0].as_py()) if table.num_rows else 0
         of = np.where(of < 0, np.where(own, me, -1), of)
         copied = of >= 0
+        spans = greedy_factors(at[copied], of[copied], doc[at[copied]], window)
+        lo, hi, source_of, boundary = (np.array(x) for x in zip(*spans, strict=True)) if spans else (np.zeros(0, np.int64),) * 4
         drop = np.zeros(len(words.hash) + 1, np.int64)
-        np.add.at(drop, at[copied], 1)
-        np.add.at(drop, at[copied] + window, -1)
+        np.add.at(drop, lo, 1)
+        np.add.at(drop, hi, -1)
         keep = np.cumsum(drop)[:-1] == 0
         # kept words and one blank after each
         byte = np.zeros(len(words.data) + 1, np.int8)
@@ -148,14 +175,9 @@ def dedup_substrings(docs: DataFrame, window: int = 13, block_bytes: int = 6 <<
         n_words = np.diff(words.first)
         before = np.concatenate([[0], np.cumsum(~keep)])
         removed = before[words.first[1:]] - before[words.first[:-1]]
-        # factors: runs of windows of one document that one block holds
-        w, b = at[copied], of[copied]
-        d = doc[w]
-        head = np.concatenate([[True], (w[1:] != w[:-1] + 1) | (b[1:] != b[:-1]) | (d[1:] != d[:-1])]) if len(w) else np.zeros(0, bool)
-        lead = np.flatnonzero(head)
-        run = np.diff(np.concatenate([lead, [len(w)]]))
-        per_doc = np.concatenate([[0], np.cumsum(np.bincount(d[lead], minlength=len(ids)))]) if len(ids) else np.zeros(1)
-        items = pa.StructArray.from_arrays([pa.array(w[lead] - words.first[d[lead]], pa.int64()), pa.array(run + window - 1, pa.int64()), pa.array(b[lead], pa.int64())], fields=list(FACTOR.value_type))
+        d = doc[lo]
+        per_doc = np.concatenate([[0], np.cumsum(np.bincount(d, minlength=len(ids)))]) if len(ids) else np.zeros(1)
+        items = pa.StructArray.from_arrays([pa.array(lo - words.first[d], pa.int64()), pa.array(hi - lo, pa.int64()), pa.array(source_of, pa.int64()), pa.array(boundary.astype(bool))], fields=list(FACTOR.value_type))
         factors = pa.ListArray.from_arrays(pa.array(per_doc.astype(np.int32)), items)
         more = {"rest": table.column("rest").combine_chunks().take(order), "old": texts} if carry else {}
         return pa.table({"doc_id": pa.array(ids, pa.int64(), mask=ids == NULL_ID), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept": pa.array([raw[x:y] for x, y in zip(starts.tolist(), ends.tolist(), strict=True)], pa.binary()).cast(pa.string()), "factors": factors.cast(FACTOR), **more})
