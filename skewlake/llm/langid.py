@@ -9,14 +9,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, byte_slices, plain
-
-#: Bounds of the training sample: documents of each language, words of each document.
-DOCUMENTS, WORDS = 300, 120
-HIDDEN, PIECE, STEPS, BATCH = 16, 24, 500, 192
+from .common import LOWER, byte_slices, plain
+
+#: Bounds of the training sample: documents of each language, spans of each document.
+DOCUMENTS, SPANS = 300, 16
+#: Hidden units of a layer; bytes of a training span; steps and spans of each.
+HIDDEN, SPAN, STEPS, BATCH = 16, 64, 320, 128
+#: Texts are read in pieces of so many bytes, each layer beginning so many bytes before (or after) its piece.
+PIECE, CONTEXT = 128, 16
+#: The code beside a text's ends: it leaves a layer that has read nothing yet as it is.
+PAD = 256
 LETTER = re.compile(r"[^\W\d_]")
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[65:91] += 32
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -29,7 +32,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class Network:
-    """Two gated recurrent layers, one from either end of a word, and a softmax at each byte.
+    """Two gated recurrent layers over the bytes of a text, one from either end, and a softmax at each byte.
 
     Each layer: x holds a row of 3 * HIDDEN for every byte value (input weights and bias), u the recurrent weights.
     """
@@ -41,77 +44,73 @@ class Network:
         self.p |= {f"u{d}": rng.normal(0, HIDDEN**-0.5, (HIDDEN, 3 * HIDDEN)).astype(np.float32) for d in "fb"}
         self.p |= {"v": rng.normal(0, 0.2, (2 * HIDDEN, len(labels))).astype(np.float32), "c": np.zeros(len(labels), np.float32)}
 
-    def _layer(self, d: str, codes: np.ndarray, keep: bool) -> tuple[np.ndarray, list]:
-        """codes: words by position. States after each byte, and what backpropagation needs."""
-        x, u, n = self.p[f"x{d}"], self.p[f"u{d}"], HIDDEN
-        h = np.zeros((codes.shape[0], n), np.float32)
-        out, tape = np.empty((codes.shape[1], codes.shape[0], n), np.float32), []
+    def _layer(self, d: str, codes: np.ndarray) -> tuple[np.ndarray, list]:
+        """codes: spans by position. States after each byte, and what backpropagation needs."""
+        x, u, n = np.concatenate([self.p[f"x{d}"], np.zeros((1, 3 * HIDDEN), np.float32)]), self.p[f"u{d}"], HIDDEN
+        h = np.zeros((codes.shape[0], n), x.dtype)
+        out, tape = np.empty((codes.shape[1], codes.shape[0], n), x.dtype), []
         for t in range(codes.shape[1]):
             a, r = x[codes[:, t]], h @ u
             g = _sigmoid(a[:, : 2 * n] + r[:, : 2 * n])
             z, reset = g[:, :n], g[:, n:]
             new = np.tanh(a[:, 2 * n :] + reset * r[:, 2 * n :])
-            if keep:
-                tape.append((h, z, reset, new, r[:, 2 * n :]))
+            tape.append((h, z, reset, new, r[:, 2 * n :]))
             h = new + z * (h - new)
             out[t] = h
         return out, tape
 
-    def _softmax(self, forward: np.ndarray, backward: np.ndarray) -> np.ndarray:
-        score = forward @ self.p["v"][:HIDDEN] + backward @ self.p["v"][HIDDEN:] + self.p["c"]
-        score = np.exp(score - score.max(-1, keepdims=True))
-        return score / score.sum(-1, keepdims=True)
-
-    def positions(self, codes: np.ndarray) -> np.ndarray:
-        """Label probabilities at every byte of words of one length: position, word, label."""
-        forward, _ = self._layer("f", codes, False)
-        backward, _ = self._layer("b", codes[:, ::-1], False)
-        return self._softmax(forward, backward[::-1])
-
     def gradients(self, codes: np.ndarray, label: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean cross entropy over all positions, and its gradients by backpropagation through time."""
-        forward, ft = self._layer("f", codes, True)
-        backward, bt = self._layer("b", codes[:, ::-1], True)
+        """Mean cross entropy over all positions of texts, and its gradients by backpropagation through time."""
+        codes = codes.astype(np.int64)
+        forward, ft = self._layer("f", codes)
+        backward, bt = self._layer("b", codes[:, ::-1])
         aligned = backward[::-1]
-        p = self._softmax(forward, aligned)
-        t, n, _ = p.shape
-        loss = -float(np.log(p[:, np.arange(n), label] + 1e-9).mean())
+        score = forward @ self.p["v"][:HIDDEN] + aligned @ self.p["v"][HIDDEN:] + self.p["c"]
+        p = np.exp(score - score.max(-1, keepdims=True))
+        p /= p.sum(-1, keepdims=True)
+        n, real = len(codes), (codes.T != PAD)[:, :, None]
+        many = max(1, int(real.sum()))
+        loss = -float((np.log(p[:, np.arange(n), label] + 1e-9) * real[:, :, 0]).sum()) / many
         d = p.copy()
         d[:, np.arange(n), label] -= 1
-        d /= t * n
+        d *= real / many
         v = self.p["v"]
-        g = {"c": d.sum((0, 1)), "v": np.concatenate([np.einsum("tnh,tnl->hl", s, d) for s in (forward, aligned)])}
+        flat = d.reshape(-1, d.shape[2])
+        g = {"c": flat.sum(0), "v": np.concatenate([s.reshape(-1, HIDDEN).T @ flat for s in (forward, aligned)])}
         for way, tape, dh, seq in (("f", ft, d @ v[:HIDDEN].T, codes), ("b", bt, (d @ v[HIDDEN:].T)[::-1], codes[:, ::-1])):
-            gx, gu, carry, u = np.zeros_like(self.p[f"x{way}"]), np.zeros_like(self.p[f"u{way}"]), np.zeros((n, HIDDEN), np.float32), self.p[f"u{way}"]
-            for k in range(t - 1, -1, -1):
+            u = self.p[f"u{way}"]
+            steps, gu, carry = np.empty((len(tape), n, 3 * HIDDEN), u.dtype), np.zeros_like(u), np.zeros((n, HIDDEN), u.dtype)
+            for k in range(len(tape) - 1, -1, -1):
                 h, z, reset, new, r = tape[k]
                 carry = carry + dh[k]
                 dnew = carry * (1 - z) * (1 - new * new)
                 dz = carry * (h - new) * z * (1 - z)
                 dr = dnew * r * reset * (1 - reset)
-                da = np.concatenate([dz, dr, dnew], 1)
+                steps[k] = np.concatenate([dz, dr, dnew], 1)
                 du = np.concatenate([dz, dr, dnew * reset], 1)
-                np.add.at(gx, seq[:, k], da)
                 gu += h.T @ du
                 carry = carry * z + du @ u.T
-            g |= {f"x{way}": gx, f"u{way}": gu}
+            code = seq.T.ravel()
+            order = np.argsort(code, kind="stable")
+            held, first = np.unique(code[order], return_index=True)
+            gx = np.zeros((PAD + 1, 3 * HIDDEN), u.dtype)
+            gx[held] = np.add.reduceat(steps.reshape(-1, 3 * HIDDEN)[order], first)
+            g |= {f"x{way}": gx[:PAD], f"u{way}": gu}
         return loss, g
 
-    def fit(self, words: list[bytes], label: np.ndarray, steps: int = STEPS, seed: int = 11) -> list[float]:
-        """Adam over batches of words of one length, labels balanced."""
-        rng, size = np.random.default_rng(seed), np.array([len(w) for w in words])
+    def fit(self, spans: list[bytes], label: np.ndarray, steps: int = STEPS, seed: int = 11) -> list[float]:
+        """Adam over batches of spans, labels balanced."""
+        rng = np.random.default_rng(seed)
         weight = 1.0 / np.bincount(label, minlength=len(self.labels))[label]
-        by = {int(n): np.flatnonzero(size == n) for n in np.unique(size)}
-        codes = {n: LOWER[np.frombuffer(b"".join(words[i] for i in at), np.uint8).reshape(len(at), n)] for n, at in by.items()}
-        share = np.array([weight[at].sum() for at in by.values()])
+        codes = np.full((len(spans), SPAN), PAD, np.int16)
+        for i, x in enumerate(spans):
+            codes[i, : len(x)] = LOWER[np.frombuffer(x, np.uint8)]
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         s = {k: np.zeros_like(v) for k, v in self.p.items()}
-        losses = []
+        share, losses = weight / weight.sum(), []
         for step in range(1, steps + 1):
-            n = list(by)[rng.choice(len(by), p=share / share.sum())]
-            w = weight[by[n]]
-            pick = rng.choice(len(w), BATCH, p=w / w.sum())
-            loss, g = self.gradients(codes[n][pick], label[by[n]][pick])
+            pick = rng.choice(len(spans), BATCH, p=share)
+            loss, g = self.gradients(codes[pick], label[pick])
             losses.append(loss)
             rate = 0.02 * (1 - 0.9 * step / steps)
             for k, v in g.items():
@@ -120,50 +119,93 @@ class Network:
                 self.p[k] -= (rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.99**step)) + 1e-7)).astype(np.float32)
         return losses
 
+    def _read(self, codes: np.ndarray, inside: np.ndarray) -> np.ndarray:
+        """Sums of label probabilities over the bytes of each piece.
+
+        codes: pieces by CONTEXT bytes, the piece's own, and CONTEXT bytes; inside: which of its own are bytes of the text. Both
+        layers take a step at a time together; gates are written with tanh alone, their halves put into the weights.
+        """
+        n, own, H = len(codes), inside.shape[1], HIDDEN
+        x = np.concatenate([y for d in "fb" for y in (self.p[f"x{d}"], np.zeros((1, 3 * H), np.float32))])
+        u = np.stack([self.p["uf"], self.p["ub"]])
+        xz, xr, xn = (np.ascontiguousarray(x[:, k * H : (k + 1) * H] * f) for k, f in ((0, 0.5), (1, 0.5), (2, 1)))
+        uz, ur, un = (np.ascontiguousarray(u[:, :, k * H : (k + 1) * H] * np.float32(0.5)) for k in range(3))
+        steps = CONTEXT + own
+        seq = np.stack([codes[:, :steps].T, codes[:, CONTEXT:].T[::-1] + (PAD + 1)], 1)
+        h, states = np.zeros((2, n, H), np.float32), np.empty((own, 2, n, H), np.float32)
+        a, b, c = (np.empty((2, n, H), np.float32) for _ in range(3))
+        for t in range(steps):
+            at = seq[t]
+            np.matmul(h, uz, out=a)
+            a += xz[at]
+            np.tanh(a, out=a)
+            np.matmul(h, ur, out=b)
+            b += xr[at]
+            np.tanh(b, out=b)
+            np.matmul(h, un, out=c)
+            b *= c
+            c += b
+            c += xn[at]
+            np.tanh(c, out=c)  # the new state; a: 2 * update gate - 1
+            np.subtract(h, c, out=b)
+            a *= b
+            c += h
+            c += a
+            h = c * np.float32(0.5)
+            if t >= CONTEXT:
+                states[t - CONTEXT] = h
+        v = self.p["v"]
+        score = v[:H].T @ np.ascontiguousarray(states[:, 0]).reshape(-1, H).T + v[H:].T @ np.ascontiguousarray(states[::-1, 1]).reshape(-1, H).T + self.p["c"][:, None]
+        score -= score.max(0)
+        np.exp(score, out=score)
+        score *= inside.T.reshape(1, -1) / score.sum(0)
+        return score.reshape(-1, own, n).sum(1).T
+
     def documents(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Sums of label probabilities over all byte positions of each text's words, and the number of positions.
+        """Sums of label probabilities over all bytes of each text, and the number of bytes.
 
-        A word is read from its own first to last byte, so equal words have equal labels: each distinct one of the
-        batch is read once. Words of more than PIECE bytes are read in pieces.
+        Texts are read in pieces of PIECE bytes from their beginning, each layer with CONTEXT bytes before it; a text of up to
+        PIECE bytes is so read in one go.
         """
-        words = Words(texts, lower=True)
-        _, first, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
-        begin, size = words.begin[first], words.end[first] - words.begin[first]
+        raw = [b"" if t is None else t for t in texts.cast(pa.large_binary()).to_pylist()]
+        size = np.array([len(t) for t in raw], np.int64)
+        end = np.cumsum(size)
+        data = LOWER[np.frombuffer(b"".join(raw), np.uint8)].astype(np.int16)
+        del raw
         pieces = -(-size // PIECE)
-        word = np.repeat(np.arange(len(first)), pieces)
-        turn = np.arange(len(word)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        at = begin[word] + turn * PIECE
-        n = np.minimum(PIECE, size[word] - turn * PIECE)
-        total = np.zeros((len(first), len(self.labels)))
-        order = np.argsort(n, kind="stable")
-        edge = np.searchsorted(n[order], np.arange(1, PIECE + 2))
-        for k in range(1, PIECE + 1):
-            for i in range(edge[k - 1], edge[k], 2048):
-                take = order[i : min(i + 2048, edge[k])]
-                np.add.at(total, word[take], self.positions(LOWER[words.data[at[take][:, None] + np.arange(k)]]).sum(0))
-        out, count = np.zeros((len(texts), len(self.labels))), np.zeros(len(texts), np.int64)
-        if len(inverse):
-            summed = np.concatenate([np.zeros((1, total.shape[1])), np.cumsum(total[inverse], 0)])
-            out = summed[words.first[1:]] - summed[words.first[:-1]]
-            where = np.concatenate([[0], np.cumsum(words.end - words.begin)])
-            count = where[words.first[1:]] - where[words.first[:-1]]
-        return out, count
+        text = np.repeat(np.arange(len(size)), pieces)
+        turn = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        begin = (end - size)[text] + turn * PIECE
+        own = np.minimum(PIECE, end[text] - begin)
+        out = np.zeros((len(size), len(self.labels)))
+        order = np.argsort(own, kind="stable")
+        batch = max(16, min(512, 8192 // len(self.labels)))
+        for i in range(0, len(order), batch):
+            take = order[i : i + batch]
+            most = int(own[take[-1]])
+            at = begin[take][:, None] + np.arange(-CONTEXT, most + CONTEXT)
+            of = text[take][:, None]
+            codes = np.where((at >= (end - size)[of]) & (at < end[of]), data[np.clip(at, 0, len(data) - 1)], np.int16(PAD))
+            np.add.at(out, text[take], self._read(codes, np.arange(most) < own[take][:, None]))
+        return out, size
 
 
 def _draw(batches):
-    """Up to WORDS words of each document, evenly spaced over the whole text; longer ones than PIECE bytes in pieces, as they are read."""
+    """Up to SPANS spans of SPAN bytes of each document, evenly spaced over the whole text."""
     for b in batches:
         out = []
         for text in b.column("text").to_pylist():
-            w = [x[i : i + PIECE] for x in text.encode().split() for i in range(0, len(x), PIECE)]
-            out.append([w[i * len(w) // WORDS] for i in range(WORDS)] if len(w) > WORDS else w)
-        yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("rank"), pa.array(out, pa.list_(pa.binary()))], ["lang", "rank", "words"])
+            raw = text.encode()
+            many = min(SPANS, -(-len(raw) // SPAN))
+            last = max(0, len(raw) - SPAN)
+            out.append([raw[a : a + SPAN] for a in (i * last // max(1, many - 1) for i in range(many))])
+        yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("rank"), pa.array(out, pa.list_(pa.binary()))], ["lang", "rank", "spans"])
 
 
 def train(docs: DataFrame, steps: int = STEPS) -> Network | None:
     """Fit on a bounded sample: up to DOCUMENTS labelled documents (by hash of doc_id) of every label.
 
-    None if no document has both a label and a word. Held-out documents are never read.
+    None if no document has both a label and a text. Held-out documents are never read.
     """
     known = plain(docs, doc_id="long", text="string", lang="string").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).withColumn("rank", F.xxhash64("doc_id"))
     counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
@@ -171,15 +213,15 @@ def train(docs: DataFrame, steps: int = STEPS) -> Network | None:
     share = F.least(F.lit(1.0), F.lit(2 * DOCUMENTS + 100) / F.col("n")) * span
     some = known.join(F.broadcast(counts), "lang").filter(F.pmod("rank", F.lit(span)) < share)
     few = some.withColumn("turn", F.row_number().over(Window.partitionBy("lang").orderBy("rank", "doc_id", "text"))).filter(F.col("turn") <= DOCUMENTS)
-    rows = few.select("lang", "rank", "text").mapInArrow(_draw, "lang string, rank long, words array<binary>").collect()
-    rows.sort(key=lambda r: (r["lang"], r["rank"], r["words"]))
-    labels = sorted({r["lang"] for r in rows if r["words"]})
+    rows = few.select("lang", "rank", "text").mapInArrow(_draw, "lang string, rank long, spans array<binary>").collect()
+    rows.sort(key=lambda r: (r["lang"], r["rank"], r["spans"]))
+    labels = sorted({r["lang"] for r in rows if r["spans"]})
     if not labels:
         return None
     net = Network(labels)
     if len(labels) > 1:
         at = {k: i for i, k in enumerate(labels)}
-        net.fit([bytes(w) for r in rows for w in r["words"]], np.repeat([at[r["lang"]] for r in rows], [len(r["words"]) for r in rows]), steps)
+        net.fit([bytes(x) for r in rows for x in r["spans"]], np.repeat([at[r["lang"]] for r in rows], [len(r["spans"]) for r in rows]), steps)
     return net
 
 

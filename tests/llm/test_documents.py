@@ -227,6 +227,36 @@ def test_every_label_is_learned(spark):
     assert np.mean([a == b for a, b in got if b > "l63"]) > 0.5
 
 
+def test_labels_held_out_change_nothing(spark, data):
+    """Other labels on held-out documents, and other sources and ids of equal remainder, leave the network as it is."""
+    from pyspark.sql import functions as F
+
+    d = spark.read.parquet(f"{data}/documents.parquet")
+    other = d.withColumn("lang", F.when(langid.held_out(), F.lit("xx")).otherwise(F.col("lang"))).withColumn("source", F.lit("s"))
+    a, b = langid.train(d, 3), langid.train(other, 3)
+    assert a.labels == b.labels and all((a.p[k] == b.p[k]).all() for k in a.p)
+
+
+def test_pieces_ties_and_repeated_rows(spark):
+    """A text in one piece is read as training reads it; longer ones count every byte; the first of equal labels wins."""
+    import pyarrow as pa
+
+    rng, net = np.random.default_rng(1), langid.Network(["a", "b", "c"])
+    text = "".join(rng.choice(list("abc dé"), 90))
+    raw = np.frombuffer(text.encode(), np.uint8)[None, :]
+    f, _ = net._layer("f", raw.astype(int))
+    b, _ = net._layer("b", raw[:, ::-1].astype(int))
+    score = f @ net.p["v"][: langid.HIDDEN] + b[::-1] @ net.p["v"][langid.HIDDEN :] + net.p["c"]
+    p = np.exp(score) / np.exp(score).sum(-1, keepdims=True)
+    total, count = net.documents(pa.array([text, "", None, text * 9, text]))
+    assert count.tolist() == [raw.size, 0, 0, 9 * raw.size, raw.size] and np.allclose(total.sum(1), count, rtol=1e-4)
+    assert np.allclose(total[0], p.sum((0, 1)), rtol=1e-4) and np.allclose(total[4], total[0])
+    net.p["v"][:] = 0
+    rows = [(1, "abc", "a"), (1, "abc", "a"), (2, "123", None)]
+    got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), net).collect()
+    assert sorted(tuple(r)[:2] for r in got) == [(1, "a"), (1, "a"), (2, "und")]
+
+
 def test_network_gradients():
     rng, net = np.random.default_rng(0), langid.Network(["a", "b", "c"])
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
