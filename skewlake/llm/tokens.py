@@ -6,8 +6,8 @@ import json
 import os
 from array import array
 
-#: Runs kept by a worker; beyond it the table starts afresh.
-KEPT = 900_000
+#: Runs of a generation: a table holds the present generation and the one before, so what is in use stays.
+KEPT = 400_000
 #: Longer runs aren't kept, so that the table's size is bounded.
 LONGEST = 64
 #: Signs that may follow a word; with them split off, the word itself is often known.
@@ -32,12 +32,15 @@ class Runs(dict):
     """
 
     def __init__(self, owner: Encoder, lead: str = "", lower: bool = False):
-        self.owner, self.lead, self.lower, self.signs = owner, lead, lower, {}
+        self.owner, self.lead, self.lower, self.signs, self.before = owner, lead, lower, {}, {}
 
     def __missing__(self, run: str | bytes) -> bytes | None:
-        out = self._encode(run if isinstance(run, str) else run.decode(), type(run))
+        out = self.before.get(run, self)
+        if out is self:
+            out = self._encode(run if isinstance(run, str) else run.decode(), type(run))
         if len(run) <= LONGEST:
             if len(self) >= KEPT:
+                self.before = dict(self)
                 self.clear()
             self[run] = out
         return out
