@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a written table in the shared folder.
+
+    A checkpoint hands on the size that the optimiser guessed. In rounds of joins that guess is a product with ever more
+    digits, until planning takes longer than the work; a table read back has the size of its files.
+    """
+    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def plain(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, cast; extra columns of the input, whatever their names, are dropped."""
     return df.select(*[F.col(f"`{c}`").cast(kind).alias(c) for c, kind in columns.items()])

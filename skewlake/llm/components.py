@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import stored
 
 
 def components(links: DataFrame) -> DataFrame:
     """links: a, b long. Returns node, part for every node named in a link; part is the smallest node it can reach."""
-    both = cut(links.filter("a <> b").select("a", "b").union(links.filter("a <> b").select(F.col("b"), F.col("a"))).distinct())
-    label = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("part")))
+    both = stored(links.filter("a <> b").select("a", "b").union(links.filter("a <> b").select(F.col("b"), F.col("a"))).distinct())
+    label = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("part")))
     while True:
         near = both.join(label, both["b"] == label["node"]).groupBy("a").agg(F.min("part").alias("near"))
         low = label.join(near, label["node"] == near["a"]).select("node", F.least("part", "near").alias("part"), F.col("part").alias("old"))
         up = label.select(F.col("node").alias("part"), F.col("part").alias("up"))
-        new = cut(low.join(up, "part", "left").select("node", F.least("part", "up").alias("part"), "old"))
+        new = stored(low.join(up, "part", "left").select("node", F.least("part", "up").alias("part"), "old"))
         if new.filter("part <> old").isEmpty():
             return new.select("node", "part")
         label = new.select("node", "part")

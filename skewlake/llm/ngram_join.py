@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, bucket_edges, byte_slices, cut, hashed, mix, pack_sorted, pack_u32, plain, text_bytes, unpack_sorted, unpack_u32
+from .common import Words, bucket_edges, byte_slices, hashed, mix, pack_sorted, pack_u32, plain, stored, text_bytes, unpack_sorted, unpack_u32
 from .components import components, stars
 
 ORDERS = 3
@@ -216,20 +216,20 @@ def _parts(sets: DataFrame, most: int) -> DataFrame:
     A part holds the sets that share prefix tokens under the first order, directly or by way of others. As links share prefix
     tokens under every order, parts of more than `most` sets are split further by those of the next orders.
     """
-    part = cut(components(stars(sets.select("node", F.explode("prefix0").alias("key")))))
+    part = stored(components(stars(sets.select("node", F.explode("prefix0").alias("key")))))
     for k in range(1, ORDERS + 1):
         count = part.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
         sized = part.join(count, "part")
         if k == ORDERS or count.filter(F.col("size") > most).isEmpty():
             return sets.join(sized, "node")
-        large = cut(sized.filter(F.col("size") > most).select("node", "part"))
+        large = stored(sized.filter(F.col("size") > most).select("node", "part"))
         keys = large.join(sets, "node").select("node", "part", F.explode(f"prefix{k}").alias("token")).select("node", F.struct("part", "token").alias("key"))
         finer = large.select("node").join(components(stars(keys)), "node", "left").select("node", F.coalesce("part", "node").alias("part"))
-        part = cut(sized.filter(F.col("size") <= most).select("node", "part").union(finer))
+        part = stored(sized.filter(F.col("size") <= most).select("node", "part").union(finer))
     raise AssertionError
 
 
-def ngram_groups(docs: DataFrame, size: int = 3, percent: int = 90, block_bytes: int = 6 << 20, most: int = 1500) -> DataFrame:
+def ngram_groups(docs: DataFrame, size: int = 3, percent: int = 90, block_bytes: int = 6 << 20, most: int = 400) -> DataFrame:
     """Group documents by links: 100 * intersection >= percent * union of their sets of `size`-word shingles.
 
     Equal sets stand as one. Tokens (shingles) are ordered rarest first, with ties broken in ORDERS different ways; two
@@ -245,34 +245,40 @@ def ngram_groups(docs: DataFrame, size: int = 3, percent: int = 90, block_bytes:
     """
     docs = plain(docs, doc_id="long", text="string")
     sets = docs.mapInArrow(_describe(size), "doc_id long, n_shingles long, k1 long, k2 long")
-    sets = cut(sets)
+    sets = stored(sets)
     reps = sets.filter("doc_id IS NOT NULL AND n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"))
-    reps = cut(reps.withColumn("node", F.monotonically_increasing_id()))
-    live = cut(_survivors(docs, reps, size, percent, block_bytes))
-    ready = cut(_parts(live, most).withColumn("label", F.col("node")))
+    reps = stored(reps.withColumn("node", F.monotonically_increasing_id()))
+    live = stored(_survivors(docs, reps, size, percent, block_bytes))
+    ready = stored(_parts(live, most).withColumn("label", F.col("node")))
     total = ready.agg(F.sum("n")).first()[0] or 0
     packs = max(1, -(-8 * total // block_bytes))
     label = ready.filter(F.col("size") <= most).groupBy(hashed(packs, "part").alias("pack")).applyInArrow(_solve(percent, True), "a long, b long").toDF("node", "part")
     large = ready.filter(F.col("size") > most)
     if not large.isEmpty():
         label = label.union(components(_large(large, percent, most)))
-    label = cut(label)
+    label = stored(label)
     low = label.join(reps, "node").groupBy("part").agg(F.min("doc_id").alias("low"))
     named = reps.join(label.join(low, "part"), "node", "left").select("k1", "k2", F.coalesce("low", "doc_id").alias("component_id"))
     out = sets.join(named, ["k1", "k2"], "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))).alias("component_id"))
 
 
+def _solved(rows: DataFrame, percent: int, *keys: str) -> DataFrame:
+    """Links in each group. Groups hold few bytes for their work, so they are dealt over all partitions, not as few as the bytes ask for."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored(rows.repartition(n, *keys).groupBy(*keys).applyInArrow(_solve(percent), "a long, b long"))
+
+
 def _large(rows: DataFrame, percent: int, most: int) -> DataFrame:
     """Links (a, b) among the sets of large parts, enough to join all that any chain of links joins."""
     rows = rows.withColumn("chunks", F.ceil(F.col("size") / most).cast("int")).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    spread = lambda df, links: cut(df.join(components(links).select(F.col("node").alias("label"), F.col("part").alias("low")), "label", "left").withColumn("label", F.coalesce("low", "label")).drop("low"))
-    one = cut(rows.groupBy("part", "chunk").applyInArrow(_solve(percent), "a long, b long"))
+    spread = lambda df, links: stored(df.join(components(links).select(F.col("node").alias("label"), F.col("part").alias("low")), "label", "left").withColumn("label", F.coalesce("low", "label")).drop("low"))
+    one = _solved(rows, percent, "part", "chunk")
     rows = spread(rows, one)
     lead = rows.filter("label = node")
     turns = lead.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("turns"))
     lead = lead.join(turns, "part").withColumn("turn", F.pmod(F.xxhash64("node", F.lit(1)), F.col("turns")).cast("int"))
-    two = cut(lead.groupBy("part", "turn").applyInArrow(_solve(percent), "a long, b long"))
+    two = _solved(lead, percent, "part", "turn")
     rows = spread(rows, two)
     split = rows.groupBy("part").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("part")
     open_ = rows.join(split, "part")
@@ -281,8 +287,7 @@ def _large(rows: DataFrame, percent: int, most: int) -> DataFrame:
     mixed = keys.groupBy("part", "token").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("part", "token")
     rest = open_.join(keys.join(mixed, ["part", "token"]).select("node").distinct(), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     rest = rest.withColumn("lo", F.least("chunk", "other")).withColumn("hi", F.greatest("chunk", "other"))
-    three = rest.groupBy("part", "lo", "hi").applyInArrow(_solve(percent), "a long, b long")
-    return one.union(two).union(three)
+    return one.union(two).union(_solved(rest, percent, "part", "lo", "hi"))
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
@@ -290,7 +295,7 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
 
     Rows without a doc_id stay. Of rows that repeat a kept doc_id and its text one stays.
     """
-    groups = cut(ngram_groups(docs, **options).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("low"), F.count(F.lit(1)).alias("n")))
+    groups = stored(ngram_groups(docs, **options).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("low"), F.count(F.lit(1)).alias("n")))
     gone = groups.filter("low < doc_id").select("doc_id")
     out = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     if groups.filter("n > 1 AND low = doc_id").isEmpty():
