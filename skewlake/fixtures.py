@@ -84,8 +84,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived view, over the base table that its text reads."""
     base = next(t for t in ("lineitem", "events", "part") if f"FROM {t}" in VIEWS[name])
-    table(spark, sf_dir, base).createOrReplaceTempView(base)
-    return spark.sql(VIEWS[name])
+    return over(spark, name, base, table(spark, sf_dir, base))
+
+
+def over(spark: SparkSession, name: str, base: str, rows: DataFrame) -> DataFrame:
+    """A derived view over the rows that stand for its base table; no view of the session is touched."""
+    return spark.sql(VIEWS[name].replace(f"FROM {base}", "FROM {rows}"), rows=rows)
 
 
 def with_views(sql: str) -> str:
@@ -95,4 +99,6 @@ def with_views(sql: str) -> str:
         return sql
     texts = ", ".join(f"{v} AS ({VIEWS[v]})" for v in used)
     sql = sql.strip()
+    if sql.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {texts}, {sql[15:]}"
     return f"WITH {texts}, {sql[5:]}" if sql[:5].upper() == "WITH " else f"WITH {texts} {sql}"

@@ -16,32 +16,48 @@ def scored(quotes: DataFrame, spot: str = "underlying_price") -> DataFrame:
     return quotes.withColumn("incomplete", F.when(complete_reading(), 0).otherwise(1)).withColumn("strike_gap", F.abs(F.col("strike") - F.col(spot)))
 
 
-def best_delta(targets: DataFrame, quotes: DataFrame, keep: list[str]) -> DataFrame:
+def best_delta(targets: DataFrame, quotes: DataFrame, keep: list[str], how: str = "inner") -> DataFrame:
     """For each target the quote of the smallest (delta gap, incomplete, distance from spot, strike).
 
     targets: symbol, snapshot_time, selected_expiry, option_type, target_delta and any more. Quotes without delta are no
-    candidates. One aggregate over an equi-join: nothing is sorted, and partial minima are taken before the shuffle.
+    candidates. One aggregate over an equi-join: nothing is sorted, and partial minima are taken before the shuffle. With how
+    "left", targets without a candidate stay, with a null best.
     """
     q = scored(quotes).filter(F.col("delta").isNotNull()).withColumnRenamed("expiry", "selected_expiry")
-    joined = targets.join(q, ["symbol", "snapshot_time", "selected_expiry", "option_type"])
+    joined = targets.join(q, ["symbol", "snapshot_time", "selected_expiry", "option_type"], how)
     gap = F.abs(F.col("delta") - F.col("target_delta"))
-    best = F.min(F.struct(gap.alias("gap"), "incomplete", "strike_gap", "strike", *[c for c in keep if c != "strike"])).alias("best")
+    best = F.min(F.when(F.col("delta").isNotNull(), F.struct(gap.alias("gap"), "incomplete", "strike_gap", "strike", *[c for c in keep if c != "strike"]))).alias("best")
     return joined.groupBy(*targets.columns).agg(best)
 
 
+def _start(targets: DataFrame, quotes: DataFrame, key: list[str]) -> DataFrame:
+    """Where the walk of each target starts (place), and in which direction it is bound to go (0: either).
+
+    The quote at starting_strike; where that strike isn't quoted, the better by score of the nearest quotes above and below (of
+    equal ones that below), and the walk then goes on that way only.
+    """
+    gap = F.coalesce(F.abs(F.col("delta") - F.col("target_delta")), F.lit(float("inf")))
+    quote = F.struct("strike", "place", F.struct(gap, "incomplete", "strike_gap").alias("score"))
+    above, below = F.col("strike") >= F.col("starting_strike"), F.col("strike") < F.col("starting_strike")
+    near = targets.join(quotes, key).groupBy(*targets.columns).agg(F.min(F.when(above, quote)).alias("above"), F.max(F.when(below, quote)).alias("below"))
+    exact = F.coalesce(F.col("above.strike") == F.col("starting_strike"), F.lit(False))
+    up = exact | F.col("below").isNull() | F.coalesce(F.col("above.score") < F.col("below.score"), F.lit(False))
+    return near.select(*targets.columns, F.when(up, F.col("above.place")).otherwise(F.col("below.place")).alias("start"), F.when(exact, 0).when(up, 1).otherwise(-1).alias("bound"))
+
+
 def best_delta_bounded(targets: DataFrame, quotes: DataFrame, max_hops: int, patience: int) -> DataFrame:
-    """Search outward from the quote nearest `guess` by strike, as a bounded walk.
+    """Search outward from starting_strike, as a bounded walk over the quotes that are present.
 
-    Quotes present are ranked by strike; hop h looks at both sides of the start until one improves, then only at that side. A
-    null delta is no improvement and isn't counted. The walk ends after `patience` hops without improvement or at max_hops + 1
-    counted quotes. Only quotes within the reach of the walk are gathered, so arrays stay within 2 * reach + 1 structs.
+    Quotes are ranked by strike; hop h looks at both sides of the start until one improves, then only at that side. A start
+    that had to be moved off an unquoted strike goes one way only. A null delta is no improvement and isn't counted. The walk
+    ends after `patience` hops without improvement or at max_hops + 1 counted quotes. Only quotes within the reach of the
+    walk are gathered, so arrays stay within 2 * reach + 1 structs.
     """
-    reach = max_hops + patience + 1
+    reach = (max_hops + 1) * patience
     key = ["symbol", "snapshot_time", "selected_expiry", "option_type"]
     place = F.row_number().over(Window.partitionBy(*QUOTE).orderBy("strike"))
     q = scored(quotes).withColumn("place", place).withColumnRenamed("expiry", "selected_expiry").select(*key, "strike", "delta", "incomplete", "strike_gap", "place")
-    start = targets.join(q, key).groupBy(*targets.columns).agg(F.min(F.struct(F.abs(F.col("strike") - F.col("guess")).alias("d"), "strike", "place")).alias("s"))
-    start = start.select(*targets.columns, F.col("s.place").alias("start"))
+    start = _start(targets, q, key)
     near = start.join(q, key).withColumn("hop", F.col("place") - F.col("start")).filter(F.abs("hop") <= reach)
     score = F.struct(F.abs(F.col("delta") - F.col("target_delta")).alias("gap"), "incomplete", "strike_gap", "strike", "delta")
     item = F.struct(F.abs("hop").alias("h"), F.signum(F.col("hop").cast("double")).cast("int").alias("side"), score.alias("score"))
@@ -58,23 +74,23 @@ def best_delta_bounded(targets: DataFrame, quotes: DataFrame, max_hops: int, pat
     better = "a.best IS NULL OR struct(x.score.gap, x.score.incomplete, x.score.strike_gap) < struct(a.best.gap, a.best.incomplete, a.best.strike_gap)"
     seen = f"""CASE WHEN a.done OR (a.way <> 0 AND x.side <> a.way AND x.h > 0) THEN a
         WHEN x.score.gap IS NULL THEN {state(looked="true")}
-        WHEN {better} THEN {state(best="x.score", direction="x.side", counted="a.counted + 1", improved="true", looked="true")}
+        WHEN {better} THEN {state(best="x.score", direction="IF(x.h = 0, a.direction, x.side)", counted="a.counted + 1", improved="true", looked="true")}
         ELSE {state(counted="a.counted + 1", looked="true")} END"""
-    zero = state(best=none, way="0", direction="0", idle="0", counted="0", hop="0", improved="false", looked="false", done="false")
+    zero = state(best=none, way="bound", direction="bound", idle="0", counted="0", hop="0", improved="false", looked="false", done="false")
     # each quote is met twice: first it may begin a hop, then it is looked at
     fold = f"""aggregate(flatten(transform(items, i -> array(named_struct('opens', true, 'h', i.h, 'side', i.side, 'score', i.score), named_struct('opens', false, 'h', i.h, 'side', i.side, 'score', i.score)))),
         {zero}, (a, x) -> CASE WHEN a.done THEN a WHEN x.opens AND x.h <> a.hop THEN {begun} WHEN x.opens THEN a ELSE {seen} END).best"""
     return walk.select(*targets.columns, F.expr(fold).alias("best"))
 
 
-def target_status(targets: DataFrame, best: DataFrame) -> DataFrame:
+def target_status(targets: DataFrame, quotes: DataFrame, keep: list[str]) -> DataFrame:
     """One row for each target: SELECTED, MISSING_NULL_FIELDS (the best quote lacks a reading) or MISSING_NO_CANDIDATE."""
-    joined = targets.join(best.select(*_key(targets), "best"), _key(targets), "left")
+    joined = best_delta(targets, quotes, keep, "left")
     status = F.when(F.col("best").isNull(), "MISSING_NO_CANDIDATE").when(F.col("best.incomplete") == 1, "MISSING_NULL_FIELDS").otherwise("SELECTED")
     reason = F.when(F.col("selected_expiry").isNull(), "no expiry for tenor").when(F.col("best").isNull(), "no quote with delta").when(F.col("best.incomplete") == 1, "best quote lacks readings")
     return joined.select(
         *_key(targets), status.alias("status"), reason.alias("reason"), "selected_expiry",
-        F.col("best.strike").alias("selected_strike"), F.col("best.delta").alias("selected_delta"), F.col("best.gap").alias("delta_gap_abs"),
+        F.col("best.strike").alias("selected_strike"), F.col("best.delta").alias("selected_delta"), F.col("best.gap").alias("delta_gap_abs"), "best",
     )
 
 

@@ -11,6 +11,7 @@ from .. import config
 from ..fixtures import table, view, with_views
 from ..functions import scalars as S
 from ..operators import clean, universe
+from ..sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,12 +71,21 @@ def quotes(spark: SparkSession, d: str) -> DataFrame:
     return view(spark, d, "fx_quotes")
 
 
+def stored_quotes(spark: SparkSession, d: str) -> DataFrame:
+    """The quotes, written once, for queries that read them several times."""
+    return tables.write_and_read(quotes(spark, d), [])
+
+
 def cleaned(spark: SparkSession, d: str) -> DataFrame:
     return clean.clean_quotes(quotes(spark, d))
 
 
-def grid(spark: SparkSession, d: str) -> DataFrame:
-    symbols = quotes(spark, d).select("symbol").distinct()
+def clean_of(q: DataFrame) -> DataFrame:
+    return clean.clean_quotes(q)
+
+
+def grid(spark: SparkSession, d: str, q: DataFrame | None = None) -> DataFrame:
+    symbols = (quotes(spark, d) if q is None else q).select("symbol").distinct()
     return universe.target_grid(universe.target_config(symbols, config.symbol_targets(spark), TENORS, DELTAS).drop("expected_targets"))
 
 

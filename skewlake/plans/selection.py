@@ -10,12 +10,12 @@ from ..operators import clean, progress
 from ..operators import select as P
 from ..operators import universe as U
 from ..sources import tables as T
-from .base import asof, CQ, GRID, STATUS, S, cleaned, expiries, grid, query, quotes, spots, strikes
+from .base import asof, clean_of, CQ, GRID, STATUS, S, cleaned, expiries, grid, query, quotes, spots, stored_quotes, strikes
 
 BY = ["symbol", "snapshot_time", "option_type", "target_tenor_dte", "target_delta_abs"]
 
 
-@query("SELECT s.symbol, s.strike, e.expiry, o AS option_type FROM (SELECT DISTINCT symbol, strike FROM fx_quotes WHERE symbol < 'S3') s JOIN (SELECT DISTINCT symbol, expiry FROM fx_quotes) e ON e.symbol = s.symbol, (SELECT unnest(['C', 'P']) AS o) EXCEPT SELECT symbol, strike, expiry, option_type FROM fx_quotes")
+@query("SELECT s.symbol, s.strike, e.expiry, o AS option_type FROM (SELECT DISTINCT symbol, strike FROM fx_quotes) s JOIN (SELECT DISTINCT symbol, expiry FROM fx_quotes) e ON e.symbol = s.symbol, (SELECT unnest(['C', 'P']) AS o) EXCEPT SELECT symbol, strike, expiry, option_type FROM fx_quotes")
 def contract_universe(spark, d):
     """Contracts to be followed, less those already quoted."""
     every = U.contract_universe(strikes(spark, d), expiries(spark, d), ["symbol"])
@@ -47,8 +47,8 @@ def missing_targets(spark, d):
     return plan.filter("selected_expiry IS NULL").select("symbol", "snapshot_time", "target_tenor_dte", "target_delta_abs", "option_type", F.lit("MISSING_NO_CANDIDATE").alias("status"))
 
 
-def _plan(spark, d) -> DataFrame:
-    return P.plan_targets(quotes(spark, d), grid(spark, d), asof())
+def _plan(spark, d, q: DataFrame) -> DataFrame:
+    return P.plan_targets(q, grid(spark, d, q), asof())
 
 
 RANKED = "rk AS (SELECT symbol, strike, row_number() OVER (PARTITION BY symbol ORDER BY strike) AS place FROM (SELECT DISTINCT symbol, strike FROM fx_quotes)), sp AS (SELECT DISTINCT symbol, underlying_price AS spot FROM fx_quotes)"
@@ -94,28 +94,61 @@ def split_put_call(spark, d):
     return U.split_put_call(quotes(spark, d).select("symbol", "expiry", "strike").distinct(), ["symbol", "expiry"])
 
 
-BEST = ["bid", "ask", "underlying_price"]
+KEEP = ["delta", "bid", "ask", "last", "volume", "open_interest", "underlying_price", "iv_bid", "iv_ask", "gamma", "theta", "vega"]
 
 
-def _best(spark, d) -> tuple[DataFrame, DataFrame]:
-    plan = _plan(spark, d)
-    return plan, P.best_delta(plan.filter("selected_expiry IS NOT NULL"), cleaned(spark, d), ["delta", *BEST])
+def _best(spark, d) -> DataFrame:
+    q = stored_quotes(spark, d)
+    return P.best_delta(_plan(spark, d, q).filter("selected_expiry IS NOT NULL"), clean_of(q), KEEP)
+
+
+def _status(spark, d) -> DataFrame:
+    q = stored_quotes(spark, d)
+    return P.target_status(_plan(spark, d, q), clean_of(q), ["delta"])
 
 
 @query(f"WITH {CQ}, {GRID} SELECT symbol, snapshot_time, option_type, target_tenor_dte, target_delta_abs, selected_expiry, strike AS selected_strike, delta AS selected_delta, gap AS delta_gap_abs, incomplete FROM best")
 def best_delta(spark, d):
-    _, best = _best(spark, d)
+    best = _best(spark, d).filter("best IS NOT NULL")
     return best.select(*BY, "selected_expiry", F.col("best.strike").alias("selected_strike"), F.col("best.delta").alias("selected_delta"), F.col("best.gap").alias("delta_gap_abs"), F.col("best.incomplete").alias("incomplete"))
 
 
-def _guessed(spark, d) -> DataFrame:
-    plan = _plan(spark, d).filter("selected_expiry IS NOT NULL").join(spots(spark, d), "symbol")
-    return U.delta_guesses(plan, S.dte(F.col("selected_expiry"), asof())).drop("spot")
-
-
-@query()
+def _guessed(spark, d, q: DataFrame | None = None) -> DataFrame:
+    """Targets with the strike of the chain that is nearest to the guess, whether or not it is quoted in the snapshot."""
+    q = quotes(spark, d) if q is None else q
+    plan = _plan(spark, d, q).filter("selected_expiry IS NOT NULL").join(q.select("symbol", F.col("underlying_price").alias("spot")).distinct(), "symbol")
+    guessed = U.delta_guesses(plan, S.dte(F.col("selected_expiry"), asof())).drop("spot")
+    chain = q.select("symbol", F.col("expiry").alias("selected_expiry"), "strike").distinct()
+    start = U.nearest_strike(guessed.select("symbol", "selected_expiry", "guess").distinct(), chain, ["symbol", "selected_expiry"])
+    return guessed.join(start.withColumnRenamed("selected_strike", "starting_strike"), ["symbol", "selected_expiry", "guess"])
+
+
+@query(f"""WITH RECURSIVE {CQ}, {GRID}, sp AS (SELECT DISTINCT symbol, underlying_price AS spot FROM fx_quotes),
+t AS (SELECT symbol, snapshot_time, target_tenor_dte, target_delta_abs AS dl, option_type AS o, target_delta, selected_expiry AS expiry FROM plan WHERE selected_expiry IS NOT NULL),
+g AS (SELECT t.*, spot * CASE WHEN o = 'C' THEN 1 + {OFFSET} ELSE 1 - {OFFSET} END AS guess FROM t JOIN sp ON sp.symbol = t.symbol),
+ss AS (SELECT g.symbol, snapshot_time, target_tenor_dte, dl, o, target_delta, g.expiry, arg_min(strike, abs(strike - guess) * 1000000 + strike) AS s0 FROM g JOIN (SELECT DISTINCT symbol, expiry, strike FROM fx_quotes) c ON c.symbol = g.symbol AND c.expiry = g.expiry GROUP BY ALL),
+pq AS MATERIALIZED (SELECT symbol, snapshot_time, expiry, option_type AS o, strike, delta, incomplete, strike_gap, row_number() OVER (PARTITION BY symbol, snapshot_time, expiry, option_type ORDER BY strike) AS place FROM sq),
+sc AS (SELECT ss.*, strike, place, ROW(coalesce(abs(delta - target_delta), CAST('inf' AS DOUBLE)), incomplete, strike_gap) AS score FROM ss JOIN pq USING (symbol, snapshot_time, expiry, o)),
+nr AS (SELECT symbol, snapshot_time, target_tenor_dte, dl, o, target_delta, expiry, s0, min(strike) FILTER (strike >= s0) AS ka, arg_min(place, strike) FILTER (strike >= s0) AS pa, arg_min(score, strike) FILTER (strike >= s0) AS a, arg_max(place, strike) FILTER (strike < s0) AS pb, arg_max(score, strike) FILTER (strike < s0) AS b FROM sc GROUP BY ALL),
+s1 AS (SELECT *, CASE WHEN ka = s0 OR pb IS NULL OR a < b THEN pa ELSE pb END AS start, CASE WHEN ka = s0 THEN 0 WHEN pb IS NULL OR a < b THEN 1 ELSE -1 END AS dir FROM nr),
+wk AS (SELECT s.symbol, s.snapshot_time, s.target_tenor_dte, s.dl, s.o, s.target_delta, s.expiry, s.start, s.dir, 0 AS hop, 0 AS idle, CASE WHEN q.delta IS NULL THEN 0 ELSE 1 END AS counted,
+    CASE WHEN q.delta IS NOT NULL THEN ROW(abs(q.delta - s.target_delta), q.incomplete, q.strike_gap, q.strike, q.delta) END AS best
+  FROM s1 s JOIN pq q ON q.symbol = s.symbol AND q.snapshot_time = s.snapshot_time AND q.expiry = s.expiry AND q.o = s.o AND q.place = s.start
+  UNION ALL
+  SELECT symbol, snapshot_time, target_tenor_dte, dl, o, target_delta, expiry, start, CASE WHEN up THEN 1 WHEN down THEN -1 ELSE dir END, hop + 1, CASE WHEN NOT seen THEN idle WHEN up OR down THEN 0 ELSE idle + 1 END, counted + n, CASE WHEN up THEN h WHEN down THEN l ELSE best END
+  FROM (SELECT *, h IS NOT NULL AND (CASE WHEN down THEN l ELSE best END IS NULL OR (h[1], h[2], h[3]) < (CASE WHEN down THEN l[1] ELSE best[1] END, CASE WHEN down THEN l[2] ELSE best[2] END, CASE WHEN down THEN l[3] ELSE best[3] END)) AS up
+    FROM (SELECT *, l IS NOT NULL AND (best IS NULL OR (l[1], l[2], l[3]) < (best[1], best[2], best[3])) AS down
+      FROM (SELECT w.*, lo.place IS NOT NULL OR hi.place IS NOT NULL AS seen, CASE WHEN lo.delta IS NULL THEN 0 ELSE 1 END + CASE WHEN hi.delta IS NULL THEN 0 ELSE 1 END AS n,
+          CASE WHEN lo.delta IS NOT NULL THEN ROW(abs(lo.delta - w.target_delta), lo.incomplete, lo.strike_gap, lo.strike, lo.delta) END AS l,
+          CASE WHEN hi.delta IS NOT NULL THEN ROW(abs(hi.delta - w.target_delta), hi.incomplete, hi.strike_gap, hi.strike, hi.delta) END AS h
+        FROM wk w LEFT JOIN pq lo ON lo.symbol = w.symbol AND lo.snapshot_time = w.snapshot_time AND lo.expiry = w.expiry AND lo.o = w.o AND lo.place = w.start - w.hop - 1 AND w.dir <= 0
+        LEFT JOIN pq hi ON hi.symbol = w.symbol AND hi.snapshot_time = w.snapshot_time AND hi.expiry = w.expiry AND hi.o = w.o AND hi.place = w.start + w.hop + 1 AND w.dir >= 0
+        WHERE w.idle < {config.PATIENCE} AND w.counted < {config.MAX_HOPS + 1} AND w.hop < {(config.MAX_HOPS + 1) * config.PATIENCE}))))
+SELECT symbol, snapshot_time, o AS option_type, target_tenor_dte, dl AS target_delta_abs, expiry AS selected_expiry, b[4] AS selected_strike, b[5] AS selected_delta, b[1] AS delta_gap_abs
+FROM (SELECT symbol, snapshot_time, o, target_tenor_dte, dl, expiry, last(best ORDER BY hop) AS b FROM wk GROUP BY ALL)""")
 def best_delta_bounded(spark, d):
-    best = P.best_delta_bounded(_guessed(spark, d), cleaned(spark, d), config.MAX_HOPS, config.PATIENCE)
+    q = stored_quotes(spark, d)
+    best = P.best_delta_bounded(_guessed(spark, d, q), clean_of(q), config.MAX_HOPS, config.PATIENCE)
     return best.select(*BY, "selected_expiry", F.col("best.strike").alias("selected_strike"), F.col("best.delta").alias("selected_delta"), F.col("best.gap").alias("delta_gap_abs"))
 
 
@@ -123,9 +156,7 @@ def best_delta_bounded(spark, d):
 g AS (SELECT t.*, spot * CASE WHEN o = 'C' THEN 1 + {OFFSET} ELSE 1 - {OFFSET} END AS guess FROM t JOIN sp ON sp.symbol = t.symbol)
 SELECT g.symbol, g.expiry AS selected_expiry, dl AS target_delta_abs, o AS option_type, arg_min(strike, abs(strike - guess) * 1000000 + strike) AS selected_strike FROM g JOIN (SELECT DISTINCT symbol, expiry, strike FROM fx_quotes) c ON c.symbol = g.symbol AND c.expiry = g.expiry GROUP BY ALL""")
 def starting_strike(spark, d):
-    guesses = _guessed(spark, d).select("symbol", "selected_expiry", "target_delta_abs", "option_type", "guess").distinct()
-    chain = quotes(spark, d).select("symbol", F.col("expiry").alias("selected_expiry"), "strike").distinct()
-    return U.nearest_strike(guesses, chain, ["symbol", "selected_expiry"]).drop("guess")
+    return _guessed(spark, d).select("symbol", "selected_expiry", "target_delta_abs", "option_type", F.col("starting_strike").alias("selected_strike")).distinct()
 
 
 @query("""SELECT symbol, snapshot_time, expiry, strike, option_type, CAST(row_number() OVER (PARTITION BY symbol, snapshot_time ORDER BY expiry - DATE '2024-01-02', abs(strike - underlying_price), strike, option_type) AS INTEGER) AS queue_place FROM fx_quotes""")
@@ -142,22 +173,27 @@ def first_expiries(spark, d):
 @query(f"WITH {CQ}, {GRID}, {STATUS} SELECT * FROM st")
 def skew_target_status(spark, d):
     """The flagship: grid, nearest expiry, best quote, and what became of each target."""
-    return P.target_status(*_best(spark, d))
+    return _status(spark, d).drop("best")
 
 
-@query(f"WITH {CQ}, {GRID} SELECT symbol, snapshot_time, selected_expiry AS expiry, strike, option_type, target_tenor_dte, target_delta_abs, CAST(selected_expiry - DATE '2024-01-02' AS INTEGER) AS dte, gap AS delta_gap_abs, bid, ask, underlying_price, delta, strike / underlying_price AS moneyness FROM best WHERE incomplete = 0")
+@query(f"""WITH {CQ}, {GRID} SELECT symbol, snapshot_time, selected_expiry AS expiry, strike, option_type, target_tenor_dte, target_delta_abs, CAST(selected_expiry - DATE '2024-01-02' AS INTEGER) AS dte, gap AS delta_gap_abs,
+delta, bid, ask, last, volume, open_interest, underlying_price, iv_bid, iv_ask, gamma, theta, vega, (iv_bid + iv_ask) / 2 AS iv_mid, CAST(NULL AS DOUBLE) AS rho, strike / underlying_price AS moneyness,
+md5(symbol || '_tenor_delta_' || strftime(snapshot_time, '%Y-%m-%dT%H:%M:%S')) AS collection_batch FROM best WHERE incomplete = 0""")
 def skew_snapshot(spark, d):
-    """Rows of the targets that are filled, as stored."""
-    _, best = _best(spark, d)
-    kept = best.filter("best.incomplete = 0")
-    out = kept.select("symbol", "snapshot_time", F.col("selected_expiry").alias("expiry"), F.col("best.strike").alias("strike"), "option_type", "target_tenor_dte", "target_delta_abs", S.dte(F.col("selected_expiry"), asof()).alias("dte"), F.col("best.gap").alias("delta_gap_abs"), *[F.col(f"best.{c}").alias(c) for c in BEST], F.col("best.delta").alias("delta"))
-    return out.withColumn("moneyness", S.moneyness(F.col("strike"), F.col("underlying_price")))
+    """Rows of the targets that are filled, written once by snapshot and given as read back."""
+    kept = _best(spark, d).filter("best.incomplete = 0")
+    out = kept.select("symbol", "snapshot_time", F.col("selected_expiry").alias("expiry"), F.col("best.strike").alias("strike"), "option_type", "target_tenor_dte", "target_delta_abs", S.dte(F.col("selected_expiry"), asof()).alias("dte"), F.col("best.gap").alias("delta_gap_abs"), *[F.col(f"best.{c}").alias(c) for c in KEEP])
+    out = out.withColumns({
+        "iv_mid": S.iv_mid(F.col("iv_bid"), F.col("iv_ask")), "rho": F.lit(None).cast("double"), "moneyness": S.moneyness(F.col("strike"), F.col("underlying_price")),
+        "collection_batch": S.batch_id(F.concat("symbol", F.lit("_tenor_delta")), S.iso(F.col("snapshot_time").cast("timestamp"))),
+    })
+    return T.write_and_read(out.withColumn("snapshot_date", F.to_date("snapshot_time")), ["snapshot_date"]).drop("snapshot_date")
 
 
 @query(f"""WITH {CQ}, {GRID}, {STATUS} SELECT symbol, snapshot_time, count(*) AS expected, count(*) FILTER (WHERE status = 'SELECTED') AS completed, count(*) FILTER (WHERE status <> 'SELECTED') AS missing,
 CASE WHEN count(*) FILTER (WHERE status = 'SELECTED') > 0 THEN 'COMPLETED' ELSE 'FAILED' END AS status, CASE WHEN count(*) FILTER (WHERE status = 'SELECTED') = 0 THEN 'no target filled' END AS error_message FROM st GROUP BY symbol, snapshot_time""")
 def skew_progress(spark, d):
-    return progress.rollup(P.target_status(*_best(spark, d)), ["symbol", "snapshot_time"], F.col("status") == "SELECTED", "no target filled")
+    return progress.rollup(_status(spark, d), ["symbol", "snapshot_time"], F.col("status") == "SELECTED", "no target filled")
 
 
 @query(f"""WITH {CQ}, {RANKED}, {_near('spot', 'c')}, ex AS (SELECT symbol, expiry, row_number() OVER (PARTITION BY symbol ORDER BY expiry) AS rn FROM (SELECT DISTINCT symbol, expiry FROM fx_quotes WHERE expiry > DATE '2024-01-02')),

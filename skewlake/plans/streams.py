@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..fixtures import VIEWS
+from ..fixtures import over
 from ..sources import tables as T
 from ..streaming import ticks as K
 from .base import query, ticks
@@ -20,8 +20,7 @@ def _source(spark: SparkSession, d: str, view: str) -> DataFrame:
     single = table.inputFiles()[0].rstrip("/").endswith(f"/{name}") if table.inputFiles() else True
     schema = table._jdf.schema().toDDL()
     events = K.read_events(spark, d if single else f"{d}/{name}", schema, glob=name if single else None)
-    events.createOrReplaceTempView("event_stream")
-    return spark.sql(VIEWS[view].replace("FROM events", "FROM event_stream"))
+    return over(spark, view, "events", events)
 
 
 def _collect(spark: SparkSession, stream: DataFrame, mode: str) -> DataFrame:

@@ -46,10 +46,13 @@ def overwrite_partitions(rows: DataFrame, path: str, by: list[str]) -> None:
 
 
 def write_and_read(rows: DataFrame, by: list[str], folder: str | None = None) -> DataFrame:
-    """Write a snapshot in one action and read it back; for callers that go on from what was stored."""
+    """Write a snapshot in one action, by partitions if any are named, and read it back; for callers that go on from what was stored."""
     spark = rows.sparkSession
     path = f"{folder or shared_folder(spark)}/snapshot-{uuid.uuid4().hex}"
-    overwrite_partitions(rows, path, by)
+    if by:
+        overwrite_partitions(rows, path, by)
+    else:
+        rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
 
 
