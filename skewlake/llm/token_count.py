@@ -8,10 +8,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, bucket_edges, byte_slices, pack_u32, plain, unpack_u32
+from .common import Words, bucket_edges, byte_slices, pack_u32, plain, text_bytes, unpack_u32
 from .tokens import encoder
 
-BUCKETS = 64
+#: Hash ranges of pre-tokens, and slices that meet in one group: a group holds about as much as one slice, however many there are.
+BUCKETS = SLICES = 256
 BLOCK = "block long, bucket int, runs binary, sizes binary, at binary, times binary, doc_id array<long>, n_bytes array<long>"
 SUMS = "block long, at binary, n binary, doc_id array<long>, n_bytes array<long>"
 LONGS = pa.list_(pa.int64())
@@ -21,9 +22,10 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, slice_bytes
     """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit) for each row of docs.
 
     Pre-tokens are the runs between ASCII white space, which the library encodes each on its own. Each slice of rows gives
-    its distinct pre-tokens with their frequencies by document, dealt by hash of the pre-token; where they meet, each
-    distinct pre-token is counted once, joined to the frequencies and summed by document; ids are never kept for a
-    document. A hash range is dealt further by slice number once there are many slices, so a frequent pre-token is shared out.
+    its distinct pre-tokens (compared as words where hashes agree) with their frequencies by document, dealt by hash of
+    the pre-token; where they meet, each distinct pre-token is counted once, joined to the frequencies and summed by
+    document; ids are never kept for a document. Over SLICES slices (2 GB of text) a hash range is dealt in several groups,
+    so a frequent pre-token is shared out and counted once in each.
 
     The tokenizer file must drop white space (Encoder kind "dropped"); for any other, whole texts are encoded and counted.
     Null or empty text: 0 bytes and 0 tokens. Null doc_id: counted like any row. Repeated rows each give a row; an empty
@@ -33,14 +35,19 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, slice_bytes
     if encoder(tokenizer).kind != "dropped":
         return _whole(docs, tokenizer, limit)
 
+    _, size = text_bytes(docs)
+    slices = max(1, -(-size // slice_bytes))
+    buckets = min(BUCKETS, slices)
+
     def spread(batches):
         turn = TaskContext.get().partitionId() << 32
         for b in byte_slices(batches, slice_bytes):
             words, turn = Words(b.column("text")), turn + 1
-            h, first, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
+            first, inverse = words.distinct()
+            h = words.hash[first]
             pair, times = np.unique(inverse * len(b) + words.text_of(), return_counts=True)
             run, at = pair // max(1, len(b)), pair % max(1, len(b))
-            edge = bucket_edges(h, BUCKETS)
+            edge = bucket_edges(h, buckets)
             where = np.searchsorted(run, edge)
             begin, end = words.begin[first].tolist(), words.end[first].tolist()
             raw = words.data.tobytes()
@@ -52,26 +59,27 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, slice_bytes
                 for c, v in zip(out, row, strict=True):
                     out[c].append(v)
             nbytes = [0 if t is None else len(t) for t in b.column("text").cast(pa.large_binary()).to_pylist()]
-            for c, v in zip(out, (turn, turn % BUCKETS, None, None, None, None, b.column("doc_id").to_pylist(), nbytes), strict=True):
+            for c, v in zip(out, (turn, turn % buckets, None, None, None, None, b.column("doc_id").to_pylist(), nbytes), strict=True):
                 out[c].append(v)
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("block", pa.int64()), ("bucket", pa.int32()), *[(c, pa.binary()) for c in ("runs", "sizes", "at", "times")], ("doc_id", LONGS), ("n_bytes", LONGS)]))
 
-    def join(batches):
-        count = encoder(tokenizer)
-        for b in batches:
-            at_out, n_out = [], []
-            for runs, sizes, at, times in zip(*(b.column(c).to_pylist() for c in ("runs", "sizes", "at", "times")), strict=True):
-                if runs is None:
-                    at_out.append(None)
-                    n_out.append(None)
-                    continue
-                n = np.repeat(np.array(count.pieces(runs.split(b"\n")), np.int64), unpack_u32(sizes)) * unpack_u32(times)
-                doc = unpack_u32(at).astype(np.int64)
-                total = np.bincount(doc, weights=n)
-                held = np.flatnonzero(total)
-                at_out.append(held.astype("<i8").tobytes())
-                n_out.append(total[held].astype("<i8").tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("block"), pa.array(at_out, pa.binary()), pa.array(n_out, pa.binary()), b.column("doc_id"), b.column("n_bytes")], ["block", "at", "n", "doc_id", "n_bytes"])
+    def join(table: pa.Table) -> pa.Table:
+        """Count the group's distinct pre-tokens, and sum by slice and document."""
+        some = [None if x is None else x.split(b"\n") for x in table.column("runs").to_pylist()]
+        distinct = list(dict.fromkeys(run for runs in some if runs for run in runs))
+        count = dict(zip(distinct, encoder(tokenizer).pieces(distinct), strict=True))
+        at_out, n_out = [], []
+        for runs, sizes, at, times in zip(some, *(table.column(c).to_pylist() for c in ("sizes", "at", "times")), strict=True):
+            if runs is None:
+                at_out.append(None)
+                n_out.append(None)
+                continue
+            n = np.repeat(np.array([count[x] for x in runs], np.int64), unpack_u32(sizes)) * unpack_u32(times)
+            total = np.bincount(unpack_u32(at).astype(np.int64), weights=n)
+            held = np.flatnonzero(total)
+            at_out.append(held.astype("<i8").tobytes())
+            n_out.append(total[held].astype("<i8").tobytes())
+        return pa.table({"block": table.column("block"), "at": pa.array(at_out, pa.binary()), "n": pa.array(n_out, pa.binary()), "doc_id": table.column("doc_id"), "n_bytes": table.column("n_bytes")})
 
     def total(table: pa.Table) -> pa.Table:
         own = next(i for i, x in enumerate(table.column("doc_id").to_pylist()) if x is not None)
@@ -82,8 +90,9 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, slice_bytes
                 n[np.frombuffer(at, "<i8")] += np.frombuffer(some, "<i8")
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_bytes": pa.array(size, pa.int64()), "n_tokens": pa.array(n)})
 
-    dealt = docs.mapInArrow(spread, BLOCK).repartition("bucket", F.shiftright("block", 42))
-    out = dealt.mapInArrow(join, SUMS).groupBy("block").applyInArrow(total, "doc_id long, n_bytes long, n_tokens long")
+    dealt = docs.mapInArrow(spread, BLOCK).withColumn("group", F.pmod(F.xxhash64("block"), F.lit(-(-slices // SLICES))))
+    joined = dealt.repartition(max(8, slices), "bucket", "group").groupBy("bucket", "group").applyInArrow(join, SUMS)
+    out = joined.groupBy("block").applyInArrow(total, "doc_id long, n_bytes long, n_tokens long")
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
