@@ -15,11 +15,22 @@ CELL = "vec_id long, query boolean, dim int, cell int, dist double, norm double,
 
 
 def _unpack(blobs: list[bytes], dim: int) -> np.ndarray:
+    if len({len(b) for b in blobs}) == 1 and dim:
+        return np.frombuffer(b"".join(blobs), f"<i{len(blobs[0]) // dim}").reshape(len(blobs), dim).astype(np.int64)
     return np.array([np.frombuffer(b, f"<i{max(1, len(b) // dim)}" if dim else "<i2") for b in blobs], np.int64).reshape(len(blobs), dim)
 
 
-def _pack(row: np.ndarray) -> bytes:
-    return row.astype("<i2" if len(row) == 0 or np.abs(row).max() < 32768 else "<i8").tobytes()
+def _pack(x: np.ndarray) -> list[bytes]:
+    """The rows of a matrix, in two bytes a number where all of them fit."""
+    x = x.astype("<i2" if not x.size or np.abs(x).max() < 32768 else "<i8")
+    raw, n = x.tobytes(), x.shape[1] * x.itemsize
+    return [raw[i * n : (i + 1) * n] for i in range(len(x))]
+
+
+def _by_dim(sizes: np.ndarray):
+    """Each dimension with the rows that have it."""
+    for dim in np.unique(sizes).tolist():
+        yield dim, np.flatnonzero(sizes == dim)
 
 
 def _best(q: np.ndarray, x: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> list[tuple[int, int, int]]:
@@ -40,11 +51,11 @@ def _best(q: np.ndarray, x: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int
     return out
 
 
-def knn_join(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, pivots: int = 16) -> DataFrame:
+def knn_join(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, pivots: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: the k rows of greatest inner product with each query, but for the query itself.
 
     Components x become floor(scale * x). Rows are grouped by their nearest pivot (a sample of at most `pivots` rows, by hash
-    of vec_id; a vector whose dimension no pivot has is grouped about the origin). Summaries of each group (rows, radius, k + 1 smallest
+    of vec_id: where not given one for 50,000 rows, 16 at least and 512 at most; a vector whose dimension no pivot has is grouped about the origin). Summaries of each group (rows, radius, k + 1 smallest
     distances) bound every query's k-th score from below; each group of queries keeps the least such bound. A row x is
     replicated to a group of queries only if pivot * x + radius * |x| reaches it, so nothing that could be an answer is
     left out. Groups are cut in shards by hash of the ids, solved locally, and the shards' answers are merged.
@@ -57,6 +68,7 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64,
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e"), is_query.alias("query"))
     v = v.filter("vec_id IS NOT NULL AND e IS NOT NULL AND forall(e, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity'))")
     v = v.groupBy("vec_id").agg(F.min(F.struct("e", "query")).alias("s")).select("vec_id", "s.query", F.expr(f"transform(s.e, x -> floor(x * {scale}))").alias("v"))
+    pivots = pivots or min(512, max(16, v.count() // 50_000))
     some = v.select("v").orderBy(F.xxhash64("vec_id")).limit(4 * pivots).collect()
     by_dim: dict[int, list] = {}
     for p in list(dict.fromkeys(tuple(r["v"]) for r in some))[:pivots]:
@@ -68,32 +80,52 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64,
 
     def assign(batches):
         for b in batches:
-            out: dict[str, list] = {c: [] for c in ("dim", "cell", "dist", "norm", "vector")}
-            for row in b.column("v").to_pylist():
-                x = np.array(row, np.float64)
-                far = np.sqrt(((centres(len(x)) - x) ** 2).sum(1))
-                cell = int(far.argmin())
-                for c, y in zip(out, (len(x), cell, float(far[cell]), float(np.sqrt((x * x).sum())), _pack(np.array(row, np.int64))), strict=True):
-                    out[c].append(y)
-            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("query"), pa.array(out["dim"], pa.int32()), pa.array(out["cell"], pa.int32()), pa.array(out["dist"], pa.float64()), pa.array(out["norm"], pa.float64()), pa.array(out["vector"], pa.binary())], ["vec_id", "query", "dim", "cell", "dist", "norm", "vector"])
+            lists, n = b.column("v"), b.num_rows
+            edge, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+            sizes = np.diff(edge)
+            cell, dist, norm, vector = np.zeros(n, np.int32), np.zeros(n), np.zeros(n), [b""] * n
+            for dim, rows in _by_dim(sizes):
+                x = values[edge[rows][:, None] + np.arange(dim)].reshape(len(rows), dim)
+                near = np.full(len(rows), np.inf)
+                for c, p in enumerate(centres(dim)):
+                    far = np.sqrt(((x - p) ** 2).sum(1))
+                    cell[rows[far < near]] = c
+                    near = np.minimum(near, far)
+                dist[rows], norm[rows] = near, np.sqrt((x.astype(np.float64) ** 2).sum(1))
+                for i, blob in zip(rows.tolist(), _pack(x), strict=True):
+                    vector[i] = blob
+            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("query"), pa.array(sizes.astype(np.int32)), pa.array(cell), pa.array(dist), pa.array(norm), pa.array(vector, pa.binary())], ["vec_id", "query", "dim", "cell", "dist", "norm", "vector"])
+
+    def nearest(batches):
+        """The k + 1 smallest distances of each group in this partition."""
+        least: dict[tuple[int, int], np.ndarray] = {}
+        for b in batches:
+            dim, cell, dist = (b.column(c).to_numpy() for c in ("dim", "cell", "dist"))
+            for d, c in np.unique(np.stack([dim, cell], 1), axis=0).tolist():
+                mine = dist[(dim == d) & (cell == c)]
+                least[d, c] = np.sort(np.concatenate([least.get((d, c), mine[:0]), mine]))[: k + 1]
+        yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in least], pa.int32()), pa.array([c for _, c in least], pa.int32()), pa.array([x.tolist() for x in least.values()], pa.list_(pa.float64()))], ["dim", "cell", "near"])
 
     cells = cut(v.mapInArrow(assign, CELL))
-    # the nearest of salted parts of a group first, so that a large group isn't ranked in one task
-    near = cells.select("dim", "cell", "dist", "vec_id", F.pmod(F.xxhash64("vec_id"), F.lit(16)).alias("salt"))
-    for by in (["dim", "cell", "salt"], ["dim", "cell"]):
-        near = near.withColumn("turn", F.row_number().over(Window.partitionBy(*by).orderBy("dist", "vec_id"))).filter(F.col("turn") <= k + 1).drop("turn")
-    near = near.groupBy("dim", "cell").agg(F.array_sort(F.collect_list("dist")).alias("near"))
+    near = cells.select("dim", "cell", "dist").mapInArrow(nearest, "dim int, cell int, near array<double>")
+    near = near.groupBy("dim", "cell").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k + 1).alias("near"))
     held = {(r["dim"], r["cell"]): r["near"] for r in near.collect()}
     rows = {r["dim"]: r["n"] for r in cells.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     def bound(batches):
         """The bound of each query, and how far the query is from its pivot."""
         for b in batches:
-            low = []
-            for dim, norm, blob in zip(b.column("dim").to_pylist(), b.column("norm").to_pylist(), b.column("vector").to_pylist(), strict=True):
-                x = centres(dim) @ _unpack([blob], dim)[0].astype(np.float64)
-                least = np.sort(np.concatenate([x[c] - norm * np.array(n) for (d, c), n in held.items() if d == dim]))[::-1]
-                low.append(float(least[k] - 1e-6 * (1 + abs(least[k]))) if len(least) > k else -np.inf)
+            dims, norm, blobs = b.column("dim").to_numpy(), b.column("norm").to_numpy(), b.column("vector").to_pylist()
+            low = np.full(len(dims), -np.inf)
+            for dim, rows in _by_dim(dims):
+                held_here = [(c, np.array(n)) for (d, c), n in held.items() if d == dim]
+                at = np.concatenate([np.full(len(n), c) for c, n in held_here])
+                if len(at) <= k:
+                    continue
+                x = _unpack([blobs[i] for i in rows.tolist()], dim) @ centres(dim).T
+                least = x[:, at] - norm[rows][:, None] * np.concatenate([n for _, n in held_here])
+                bound = np.partition(least, least.shape[1] - k - 1, axis=1)[:, least.shape[1] - k - 1]
+                low[rows] = bound - 1e-6 * (1 + np.abs(bound))
             yield pa.RecordBatch.from_arrays([b.column("dim"), b.column("cell"), b.column("dist"), pa.array(low, pa.float64())], ["dim", "cell", "dist", "low"])
 
     wanted = cells.filter("query").mapInArrow(bound, "dim int, cell int, dist double, low double").groupBy("dim", "cell").agg(F.max("dist").alias("radius"), F.min("low").alias("low"), F.count(F.lit(1)).alias("n")).collect()
@@ -103,14 +135,15 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64,
 
     def replicate(batches):
         for b in batches:
+            dims, norm, blobs = b.column("dim").to_numpy(), b.column("norm").to_numpy(), b.column("vector").to_pylist()
             row, to = [], []
-            for i, (dim, norm, blob) in enumerate(zip(b.column("dim").to_pylist(), b.column("norm").to_pylist(), b.column("vector").to_pylist(), strict=True)):
-                x = centres(dim) @ _unpack([blob], dim)[0].astype(np.float64)
+            for dim, rows in _by_dim(dims):
+                x = _unpack([blobs[i] for i in rows.tolist()], dim) @ centres(dim).T
                 for cell, radius, low in groups.get(dim, ()):
-                    most = x[cell] + radius * norm
-                    if most + 1e-6 * (1 + abs(most)) >= low:
-                        row.append(i)
-                        to.append(cell)
+                    most = x[:, cell] + radius * norm[rows]
+                    mine = rows[most + 1e-6 * (1 + np.abs(most)) >= low]
+                    row += mine.tolist()
+                    to += [cell] * len(mine)
             take = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("vec_id").take(take), b.column("dim").take(take), pa.array(to, pa.int32()), b.column("vector").take(take)], ["vec_id", "dim", "cell", "vector"])
 
