@@ -5,10 +5,12 @@ Only DataFrame and SQL functions are used.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, plain
+from .common import cut, plain, shared_dir
 
 CALLS = "tool_calls array<struct<id string, name string, arguments string, after array<string>>>"
 
@@ -22,11 +24,17 @@ def _depths(calls: DataFrame) -> DataFrame:
 
     Calls only come after those of earlier turns, so one fold in the order of turns gives the depths of a conversation. It
     runs over GATHERED calls at a time: a longer conversation takes a round for each piece, and what a piece needs of those
-    before it is joined to it.
+    before it is joined to it. Each round writes its own calls only. Calls are numbered by spans of turns, so that no task
+    has to sort one conversation whole.
     """
+    spark = calls.sparkSession
+    folder = f"{shared_dir(spark)}/depths-{uuid.uuid4().hex}"
     ids = calls.groupBy("conv_id", "id").agg(F.min("turn").alias("turn"))
-    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "id"))
-    ids = cut(ids.withColumn("piece", F.floor((place - 1) / GATHERED)))
+    ids = cut(ids.withColumn("span", F.floor(F.col("turn") / 64)))
+    before = Window.partitionBy("conv_id").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    shift = ids.groupBy("conv_id", "span").count().select("conv_id", "span", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("shift"))
+    place = F.row_number().over(Window.partitionBy("conv_id", "span").orderBy("turn", "id"))
+    ids = cut(ids.withColumn("place", place).join(shift, ["conv_id", "span"]).select("conv_id", "id", "turn", F.floor((F.col("shift") + F.col("place") - 1) / GATHERED).alias("piece")))
     wanted = calls.select("conv_id", "id", F.explode("after").alias("before")).distinct().join(ids, ["conv_id", "id"])
     known = ids.select("conv_id", F.col("id").alias("before"), F.col("turn").alias("then"), F.col("piece").alias("of"))
     edges = cut(wanted.join(known, ["conv_id", "before"]).filter("then < turn").select("conv_id", "id", "before", "piece", "of"))
@@ -45,7 +53,8 @@ def _depths(calls: DataFrame) -> DataFrame:
         fold = """aggregate(items, cast(map() AS map<string, int>), (m, x) ->
             map_concat(m, map(x.id, greatest(x.base, coalesce(array_max(transform(x.near, b -> try_element_at(m, b) + 1)), 0)))))"""
         new = rows.select("conv_id", F.explode(F.expr(fold)).alias("id", "depth"))
-        done = cut(new if done is None else done.union(new))
+        new.write.parquet(f"{folder}/piece={k}")
+        done = spark.read.schema(new.schema).parquet(*[f"{folder}/piece={j}" for j in range(k + 1)])
     return done
 
 
