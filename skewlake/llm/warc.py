@@ -10,26 +10,33 @@ from collections.abc import Iterator
 from urllib.parse import urlsplit
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import plain, shared_dir, cut
+from .common import cut, plain, shared_dir, text_bytes
 
 #: Payloads of at least so many bytes are written once.
 LEAST = 100
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
+#: Bytes of payload that a file holds on average, and rows of the index that one task merges.
+FILE_BYTES, MERGED = 32 << 20, 200_000
 RUN = "run string, turn long, url_key string, captured timestamp, page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long"
 ROW = pa.schema([("run", pa.string()), ("turn", pa.int64()), ("url_key", pa.string()), ("captured", pa.timestamp("us", "UTC")), ("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64())])
 
 
-def write_warc(pages: DataFrame, path: str, records_per_file: int = 2000) -> None:
-    """Write a record for each row, gzipped, some thousand to a file.
+def write_warc(pages: DataFrame, path: str, records_per_file: int | None = None) -> None:
+    """Write a record for each row, gzipped, as many to a file as hold about FILE_BYTES, 2000 at most.
 
     Of rows with equal payloads (html in UTF-8; null is empty) of LEAST bytes or more, that with the smallest page_id is a response and the others
     revisit it; rows that repeat that page_id are responses too, and rows with a null page_id never stand for others.
     The record's identifier holds the page_id; its date is the start of 2024 and page_id seconds. A null url has no header.
     """
-    p = plain(pages, page_id="long", url="string", html="string").withColumn("html", F.coalesce("html", F.lit("")))
+    p = plain(pages, page_id="long", url="string", html="string")
+    if records_per_file is None:
+        rows, size = text_bytes(p, "html")
+        records_per_file = max(1, min(2000, FILE_BYTES * rows // max(1, size)))
+    p = p.withColumn("html", F.coalesce("html", F.lit("")))
     p = p.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256)).withColumn("size", F.octet_length("html"))
     first = p.filter(F.col("size") >= LEAST).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1 AND first IS NOT NULL").select("digest", "first")
     p = p.join(first, "digest", "left").withColumn("refers", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")))
@@ -138,36 +145,48 @@ class LoserTree:
 
 
 def merge_runs(runs: DataFrame) -> DataFrame:
-    """The runs as one index, ordered over all partitions by URL key, time and page_id.
+    """The runs as one index with part and place: by these it is ordered by URL key, time and page_id over all rows.
 
-    The range of each partition is cut from a sample of the keys (with time and page_id, so that a frequent URL is shared out); every run gives each range a sorted
-    slice, and the slices are merged by a loser tree. Ties go to the run that sorts first.
+    The range of each part is cut from a sample of the keys (with time and page_id, so that a frequent URL is shared out), MERGED rows to a part on
+    average; every run gives each range a sorted slice, and the slices are merged by a loser tree. Ties go to the run that sorts first.
     """
+    runs = cut(runs.select(*ROW.names))
+    schema = pa.schema([*ROW, ("part", pa.int32()), ("place", pa.int64())])
 
     def merge(batches):
-        table = pa.Table.from_batches(list(batches), ROW).sort_by([("run", "ascending"), ("turn", "ascending")])
+        table = pa.Table.from_batches(list(batches)).sort_by([("run", "ascending"), ("turn", "ascending")])
         name = table.column("run").to_pylist()
         keys = list(zip(table.column("url_key").to_pylist(), table.column("captured").cast(pa.int64()).to_pylist(), [-1 if x is None else x for x in table.column("page_id").to_pylist()], strict=True))
         heads = [i for i in range(len(name)) if not i or name[i] != name[i - 1]]
         lists = [keys[a:b] for a, b in zip(heads, [*heads[1:], len(name)], strict=False)]
         order = [heads[w] + at for w, at in LoserTree(lists)]
-        yield from table.take(pa.array(order, pa.int64())).combine_chunks().to_batches()
+        table = table.take(pa.array(order, pa.int64()))
+        table = table.append_column("part", pa.array([TaskContext.get().partitionId()] * len(order), pa.int32())).append_column("place", pa.array(range(len(order)), pa.int64()))
+        yield from table.select(schema.names).cast(schema).combine_chunks().to_batches()
 
-    return cut(runs).repartitionByRange("url_key", "captured", "page_id").mapInArrow(merge, RUN)
+    def some(batches):
+        held = [b for b in batches if b.num_rows]
+        if held:
+            yield from merge(held)
+
+    parts = max(1, runs.count() // MERGED)
+    return runs.repartitionByRange(parts, "url_key", "captured", "page_id").mapInArrow(some, f"{RUN}, part int, place long")
 
 
 def round_trip(pages: DataFrame, path: str | None = None) -> DataFrame:
     """Write the archives, read them back, and give the merged capture index with each record's full payload size.
 
-    Null html: an empty payload. Null url: the empty key, first in order. Null page_id: a row of its own. Repeated rows each give
-    a record. An empty table gives none. Extra columns are not read.
+    The rows keep the order of the merge in part and place. Null html: an empty payload. Null url: the empty key, first in
+    order. Null page_id: a row of its own. Repeated rows each give a record. An empty table gives none. Extra columns are
+    not read.
     """
     spark = pages.sparkSession
     path = path or f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_warc(pages, path)
-    index = merge_runs(read_runs(spark, path))
-    full = index.filter("record_type = 'response' AND page_id IS NOT NULL").groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(F.max("payload_bytes").alias("full"))
-    return index.join(full, ["refers_to", "payload_digest"], "left").withColumn("payload_bytes", F.coalesce("payload_bytes", "full")).drop("full")
+    runs = cut(read_runs(spark, path))
+    full = runs.filter("record_type = 'response' AND page_id IS NOT NULL").groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(F.max("payload_bytes").alias("full"))
+    sized = runs.join(full, ["refers_to", "payload_digest"], "left").withColumn("payload_bytes", F.coalesce("payload_bytes", "full"))
+    return merge_runs(sized)
 
 
 def op8_warc(pages: DataFrame) -> DataFrame:
