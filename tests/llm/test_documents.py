@@ -147,6 +147,47 @@ def test_token_file(docs, empty, spark, tmp_path):
     assert token_file.op9_token_file(empty).count() == 0
 
 
+def test_token_file_layout(docs, tmp_path):
+    """Encodings, row groups and page indexes of the written files."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    token_file.write_tokens(docs, str(tmp_path / "t"), P.path("word_bpe_49k.json"))
+    seen = 0
+    for f in glob.glob(str(tmp_path / "t" / "*.parquet")):
+        meta = pq.ParquetFile(f).metadata
+        for g in range(meta.num_row_groups):
+            group = meta.row_group(g)
+            assert group.total_byte_size <= 32 << 20
+            for c in range(group.num_columns):
+                column = group.column(c)
+                assert column.has_offset_index and column.has_column_index
+                assert {"RLE_DICTIONARY", "DELTA_BINARY_PACKED"} & set(column.encodings)
+                seen += 1
+    assert seen
+
+
+def test_packing_repeated_rows(docs):
+    """Each row's pieces lie gapless in sequences of at most 1024, with nulls and repeated rows, and with little padding."""
+    got = packing.op7_packing(docs).collect()
+    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    want = sorted((d, len(tok.encode(t or "", add_special_tokens=False).ids) + 1) for d, t, *_ in ROWS if d is not None)
+    assert sorted((r["doc_id"], r["doc_tokens"]) for r in got if r["doc_id"] is not None and r["start"] == 0) == want
+    held = {}
+    for r in got:
+        held.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert sorted(held) == list(range(len(held)))
+    for spans in held.values():
+        spans.sort()
+        assert spans[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:], strict=False)) and sum(n for _, n in spans) <= 1024
+
+
+def test_packing_padding(spark, data):
+    got = packing.op7_packing(spark.read.parquet(f"{data}/documents.parquet")).selectExpr("sum(length) AS n", "max(sequence_id) + 1 AS s").first()
+    assert got["n"] > 0.97 * 1024 * got["s"]
+
+
 def test_packing(docs, empty):
     tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     got = packing.pack(docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]), P.path("byte_bpe_50k.json"), 64).collect()
