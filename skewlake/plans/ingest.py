@@ -162,13 +162,26 @@ def rolling_request_cost(spark, d):
     return I.rolling_cost(log, ["client"], "ts", S.request_cost(F.col("what_to_show"))).drop("client")
 
 
-@query(f"""WITH {NEW_BARS}, al AS (SELECT symbol, strike, expiry, option_type, what_to_show, bar_ts FROM fx_option_bars WHERE is_incoming = 0 UNION ALL SELECT symbol, strike, expiry, option_type, what_to_show, bar_ts FROM nb),
-w AS (SELECT DISTINCT symbol, strike, expiry, option_type, what_to_show, CAST(bar_ts AS DATE) AS trade_date FROM fx_option_bars WHERE is_incoming = 1),
-v AS (SELECT w.symbol, count(*) AS expected, count(h.symbol) AS completed FROM w LEFT JOIN (SELECT DISTINCT symbol, strike, expiry, option_type, what_to_show, CAST(bar_ts AS DATE) AS trade_date FROM al) h USING (symbol, strike, expiry, option_type, what_to_show, trade_date) GROUP BY w.symbol)
-SELECT v.symbol, n.n_new, v.expected, v.completed, CASE WHEN completed > 0 THEN 'COMPLETED' ELSE 'FAILED' END AS status FROM v JOIN (SELECT symbol, count(*) AS n_new FROM nb GROUP BY symbol) n ON n.symbol = v.symbol""")
+@query(f"""WITH {RESOLVED}, rc AS (SELECT *, unnest(range(0, end_date - resolved_start, 172)) AS o FROM rs WHERE resolved_start <= end_date),
+ck AS (SELECT symbol, strike, expiry, option_type, what_to_show, resolved_start + CAST(o AS INTEGER) AS chunk_start, least(resolved_start + CAST(o AS INTEGER) + 171, end_date) AS chunk_end FROM rc),
+ld AS (SELECT b.* FROM fx_option_bars b JOIN ck USING (symbol, strike, expiry, option_type, what_to_show) WHERE is_incoming = 1 AND CAST(bar_ts AS DATE) BETWEEN chunk_start AND chunk_end),
+a AS (SELECT *, row_number() OVER (PARTITION BY symbol, strike, expiry, option_type, what_to_show, bar_ts ORDER BY close, volume) AS rn FROM ld),
+nb AS (SELECT symbol, strike, expiry, option_type, what_to_show, bar_ts FROM a ANTI JOIN (SELECT * FROM fx_option_bars WHERE is_incoming = 0) s USING (symbol, strike, expiry, option_type, what_to_show, bar_ts) WHERE rn = 1),
+al AS (SELECT symbol, strike, expiry, option_type, what_to_show, bar_ts FROM fx_option_bars WHERE is_incoming = 0 UNION ALL SELECT * FROM nb),
+w AS (SELECT DISTINCT symbol, strike, expiry, option_type, what_to_show, CAST(bar_ts AS DATE) AS trade_date FROM ld),
+v AS (SELECT w.symbol, count(*) AS expected, count(h.symbol) AS completed FROM w LEFT JOIN (SELECT DISTINCT symbol, strike, expiry, option_type, what_to_show, CAST(bar_ts AS DATE) AS trade_date FROM al) h USING (symbol, strike, expiry, option_type, what_to_show, trade_date) GROUP BY w.symbol),
+c AS (SELECT symbol, count(DISTINCT (strike, expiry, option_type, what_to_show)) AS n_contracts, count(*) AS n_chunks FROM ck GROUP BY symbol)
+SELECT c.symbol, n_contracts, n_chunks, coalesce(n_new, 0) AS n_new, expected, completed, CASE WHEN completed > 0 THEN 'COMPLETED' ELSE 'FAILED' END AS status FROM c LEFT JOIN v ON v.symbol = c.symbol LEFT JOIN (SELECT symbol, count(*) AS n_new FROM nb GROUP BY symbol) n ON n.symbol = c.symbol""")
 def bar_backfill(spark, d):
-    """Clean, drop what is stored, append, verify each contract's day, and roll up by symbol."""
-    return backfill(bars(spark, d, 0), clean.normalize_bars(bars(spark, d, 1)), f"{T.shared_folder(spark)}/bars-{uuid.uuid4().hex}")
+    """Where each contract's request starts, its chunks, the arriving bars that they ask for, less those stored; append, verify, roll up."""
+    asked = I.eligible_requests(_resolved(spark, d)).select(*CONTRACT, F.col("resolved_start").alias("start_date"), "end_date", F.lit("1 hour").alias("bar_size"))
+    chunks = I.date_chunks(asked, config.bar_sizes(spark)).select(*CONTRACT, "chunk_start", "chunk_end")
+    arriving = clean.normalize_bars(bars(spark, d, 1))
+    loaded = arriving.join(chunks, CONTRACT).filter(F.to_date("bar_ts").between(F.col("chunk_start"), F.col("chunk_end"))).select(*arriving.columns)
+    counts = chunks.groupBy(*CONTRACT).count().groupBy("symbol").agg(F.count(F.lit(1)).alias("n_contracts"), F.sum("count").alias("n_chunks"))
+    done = backfill(bars(spark, d, 0), loaded, f"{T.shared_folder(spark)}/bars-{uuid.uuid4().hex}")
+    out = counts.join(done, "symbol", "left")
+    return out.select("symbol", "n_contracts", "n_chunks", F.coalesce("n_new", F.lit(0).cast("long")).alias("n_new"), "expected", "completed", F.coalesce("status", F.lit("FAILED")).alias("status"))
 
 
 def backfill(stored, arriving, path):
