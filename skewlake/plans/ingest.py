@@ -47,11 +47,12 @@ def insert_new_underlying(spark, d):
     return I.insert_new(every.filter(F.day("trade_date") % 2 == 0), every.union(every), schemas.UNDERLYING_BARS_KEY, ["close"])
 
 
-@query("SELECT symbol, snapshot_time, count(*) AS n_written, count(bid) AS n_bids FROM (SELECT symbol, snapshot_time, CASE WHEN bid > 0 THEN bid END AS bid FROM fx_quotes) GROUP BY ALL")
+@query(f"WITH {CQ} SELECT symbol, snapshot_time, count(*) AS n_written, count(bid) AS n_bids, max(underlying_price) AS price, count(*) FILTER (WHERE incomplete = 0) AS contracts_processed, CASE WHEN count(*) FILTER (WHERE incomplete = 0) > 0 THEN 'COMPLETED' ELSE 'FAILED' END AS status FROM sq GROUP BY ALL")
 def write_quote_snapshot(spark, d):
-    rows = cleaned(spark, d).withColumn("snapshot_date", F.to_date("snapshot_time"))
-    back = T.write_and_read(rows, ["snapshot_date"])
-    return back.groupBy("symbol", "snapshot_time").agg(F.count(F.lit(1)).alias("n_written"), F.count("bid").alias("n_bids"))
+    quotes, underlying, done = T.write_snapshot(cleaned(spark, d), clean.complete_reading())
+    by = ["symbol", "snapshot_time"]
+    back = quotes.groupBy(*by).agg(F.count(F.lit(1)).alias("n_written"), F.count("bid").alias("n_bids"))
+    return back.join(underlying.drop("snapshot_date"), by).join(done.select(*by, "contracts_processed", "status"), by)
 
 
 @query("SELECT batch_id, contract_id, status FROM fx_attempts")

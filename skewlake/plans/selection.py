@@ -10,7 +10,7 @@ from ..operators import clean, progress
 from ..operators import select as P
 from ..operators import universe as U
 from ..sources import tables as T
-from .base import asof, clean_of, CQ, GRID, STATUS, S, cleaned, expiries, grid, query, quotes, spots, stored_quotes, strikes
+from .base import asof, clean_of, CQ, GRID, STATUS, S, expiries, grid, query, quotes, spots, stored_quotes, strikes
 
 BY = ["symbol", "snapshot_time", "option_type", "target_tenor_dte", "target_delta_abs"]
 
@@ -198,11 +198,15 @@ def skew_progress(spark, d):
 
 @query(f"""WITH {CQ}, {RANKED}, {_near('spot', 'c')}, ex AS (SELECT symbol, expiry, row_number() OVER (PARTITION BY symbol ORDER BY expiry) AS rn FROM (SELECT DISTINCT symbol, expiry FROM fx_quotes WHERE expiry > DATE '2024-01-02')),
 k AS (SELECT rk.symbol, rk.strike, ex.expiry FROM rk JOIN c ON c.symbol = rk.symbol AND rk.place BETWEEN c.at - 5 AND c.at + 5 JOIN ex ON ex.symbol = rk.symbol AND rn <= 2)
-SELECT symbol, snapshot_time, count(*) AS n_contracts, count(*) FILTER (WHERE incomplete = 0) AS n_stored, count(*) FILTER (WHERE abs(strike / underlying_price - 1) < 0.01) AS n_atm FROM sq JOIN k USING (symbol, strike, expiry) GROUP BY ALL""")
+SELECT symbol, snapshot_time, count(*) AS n_contracts, count(*) FILTER (WHERE incomplete = 0) AS n_stored, count(*) FILTER (WHERE abs(strike / underlying_price - 1) < 0.01) AS n_atm, max(underlying_price) AS price, CASE WHEN count(*) FILTER (WHERE incomplete = 0) > 0 THEN 'COMPLETED' ELSE 'FAILED' END AS status FROM sq JOIN k USING (symbol, strike, expiry) GROUP BY ALL""")
 def quote_snapshot(spark, d):
-    """Strikes around spot by the first expiries, cleaned quotes with metrics, one write, and the roll-up of what was stored."""
-    near = U.strikes_around_spot(strikes(spark, d), spots(spark, d), 10).select("symbol", "strike")
-    contracts = U.contract_universe(near, U.first_expiries(expiries(spark, d), 2, asof()), ["symbol"])
-    rows = clean.quote_metrics(cleaned(spark, d).join(contracts, ["symbol", "strike", "expiry", "option_type"]), asof())
-    back = T.write_and_read(rows.withColumn("complete", clean.complete_reading()).withColumn("snapshot_date", F.to_date("snapshot_time")), ["snapshot_date"])
-    return back.groupBy("symbol", "snapshot_time").agg(F.count(F.lit(1)).alias("n_contracts"), F.count_if("complete").alias("n_stored"), F.count_if("is_atm").alias("n_atm"))
+    """Strikes around spot by the first expiries, cleaned quotes with metrics; quotes, underlying and progress written, and the roll-up of what was stored."""
+    q = stored_quotes(spark, d)
+    near = U.strikes_around_spot(q.select("symbol", "strike").distinct(), q.select("symbol", F.col("underlying_price").alias("spot")).distinct(), 10).select("symbol", "strike")
+    contracts = U.contract_universe(near, U.first_expiries(q.select("symbol", "expiry").distinct(), 2, asof()), ["symbol"])
+    rows = clean.quote_metrics(clean_of(q).join(contracts, ["symbol", "strike", "expiry", "option_type"]), asof())
+    quotes, underlying, done = T.write_snapshot(rows, clean.complete_reading())
+    by = ["symbol", "snapshot_time"]
+    back = quotes.groupBy(*by).agg(F.count_if("is_atm").alias("n_atm"))
+    told = done.select(*by, F.col("contracts_total").alias("n_contracts"), F.col("contracts_processed").alias("n_stored"), "status")
+    return back.join(underlying.drop("snapshot_date"), by).join(told, by)

@@ -56,6 +56,21 @@ def write_and_read(rows: DataFrame, by: list[str], folder: str | None = None) ->
     return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
 
 
+def write_snapshot(rows: DataFrame, complete: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Write quotes of snapshots, then the price of each underlying, then the progress of each snapshot; all as read back.
+
+    Progress comes last and from what was stored, so a write that fails before has none. A snapshot without a complete
+    quote is FAILED.
+    """
+    by = ["symbol", "snapshot_time"]
+    quotes = write_and_read(rows.withColumn("complete", complete).withColumn("snapshot_date", F.to_date("snapshot_time")), ["snapshot_date"])
+    underlying = write_and_read(quotes.groupBy(*by).agg(F.max("underlying_price").alias("price")).withColumn("snapshot_date", F.to_date("snapshot_time")), ["snapshot_date"])
+    counts = quotes.groupBy(*by).agg(F.count(F.lit(1)).alias("contracts_total"), F.count_if("complete").alias("contracts_processed"))
+    done = F.col("contracts_processed") > 0
+    counts = counts.withColumn("status", F.when(done, "COMPLETED").otherwise("FAILED")).withColumn("error_message", F.when(~done, "no complete quote"))
+    return quotes, underlying, write_and_read(counts, [])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir, which all executors share; the warehouse where none is set."""
     return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
