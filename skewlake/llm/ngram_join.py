@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from .common import Words, bucket_edges, byte_slices, hashed, mix, pack_sorted, pack_u32, plain, stored, text_bytes, unpack_sorted, unpack_u32
 from .components import components, stars
 
-ORDERS = 3
+ORDERS, SALTS = 3, 16
+#: Parts of more chunks than this are first split by the other orders.
+PARTED = 8
 #: A token's rank class is taken from the upper bits of its hash only: that sets the order, never a link.
 LOW_BITS = np.uint64(16)
 SEEDS = [np.uint64(x) for x in (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)]
@@ -215,11 +217,14 @@ def _parts(sets: DataFrame, most: int) -> DataFrame:
 
     A part holds the sets that share prefix tokens under the first order, directly or by way of others. As links share prefix
     tokens under every order, parts of more than `most` sets are split further by those of the next orders.
+    This only saves work in what follows.
     """
     part = stored(components(stars(sets.select("node", F.explode("prefix0").alias("key")))))
     for k in range(1, ORDERS + 1):
         count = part.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
-        sized = part.join(count, "part")
+        # a large part's rows are dealt by salt as well
+        dealt = count.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        sized = part.withColumn("salt", hashed(SALTS, "node")).join(dealt, ["part", "salt"]).drop("salt")
         if k == ORDERS or count.filter(F.col("size") > most).isEmpty():
             return sets.join(sized, "node")
         large = stored(sized.filter(F.col("size") > most).select("node", "part"))
@@ -249,7 +254,7 @@ def ngram_groups(docs: DataFrame, size: int = 3, percent: int = 90, block_bytes:
     reps = sets.filter("doc_id IS NOT NULL AND n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"))
     reps = stored(reps.withColumn("node", F.monotonically_increasing_id()))
     live = stored(_survivors(docs, reps, size, percent, block_bytes))
-    ready = stored(_parts(live, most).withColumn("label", F.col("node")))
+    ready = stored(_parts(live, PARTED * most).withColumn("label", F.col("node")))
     total = ready.agg(F.sum("n")).first()[0] or 0
     packs = max(1, -(-8 * total // block_bytes))
     label = ready.filter(F.col("size") <= most).groupBy(hashed(packs, "part").alias("pack")).applyInArrow(_solve(percent, True), "a long, b long").toDF("node", "part")

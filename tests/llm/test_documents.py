@@ -107,6 +107,21 @@ def test_ngram_groups(spark, block, most):
     assert rows(got) == brute_groups(docs, 3, 90)
 
 
+def test_ngram_parts_of_every_order(spark, monkeypatch):
+    """Parts split by the other orders give the same groups."""
+    monkeypatch.setattr(ngram_join, "PARTED", 1)
+    rng = np.random.default_rng(8)
+    base = [f"t{i}" for i in rng.integers(0, 500, 90)]
+    near = []
+    for i in range(30):
+        w = list(base)
+        for j in rng.integers(0, 90, i % 5):
+            w[j] = f"n{rng.integers(0, 50)}"
+        near.append((100 + i, " ".join(w)))
+    got = ngram_join.ngram_groups(spark.createDataFrame(near, "doc_id long, text string"), most=3)
+    assert rows(got) == brute_groups(near, 3, 90)
+
+
 def test_ngram_groups_keep_one(docs, empty):
     kept = ngram_join.keep_one(docs, size=5, percent=80)
     assert kept.schema == docs.schema
@@ -453,3 +468,23 @@ def test_pipeline(spark, data):
     assert leaks <= set(new) - set(ids(clean)) and json.dumps(sorted(leaks))
     assert set(r["doc_id"] for r in C.pack_sequences(spark, clean, data).collect()) == set(ids(clean))
     assert C.run(spark, data).count() > 0
+
+
+def test_components(spark):
+    """Chains, stars, random links and no links against a plain search."""
+    from skewlake.llm.components import components
+
+    rng = np.random.default_rng(4)
+    links = [(i, i + 1) for i in range(1_000, 1_090)] + [(5_000, x) for x in range(4_000, 4_040)] + [tuple(x) for x in rng.integers(0, 400, (150, 2)).tolist()] + [(7, 7)]
+    low = {x: x for link in links for x in link}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            if low[a] != low[b]:
+                low[a] = low[b] = min(low[a], low[b])
+                changed = True
+    want = {n: p for n, p in low.items() if any(n in link for link in links if link[0] != link[1])}
+    got = components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert len(got) == len(want) and {r["node"]: r["part"] for r in got} == want
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
