@@ -62,7 +62,9 @@ def read_progress(spark, d):
 
 @query("SELECT batch_id, contract_id, attempt_seq, status FROM fx_attempts WHERE batch_id <> 'B7'")
 def delete_batch(spark, d):
-    return T.delete_rows(attempts(spark, d), F.col("batch_id") == "B7").select("batch_id", "contract_id", "attempt_seq", "status")
+    """What stays, written as a new version of the table and read back."""
+    kept = T.delete_rows(attempts(spark, d), F.col("batch_id") == "B7").select("batch_id", "contract_id", "attempt_seq", "status")
+    return T.write_and_read(kept, ["batch_id"])
 
 
 @query("SELECT batch_id, arg_max(contract_id, attempt_seq) AS contract_id, max(attempt_seq) AS attempt_seq, arg_max(status, attempt_seq) AS status FROM fx_attempts GROUP BY batch_id")

@@ -46,21 +46,25 @@ def resample(ticks: DataFrame, size: str, by: str = "symbol", delay: str | None
 
 
 class CheckpointProcessor(StatefulProcessor):
-    """State of one contract: attempts, and the last status by attempt number."""
+    """State of one contract: attempts, the last status by attempt number, and when it was last completed."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("state", "attempts int, seq long, status string, at timestamp")
+        self.state = handle.getValueState("state", "attempts int, seq long, status string, at timestamp, done_seq long, done_at timestamp")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        attempts, seq, status, at = self.state.get() if self.state.exists() else (0, -1, None, None)
+        attempts, seq, status, at, done_seq, done_at = self.state.get() if self.state.exists() else (0, -1, None, None, -1, None)
         for pdf in rows:
             attempts += int(pdf["status"].isin(["IN_PROGRESS", "RETRY", "FAILED"]).sum())
             last = pdf.loc[pdf["attempt_seq"].idxmax()]
             if last["attempt_seq"] > seq:
                 seq, status, at = int(last["attempt_seq"]), last["status"], last["ts"].to_pydatetime()
-        self.state.update((attempts, seq, status, at))
+            finished = pdf[(pdf["status"] == "COMPLETE") | pdf["status"].str.startswith("VERIFIED_", na=False)]
+            if len(finished) and finished["attempt_seq"].max() > done_seq:
+                last = finished.loc[finished["attempt_seq"].idxmax()]
+                done_seq, done_at = int(last["attempt_seq"]), last["ts"].to_pydatetime()
+        self.state.update((attempts, seq, status, at, done_seq, done_at))
         shown = "FAILED" if status == "RETRY" and attempts >= config.RETRY_BUDGET else status
-        yield pd.DataFrame({"contract_id": [key[0]], "status": [shown], "attempts": [attempts]})
+        yield pd.DataFrame({"contract_id": [key[0]], "status": [shown], "attempts": [attempts], "completed_at": pd.to_datetime([done_at]), "last_attempt_at": pd.to_datetime([at])})
 
     def close(self) -> None:
         pass
@@ -69,4 +73,5 @@ class CheckpointProcessor(StatefulProcessor):
 def stream_checkpoints(log: DataFrame) -> DataFrame:
     """The changing state of each contract, keyed by contract; needs the RocksDB state store."""
     t = log.withColumn("ts", F.col("ts").cast("timestamp"))
-    return t.groupBy("contract_id").transformWithStateInPandas(statefulProcessor=CheckpointProcessor(), outputStructType="contract_id long, status string, attempts int", outputMode="Update", timeMode="None")
+    out = t.groupBy("contract_id").transformWithStateInPandas(statefulProcessor=CheckpointProcessor(), outputStructType="contract_id long, status string, attempts int, completed_at timestamp, last_attempt_at timestamp", outputMode="Update", timeMode="None")
+    return out.withColumn("backoff_until", F.when(F.col("status") == "RETRY", S.backoff_until(F.col("last_attempt_at"), F.col("attempts"))))

@@ -58,14 +58,14 @@ def test_streamed_state_equals_batch(spark, data, tmp_path):
     log.orderBy("attempt_seq").repartition(3).write.parquet(folder)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     stream = ticks.read_events(spark, folder, "batch_id string, contract_id long, attempt_seq long, ts timestamp_ntz, status string, what_to_show string", 1)
-    got = {}
+    got, shown = {}, ("status", "attempts", "backoff_until", "completed_at", "last_attempt_at")
 
     def take(batch, n):
-        got.update({r["contract_id"]: (r["status"], r["attempts"]) for r in batch.collect()})
+        got.update({r["contract_id"]: tuple(r[c] for c in shown) for r in batch.collect()})
 
     ticks.stream_checkpoints(stream).writeStream.outputMode("update").foreachBatch(take).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
     want = checkpoint_state(log, ["contract_id"], "attempt_seq", "ts")
-    assert got == {r["contract_id"]: (r["status"], r["attempts"]) for r in want.collect()}
+    assert got == {r["contract_id"]: tuple(r[c] for c in shown) for r in want.collect()}
 
 
 def test_streamed_bars_equal_table_bars(spark, data, tmp_path):
