@@ -13,8 +13,8 @@ from .common import LOWER, byte_slices, plain
 
 #: Bounds of the training sample: documents of each language, spans of each document.
 DOCUMENTS, SPANS = 300, 16
-#: Hidden units of a layer; bytes of a training span; steps and spans of each.
-HIDDEN, SPAN, STEPS, BATCH = 16, 64, 320, 128
+#: Hidden units of a layer for every 16 labels (32 at most); bytes of a training span; steps and spans of each.
+HIDDEN, SPAN, STEPS, BATCH = 8, 64, 320, 128
 #: Texts are read in pieces of so many bytes, each layer beginning so many bytes before (or after) its piece.
 PIECE, CONTEXT = 128, 16
 #: The code beside a text's ends: it leaves a layer that has read nothing yet as it is.
@@ -34,19 +34,19 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 class Network:
     """Two gated recurrent layers over the bytes of a text, one from either end, and a softmax at each byte.
 
-    Each layer: x holds a row of 3 * HIDDEN for every byte value (input weights and bias), u the recurrent weights.
+    Each layer: x holds a row of 3 * hidden for every byte value (input weights and bias), u the recurrent weights.
     """
 
-    def __init__(self, labels: list[str], seed: int = 7):
+    def __init__(self, labels: list[str], seed: int = 7, hidden: int = 2 * HIDDEN):
         rng = np.random.default_rng(seed)
-        self.labels = labels
-        self.p = {f"x{d}": rng.normal(0, 0.3, (256, 3 * HIDDEN)).astype(np.float32) for d in "fb"}
-        self.p |= {f"u{d}": rng.normal(0, HIDDEN**-0.5, (HIDDEN, 3 * HIDDEN)).astype(np.float32) for d in "fb"}
-        self.p |= {"v": rng.normal(0, 0.2, (2 * HIDDEN, len(labels))).astype(np.float32), "c": np.zeros(len(labels), np.float32)}
+        self.labels, self.hidden = labels, hidden
+        self.p = {f"x{d}": rng.normal(0, 0.3, (256, 3 * hidden)).astype(np.float32) for d in "fb"}
+        self.p |= {f"u{d}": rng.normal(0, hidden**-0.5, (hidden, 3 * hidden)).astype(np.float32) for d in "fb"}
+        self.p |= {"v": rng.normal(0, 0.2, (2 * hidden, len(labels))).astype(np.float32), "c": np.zeros(len(labels), np.float32)}
 
     def _layer(self, d: str, codes: np.ndarray) -> tuple[np.ndarray, list]:
         """codes: spans by position. States after each byte, and what backpropagation needs."""
-        x, u, n = np.concatenate([self.p[f"x{d}"], np.zeros((1, 3 * HIDDEN), np.float32)]), self.p[f"u{d}"], HIDDEN
+        x, u, n = np.concatenate([self.p[f"x{d}"], np.zeros((1, 3 * self.hidden), np.float32)]), self.p[f"u{d}"], self.hidden
         h = np.zeros((codes.shape[0], n), x.dtype)
         out, tape = np.empty((codes.shape[1], codes.shape[0], n), x.dtype), []
         for t in range(codes.shape[1]):
@@ -65,7 +65,7 @@ class Network:
         forward, ft = self._layer("f", codes)
         backward, bt = self._layer("b", codes[:, ::-1])
         aligned = backward[::-1]
-        score = forward @ self.p["v"][:HIDDEN] + aligned @ self.p["v"][HIDDEN:] + self.p["c"]
+        score = forward @ self.p["v"][:self.hidden] + aligned @ self.p["v"][self.hidden:] + self.p["c"]
         p = np.exp(score - score.max(-1, keepdims=True))
         p /= p.sum(-1, keepdims=True)
         n, real = len(codes), (codes.T != PAD)[:, :, None]
@@ -76,10 +76,10 @@ class Network:
         d *= real / many
         v = self.p["v"]
         flat = d.reshape(-1, d.shape[2])
-        g = {"c": flat.sum(0), "v": np.concatenate([s.reshape(-1, HIDDEN).T @ flat for s in (forward, aligned)])}
-        for way, tape, dh, seq in (("f", ft, d @ v[:HIDDEN].T, codes), ("b", bt, (d @ v[HIDDEN:].T)[::-1], codes[:, ::-1])):
+        g = {"c": flat.sum(0), "v": np.concatenate([s.reshape(-1, self.hidden).T @ flat for s in (forward, aligned)])}
+        for way, tape, dh, seq in (("f", ft, d @ v[:self.hidden].T, codes), ("b", bt, (d @ v[self.hidden:].T)[::-1], codes[:, ::-1])):
             u = self.p[f"u{way}"]
-            steps, gu, carry = np.empty((len(tape), n, 3 * HIDDEN), u.dtype), np.zeros_like(u), np.zeros((n, HIDDEN), u.dtype)
+            steps, gu, carry = np.empty((len(tape), n, 3 * self.hidden), u.dtype), np.zeros_like(u), np.zeros((n, self.hidden), u.dtype)
             for k in range(len(tape) - 1, -1, -1):
                 h, z, reset, new, r = tape[k]
                 carry = carry + dh[k]
@@ -93,8 +93,8 @@ class Network:
             code = seq.T.ravel()
             order = np.argsort(code, kind="stable")
             held, first = np.unique(code[order], return_index=True)
-            gx = np.zeros((PAD + 1, 3 * HIDDEN), u.dtype)
-            gx[held] = np.add.reduceat(steps.reshape(-1, 3 * HIDDEN)[order], first)
+            gx = np.zeros((PAD + 1, 3 * self.hidden), u.dtype)
+            gx[held] = np.add.reduceat(steps.reshape(-1, 3 * self.hidden)[order], first)
             g |= {f"x{way}": gx[:PAD], f"u{way}": gu}
         return loss, g
 
@@ -125,7 +125,7 @@ class Network:
         codes: pieces by CONTEXT bytes, the piece's own, and CONTEXT bytes; inside: which of its own are bytes of the text. Both
         layers take a step at a time together; gates are written with tanh alone, their halves put into the weights.
         """
-        n, own, H = len(codes), inside.shape[1], HIDDEN
+        n, own, H = len(codes), inside.shape[1], self.hidden
         x = np.concatenate([y for d in "fb" for y in (self.p[f"x{d}"], np.zeros((1, 3 * H), np.float32))])
         u = np.stack([self.p["uf"], self.p["ub"]])
         xz, xr, xn = (np.ascontiguousarray(x[:, k * H : (k + 1) * H] * f) for k, f in ((0, 0.5), (1, 0.5), (2, 1)))
@@ -133,19 +133,19 @@ class Network:
         steps = CONTEXT + own
         seq = np.stack([codes[:, :steps].T, codes[:, CONTEXT:].T[::-1] + (PAD + 1)], 1)
         h, states = np.zeros((2, n, H), np.float32), np.empty((own, 2, n, H), np.float32)
-        a, b, c = (np.empty((2, n, H), np.float32) for _ in range(3))
+        a, b, c, part = (np.empty((2, n, H), np.float32) for _ in range(4))
         for t in range(steps):
             at = seq[t]
-            np.matmul(h, uz, out=a)
-            a += xz[at]
-            np.tanh(a, out=a)
-            np.matmul(h, ur, out=b)
-            b += xr[at]
-            np.tanh(b, out=b)
-            np.matmul(h, un, out=c)
-            b *= c
+            for gate, u_, x_ in ((a, uz, xz), (b, ur, xr)):
+                np.take(x_, at, axis=0, out=gate, mode="clip")
+                np.matmul(h, u_, out=part)
+                gate += part
+                np.tanh(gate, out=gate)
+            np.matmul(h, un, out=part)
+            np.take(xn, at, axis=0, out=c, mode="clip")
+            b *= part
+            c += part
             c += b
-            c += xn[at]
             np.tanh(c, out=c)  # the new state; a: 2 * update gate - 1
             np.subtract(h, c, out=b)
             a *= b
@@ -179,7 +179,7 @@ class Network:
         own = np.minimum(PIECE, end[text] - begin)
         out = np.zeros((len(size), len(self.labels)))
         order = np.argsort(own, kind="stable")
-        batch = max(16, min(512, 8192 // len(self.labels)))
+        batch = max(16, min(1024, 16384 // len(self.labels)))
         for i in range(0, len(order), batch):
             take = order[i : i + batch]
             most = int(own[take[-1]])
@@ -218,7 +218,7 @@ def train(docs: DataFrame, steps: int = STEPS) -> Network | None:
     labels = sorted({r["lang"] for r in rows if r["spans"]})
     if not labels:
         return None
-    net = Network(labels)
+    net = Network(labels, hidden=min(32, HIDDEN * -(-len(labels) // 16)))
     if len(labels) > 1:
         at = {k: i for i, k in enumerate(labels)}
         net.fit([bytes(x) for r in rows for x in r["spans"]], np.repeat([at[r["lang"]] for r in rows], [len(r["spans"]) for r in rows]), steps)

@@ -302,7 +302,7 @@ def test_pieces_ties_and_repeated_rows(spark):
     raw = np.frombuffer(text.encode(), np.uint8)[None, :]
     f, _ = net._layer("f", raw.astype(int))
     b, _ = net._layer("b", raw[:, ::-1].astype(int))
-    score = f @ net.p["v"][: langid.HIDDEN] + b[::-1] @ net.p["v"][langid.HIDDEN :] + net.p["c"]
+    score = f @ net.p["v"][: net.hidden] + b[::-1] @ net.p["v"][net.hidden :] + net.p["c"]
     p = np.exp(score) / np.exp(score).sum(-1, keepdims=True)
     total, count = net.documents(pa.array([text, "", None, text * 9, text]))
     assert count.tolist() == [raw.size, 0, 0, 9 * raw.size, raw.size] and np.allclose(total.sum(1), count, rtol=1e-4)
