@@ -16,8 +16,11 @@ from .tokens import encoder
 PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())])
 
 
-def cut_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int) -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens: each document's ids with end_id, cut every `size` ids."""
+def cut_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, keep_words: bool = True) -> DataFrame:
+    """doc_id, start, length, ids_crc32, doc_tokens: each document's ids with end_id, cut every `size` ids.
+
+    With keep_words a worker keeps its word tables for its next task, which saves time; without, it frees them after each.
+    """
 
     def run(batches):
         end = np.array([end_id], "<u4").tobytes()
@@ -30,6 +33,8 @@ def cut_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int) -> DataF
                     for c, v in zip(out, (doc, a // 4, len(part) // 4, zlib.crc32(part), len(ids) // 4), strict=True):
                         c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], schema=PIECE)
+        if not keep_words:
+            encoder(tokenizer).forget()
 
     return plain(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
@@ -69,7 +74,7 @@ def shortest_pack_first(histogram: dict[int, int], size: int) -> list[tuple[tupl
     return sorted(((tuple(p), n) for held in packs.values() for p, n in held), reverse=True)
 
 
-def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, keep_words: bool = True) -> DataFrame:
     """Pack every document's ids into sequences of at most `size` ids.
 
     Returns for each piece doc_id, start, length, ids_crc32, doc_tokens, sequence_id (from 0) and offset. The histogram of
@@ -78,7 +83,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0) ->
     Null or empty text: the one id end_id. A null doc_id is kept as null. Repeated rows are packed each. An empty table gives
     no rows. Extra columns are not read.
     """
-    pieces = cut(cut_pieces(docs, tokenizer, size, end_id))
+    pieces = cut(cut_pieces(docs, tokenizer, size, end_id, keep_words))
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     patterns = shortest_pack_first(counts, size)
     slots, taken, base = [], dict.fromkeys(counts, 0), 0

@@ -107,6 +107,12 @@ class Encoder:
         self.line = self.whole("\n")
         self.runs, self.first, self.after = Runs(self, lower=True), Runs(self), Runs(self, " ")
 
+    def forget(self) -> None:
+        """Drop the word tables."""
+        for table in (self.runs, self.first, self.after):
+            for held in (table, table.before, table.signs):
+                held.clear()
+
     def whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
