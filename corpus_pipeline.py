@@ -11,6 +11,10 @@ from skewlake.llm import decontaminate, langid, ngram_join, packing, substring_d
 from skewlake.llm.common import shared_dir
 
 
+#: Text that one task of the deduplicating stages takes. Workers live on from stage to stage, so each stage keeps its memory low.
+BLOCK_BYTES = 4 << 20
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; those without letters or told with too low a score go."""
     return langid.keep_known(docs)
@@ -18,12 +22,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def join_ngrams(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest doc_id, of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
-    return ngram_join.keep_one(docs, size=5, percent=80)
+    return ngram_join.keep_one(docs, size=5, percent=80, block_bytes=BLOCK_BYTES)
 
 
 def dedup_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 13 words or more that a document with a smaller doc_id has are cut out."""
-    return substring_dedup.dedup_substrings(docs, carry=True)
+    return substring_dedup.dedup_substrings(docs, carry=True, block_bytes=BLOCK_BYTES)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +37,7 @@ def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their places in sequences of at most 1024 ids."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_words=False)
 
 
 STAGES = [
