@@ -65,7 +65,7 @@ class Network:
         forward, ft = self._layer("f", codes)
         backward, bt = self._layer("b", codes[:, ::-1])
         aligned = backward[::-1]
-        score = forward @ self.p["v"][:self.hidden] + aligned @ self.p["v"][self.hidden:] + self.p["c"]
+        score = forward @ self.p["v"][: self.hidden] + aligned @ self.p["v"][self.hidden :] + self.p["c"]
         p = np.exp(score - score.max(-1, keepdims=True))
         p /= p.sum(-1, keepdims=True)
         n, real = len(codes), (codes.T != PAD)[:, :, None]
@@ -77,7 +77,7 @@ class Network:
         v = self.p["v"]
         flat = d.reshape(-1, d.shape[2])
         g = {"c": flat.sum(0), "v": np.concatenate([s.reshape(-1, self.hidden).T @ flat for s in (forward, aligned)])}
-        for way, tape, dh, seq in (("f", ft, d @ v[:self.hidden].T, codes), ("b", bt, (d @ v[self.hidden:].T)[::-1], codes[:, ::-1])):
+        for way, tape, dh, seq in (("f", ft, d @ v[: self.hidden].T, codes), ("b", bt, (d @ v[self.hidden :].T)[::-1], codes[:, ::-1])):
             u = self.p[f"u{way}"]
             steps, gu, carry = np.empty((len(tape), n, 3 * self.hidden), u.dtype), np.zeros_like(u), np.zeros((n, self.hidden), u.dtype)
             for k in range(len(tape) - 1, -1, -1):
