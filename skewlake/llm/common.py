@@ -73,28 +73,43 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-class Words:
-    """The words `[^\\x20\\x09-\\x0D]+` of a text column.
+#: Bytes that part words: blank, tab, line feed, vertical tab, form feed, carriage return.
+BLANK = np.isin(np.arange(256), [0x20, *range(9, 14)])
 
-    data: all texts with a blank between; begin, end: bytes of each word; first: for each text (and one more) the
-    number of words before it; hash: 64-bit hash of each word.
+
+class Spans:
+    """Where the words of a text column lie: maximal runs of bytes that aren't in `gap` (where not given `[^\\x20\\x09-\\x0D]+`).
+
+    data: all texts with a blank between, which must be in gap; begin, end: bytes of each word; first: for each text (and one more) the
+    number of words before it.
     """
 
-    def __init__(self, texts: pa.Array | pa.ChunkedArray, lower: bool = False):
+    def __init__(self, texts: pa.Array | pa.ChunkedArray, gap: np.ndarray = BLANK):
         raw = [b"" if t is None else t for t in texts.cast(pa.large_binary()).to_pylist()]
         at = np.zeros(len(raw) + 1, np.int64)
         np.cumsum([len(t) + 1 for t in raw], out=at[1:])
         padded = np.frombuffer(b" ".join(raw) + b" " + bytes(8), np.uint8)
         del raw
-        self.data = padded[:-8]
-        space = (self.data == 0x20) | ((self.data >= 9) & (self.data <= 13))
+        self.data, self.padded = padded[:-8], padded
+        space = gap[self.data]
         edge = np.flatnonzero(space[1:] != space[:-1]) + 1
         if len(space) and not space[0]:
             edge = np.concatenate([[0], edge])
         self.begin, self.end = edge[0::2], edge[1::2]
         self.at = at
         self.first = np.searchsorted(self.begin, at)
-        self.hash = self._hash(LOWER[padded] if lower else padded)
+
+    def text_of(self) -> np.ndarray:
+        """Index of the text of each word."""
+        return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
+
+
+class Words(Spans):
+    """The words of a text column with a 64-bit hash of each."""
+
+    def __init__(self, texts: pa.Array | pa.ChunkedArray, lower: bool = False, gap: np.ndarray = BLANK):
+        super().__init__(texts, gap)
+        self.hash = self._hash(LOWER[self.padded] if lower else self.padded)
 
     def _eights(self, data: np.ndarray) -> np.ndarray:
         """The eight bytes from each place on, as a number."""
@@ -145,10 +160,6 @@ class Words:
         left = np.repeat(self.first[1:], np.diff(self.first)) - np.arange(total)
         return mix(out), left >= n
 
-    def text_of(self) -> np.ndarray:
-        """Index of the text of each word."""
-        return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
-
 
 def pack_sorted(values: np.ndarray) -> bytes:
     """Sorted 64-bit values as differences, stored byte plane by byte plane, which compresses well."""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, knn, langid, ngram_join, packing, substring_dedup, token_count, token_file, tool_calls, warc
+from . import decontaminate, knn, langid, lexical, ngram_join, packing, repair, simhash, substring_dedup, token_count, token_file, tool_calls, warc
 
 
 def _on(table: str, f: Callable[..., DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -25,6 +25,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc": _on("pages", warc.op8_warc),
         "op9_token_file": _on("documents", token_file.op9_token_file),
         "op10_language_id": _on("documents", langid.op10_language_id),
+        "op11_lexical_search": lambda spark, d: lexical.op11_lexical_search(spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/benchmark.parquet")),
+        "op12_conversation_repair": _on("conversations", repair.op12_conversation_repair),
+        "op13_simhash_groups": _on("documents", simhash.op13_simhash_groups),
     }
 
 
@@ -36,4 +39,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_exact_topk": knn.SQL,
         "op6_ngram_join": ngram_join.SQL,
         "op8_warc": warc.SQL,
+        "op11_lexical_search": lexical.SQL,
     }
