@@ -33,10 +33,11 @@ def quote_metrics(quotes: DataFrame, asof: Column) -> DataFrame:
     return quotes.withColumns({"dte": S.dte(F.col("expiry"), asof), "moneyness": ratio, "is_atm": S.is_atm(ratio), "iv_mid": S.iv_mid(F.col("iv_bid"), F.col("iv_ask"))})
 
 
-def normalize_bars(bars: DataFrame) -> DataFrame:
-    """Vendor extras dropped, times without zone, NaN prices null, exact repeats dropped."""
+def normalize_bars(bars: DataFrame, distinct: bool = True) -> DataFrame:
+    """Vendor extras dropped, times without zone, NaN prices null; exact repeats dropped, unless the caller drops repeated keys anyway."""
     prices = [c for c in ("open", "high", "low", "close") if c in bars.columns]
-    return bars.drop("average", "barCount").withColumns({**{c: S.clean_number(F.col(c)) for c in prices}, "bar_ts": F.col("bar_ts").cast("timestamp_ntz"), "volume": F.col("volume").cast("long")}).dropDuplicates()
+    out = bars.drop("average", "barCount").withColumns({**{c: S.clean_number(F.col(c)) for c in prices}, "bar_ts": F.col("bar_ts").cast("timestamp_ntz"), "volume": F.col("volume").cast("long")})
+    return out.dropDuplicates() if distinct else out
 
 
 def tag_bars(bars: DataFrame, contracts: DataFrame, key: list[str], batch: Column) -> DataFrame:

@@ -31,13 +31,17 @@ def latest_bar(bars: DataFrame, key: list[str], ts: str) -> DataFrame:
     return bars.groupBy(*key).agg(F.max(ts).alias("latest"))
 
 
+def start_of(start: Column, end: Column, latest: Column, head: Column) -> Column:
+    """Where a request from start to end begins: at the latest stored bar; else at its own start if it spans a day at most; else at
+    the vendor's earliest date, if known. Never before its own start."""
+    short = F.datediff(end, start) <= 1
+    return F.greatest(start, F.coalesce(F.to_date(latest), F.when(short, start), F.to_date(head), start))
+
+
 def resolve_start(requests: DataFrame, latest: DataFrame, heads: DataFrame, key: list[str]) -> DataFrame:
-    """Where to start each request (start_date, end_date): the latest stored bar; else the request's start if it spans a
-    day at most; else the vendor's earliest date, if known. Never before the request's start."""
+    """Requests (start_date, end_date) with where each begins, from their latest stored bars and the vendor's first dates."""
     r = requests.join(latest, key, "left").join(heads, key, "left")
-    short = F.datediff("end_date", "start_date") <= 1
-    found = F.coalesce(F.to_date("latest"), F.when(short, F.col("start_date")), F.to_date("head_ts"), F.col("start_date"))
-    return r.select(*requests.columns, F.greatest("start_date", found).alias("resolved_start"))
+    return r.select(*requests.columns, start_of(F.col("start_date"), F.col("end_date"), F.col("latest"), F.col("head_ts")).alias("resolved_start"))
 
 
 def eligible_requests(resolved: DataFrame) -> DataFrame:
@@ -55,8 +59,9 @@ def missing_ranges(stored: DataFrame, asked: DataFrame, by: str = "symbol", day:
     return head.unionByName(tail).unionByName(none.select(*head.columns)).filter("range_start <= range_end").select(by, "range_start", "range_end")
 
 
-def date_chunks(ranges: DataFrame, sizes: DataFrame, cover_tail: bool = False) -> DataFrame:
-    """Ranges (start_date, end_date, bar_size) cut so that each chunk has about BARS_PER_CHUNK bars.
+def with_chunks(ranges: DataFrame, sizes: DataFrame, cover_tail: bool = False) -> DataFrame:
+    """Ranges (start_date, end_date, bar_size) with the chunks to ask for, as an array of (chunk_start, chunk_end) each of about
+    BARS_PER_CHUNK bars.
 
     A chunk that ends on the last day but one leaves the last day out, as requests end the day after; cover_tail asks for
     it too. An unknown bar size is an error.
@@ -64,9 +69,14 @@ def date_chunks(ranges: DataFrame, sizes: DataFrame, cover_tail: bool = False) -
     known = ranges.join(F.broadcast(sizes), "bar_size", "left").withColumn("bars_per_day", F.coalesce("bars_per_day", F.raise_error(F.concat(F.lit("unknown bar size: "), F.coalesce("bar_size", F.lit("null")))).cast("int")))
     step = F.floor(F.lit(config.BARS_PER_CHUNK) / F.col("bars_per_day")).cast("int")
     last = F.col("end_date") if cover_tail else F.date_sub("end_date", 1)
-    starts = F.when(F.col("start_date") <= last, F.sequence(F.col("start_date"), last, F.make_dt_interval(step + 1)))
-    cut = known.withColumn("step", step).withColumn("chunk_start", F.explode(starts))
-    return cut.select(*ranges.columns, "chunk_start", F.least(F.date_add("chunk_start", F.col("step")), F.col("end_date")).alias("chunk_end"))
+    starts = F.when(F.col("start_date") <= last, F.sequence(F.col("start_date"), last, F.make_dt_interval(step + 1))).otherwise(F.array().cast("array<date>"))
+    chunk = lambda s: F.struct(s.alias("chunk_start"), F.least(F.date_add(s, F.col("step")), F.col("end_date")).alias("chunk_end"))
+    return known.withColumn("step", step).select(*ranges.columns, F.transform(starts, chunk).alias("chunks"))
+
+
+def date_chunks(ranges: DataFrame, sizes: DataFrame, cover_tail: bool = False) -> DataFrame:
+    """A row (chunk_start, chunk_end) for each chunk of the ranges."""
+    return with_chunks(ranges, sizes, cover_tail).select(*ranges.columns, F.inline("chunks"))
 
 
 def attach_close(bars: DataFrame, daily: DataFrame, ts: str) -> DataFrame:

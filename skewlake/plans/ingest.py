@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
+import datetime as dt
 
 from pyspark.sql import functions as F
 
 from .. import config, schemas
 from ..functions import scalars as S
-from ..operators import clean, joins, progress
+from ..operators import clean, joins
 from ..operators import ingest as I
+from ..operators.backfill import BAR_KEY, CONTRACT, Backfill
 from ..sources import tables as T
+from ..sources.store import bucket
 from .base import CHAINS, CQ, attempts, bars, chains, cleaned, daily, query, text_of
 
-CONTRACT = ["symbol", "strike", "expiry", "option_type", "what_to_show"]
-BAR_KEY = [*CONTRACT, "bar_ts"]
-
 
 @query("SELECT symbol, strike, expiry, option_type, what_to_show, bar_ts, close, volume FROM fx_option_bars WHERE is_incoming = 0 AND symbol IN ('S1', 'S3') AND what_to_show = 'TRADES' AND bar_ts >= TIMESTAMP '1996-01-01' AND bar_ts < TIMESTAMP '1997-01-01'")
 def scan_bars(spark, d):
@@ -49,10 +48,10 @@ def insert_new_underlying(spark, d):
 
 @query(f"WITH {CQ} SELECT symbol, snapshot_time, count(*) AS n_written, count(bid) AS n_bids, max(underlying_price) AS price, count(*) FILTER (WHERE incomplete = 0) AS contracts_processed, CASE WHEN count(*) FILTER (WHERE incomplete = 0) > 0 THEN 'COMPLETED' ELSE 'FAILED' END AS status FROM sq GROUP BY ALL")
 def write_quote_snapshot(spark, d):
-    quotes, underlying, done = T.write_snapshot(cleaned(spark, d), clean.complete_reading())
+    quotes, underlying, done = T.write_snapshot(T.fresh_store(spark), cleaned(spark, d), clean.complete_reading())
     by = ["symbol", "snapshot_time"]
     back = quotes.groupBy(*by).agg(F.count(F.lit(1)).alias("n_written"), F.count("bid").alias("n_bids"))
-    return back.join(underlying.drop("snapshot_date"), by).join(done.select(*by, "contracts_processed", "status"), by)
+    return back.join(underlying, by).join(done.select(*by, "contracts_processed", "status"), by)
 
 
 @query("SELECT batch_id, contract_id, status FROM fx_attempts")
@@ -62,9 +61,12 @@ def read_progress(spark, d):
 
 @query("SELECT batch_id, contract_id, attempt_seq, status FROM fx_attempts WHERE batch_id <> 'B7'")
 def delete_batch(spark, d):
-    """What stays, written as a new version of the table and read back."""
-    kept = T.delete_rows(attempts(spark, d), F.col("batch_id") == "B7").select("batch_id", "contract_id", "attempt_seq", "status")
-    return T.write_and_read(kept, ["batch_id"])
+    """The table after the deletion; only the bucket that may hold the batch is read and written anew."""
+    store, part = T.fresh_store(spark), bucket(16, "batch_id")
+    store.publish([store.stage("attempts", attempts(spark, d).select("batch_id", "contract_id", "attempt_seq", "status"), part)])
+    where = store.touched(spark.range(1).select(F.lit("B7").alias("batch_id")), part)
+    store.publish([store.without("attempts", F.col("batch_id") == "B7", part, where)])
+    return store.read("attempts")
 
 
 @query("SELECT batch_id, arg_max(contract_id, attempt_seq) AS contract_id, max(attempt_seq) AS attempt_seq, arg_max(status, attempt_seq) AS status FROM fx_attempts GROUP BY batch_id")
@@ -94,6 +96,16 @@ def _resolved(spark, d):
     return I.resolve_start(asked, I.latest_bar(bars(spark, d, 0), CONTRACT, "bar_ts"), heads, CONTRACT)
 
 
+def resolved(every):
+    """The same from one pass over stored and arriving bars, told apart by is_incoming."""
+    new, ts = F.col("is_incoming") == 1, F.col("bar_ts")
+    facts = every.groupBy(*CONTRACT).agg(
+        F.to_date(F.min(F.when(new, ts))).alias("start_date"), F.date_add(F.to_date(F.max(F.when(new, ts))), 1).alias("end_date"),
+        F.max(F.when(~new, ts)).alias("latest"), F.min(F.when(F.col("volume") > 25, ts)).alias("head_ts"),
+    )
+    return facts.filter("start_date IS NOT NULL").withColumn("resolved_start", I.start_of(F.col("start_date"), F.col("end_date"), F.col("latest"), F.col("head_ts")))
+
+
 @query(f"WITH {RESOLVED} SELECT * FROM rs")
 def resolve_start_date(spark, d):
     return _resolved(spark, d)
@@ -176,25 +188,10 @@ v AS (SELECT w.symbol, count(*) AS expected, count(h.symbol) AS completed FROM w
 c AS (SELECT symbol, count(DISTINCT (strike, expiry, option_type, what_to_show)) AS n_contracts, count(*) AS n_chunks FROM ck GROUP BY symbol)
 SELECT c.symbol, n_contracts, n_chunks, coalesce(n_new, 0) AS n_new, expected, completed, CASE WHEN completed > 0 THEN 'COMPLETED' ELSE 'FAILED' END AS status FROM c LEFT JOIN v ON v.symbol = c.symbol LEFT JOIN (SELECT symbol, count(*) AS n_new FROM nb GROUP BY symbol) n ON n.symbol = c.symbol""")
 def bar_backfill(spark, d):
-    """Where each contract's request starts, its chunks, the arriving bars that they ask for, less those stored; append, verify, roll up."""
-    asked = I.eligible_requests(_resolved(spark, d)).select(*CONTRACT, F.col("resolved_start").alias("start_date"), "end_date", F.lit("1 hour").alias("bar_size"))
-    chunks = I.date_chunks(asked, config.bar_sizes(spark)).select(*CONTRACT, "chunk_start", "chunk_end")
-    arriving = clean.normalize_bars(bars(spark, d, 1))
-    loaded = arriving.join(chunks, CONTRACT).filter(F.to_date("bar_ts").between(F.col("chunk_start"), F.col("chunk_end"))).select(*arriving.columns)
-    counts = chunks.groupBy(*CONTRACT).count().groupBy("symbol").agg(F.count(F.lit(1)).alias("n_contracts"), F.sum("count").alias("n_chunks"))
-    done = backfill(bars(spark, d, 0), loaded, f"{T.shared_folder(spark)}/bars-{uuid.uuid4().hex}")
-    out = counts.join(done, "symbol", "left")
-    return out.select("symbol", "n_contracts", "n_chunks", F.coalesce("n_new", F.lit(0).cast("long")).alias("n_new"), "expected", "completed", F.coalesce("status", F.lit("FAILED")).alias("status"))
-
-
-def backfill(stored, arriving, path):
-    """Append to path the arriving bars that aren't stored, and verify on what is read back. A symbol without new bars has 0."""
-    new = I.insert_new(stored, arriving, BAR_KEY, ["close", "volume"])
-    T.append(new, path, ["symbol"])
-    written = T.read_table(new.sparkSession, path, new._jdf.schema().toDDL()).select(*BAR_KEY)
-    wanted = arriving.select(*CONTRACT, F.to_date("bar_ts").alias("trade_date")).distinct()
-    held = I.verify_written(wanted, stored.select(*BAR_KEY).union(written), CONTRACT, "trade_date", "bar_ts").withColumn("ok", F.lit(True))
-    checked = wanted.join(held, [*CONTRACT, "trade_date"], "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
-    counts = written.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_new"))
-    out = progress.rollup(checked, ["symbol"], F.col("ok"), "no rows written").join(counts, "symbol", "left")
-    return out.select("symbol", F.coalesce("n_new", F.lit(0).cast("long")).alias("n_new"), "expected", "completed", "status")
+    """Where each contract's request starts, put on the list of work, leased, cut in chunks and loaded; bars and states in one commit."""
+    every = T.write_and_read(bars(spark, d), [])
+    job = Backfill(T.fresh_store(spark), bar_part=F.date_format("bar_ts", "yyyy"))
+    job.store.publish([job.store.stage("bars", every.filter("is_incoming = 0").drop("is_incoming"), job.bar_part)])
+    asked = resolved(every).filter("resolved_start <= end_date").select(*CONTRACT, F.col("resolved_start").alias("start_date"), "end_date", F.lit("1 hour").alias("bar_size"))
+    job.run("first", asked, clean.normalize_bars(every.filter("is_incoming = 1").drop("is_incoming"), distinct=False), dt.datetime(2024, 1, 20, 12))
+    return job.rollup()

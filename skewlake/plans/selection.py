@@ -205,8 +205,8 @@ def quote_snapshot(spark, d):
     near = U.strikes_around_spot(q.select("symbol", "strike").distinct(), q.select("symbol", F.col("underlying_price").alias("spot")).distinct(), 10).select("symbol", "strike")
     contracts = U.contract_universe(near, U.first_expiries(q.select("symbol", "expiry").distinct(), 2, asof()), ["symbol"])
     rows = clean.quote_metrics(clean_of(q).join(contracts, ["symbol", "strike", "expiry", "option_type"]), asof())
-    quotes, underlying, done = T.write_snapshot(rows, clean.complete_reading())
+    quotes, underlying, done = T.write_snapshot(T.fresh_store(spark), rows, clean.complete_reading())
     by = ["symbol", "snapshot_time"]
     back = quotes.groupBy(*by).agg(F.count_if("is_atm").alias("n_atm"))
     told = done.select(*by, F.col("contracts_total").alias("n_contracts"), F.col("contracts_processed").alias("n_stored"), "status")
-    return back.join(underlying.drop("snapshot_date"), by).join(told, by)
+    return back.join(underlying, by).join(told, by)

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .store import Store, day
+
 
 def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """A Parquet table with a declared schema; filters and columns reach the scan."""
@@ -56,24 +58,34 @@ def write_and_read(rows: DataFrame, by: list[str], folder: str | None = None) ->
     return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
 
 
-def write_snapshot(rows: DataFrame, complete: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Write quotes of snapshots, then the price of each underlying, then the progress of each snapshot; all as read back.
+def write_snapshot(store: Store, rows: DataFrame, complete: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Write quotes of snapshots, the price of each underlying and the progress of each snapshot in one commit; all as read back.
 
-    Progress comes last and from what was stored, so a write that fails before has none. A snapshot without a complete
-    quote is FAILED.
+    Readers see the three tables of a commit or none. Writing a snapshot again takes the place of its rows, so twice equals once. A
+    snapshot without a complete quote is FAILED.
     """
-    by = ["symbol", "snapshot_time"]
-    quotes = write_and_read(rows.withColumn("complete", complete).withColumn("snapshot_date", F.to_date("snapshot_time")), ["snapshot_date"])
-    underlying = write_and_read(quotes.groupBy(*by).agg(F.max("underlying_price").alias("price")).withColumn("snapshot_date", F.to_date("snapshot_time")), ["snapshot_date"])
-    counts = quotes.groupBy(*by).agg(F.count(F.lit(1)).alias("contracts_total"), F.count_if("complete").alias("contracts_processed"))
+    by, part, base = ["symbol", "snapshot_time"], day("snapshot_time"), store.version()
+    quotes = store.merge("quotes", rows.withColumn("complete", complete), part, by, base)
+    written = store.staged(quotes)
+    underlying = store.merge("underlying", written.groupBy(*by).agg(F.max("underlying_price").alias("price")), part, by, base)
+    counts = written.groupBy(*by).agg(F.count(F.lit(1)).alias("contracts_total"), F.count_if("complete").alias("contracts_processed"))
     done = F.col("contracts_processed") > 0
     counts = counts.withColumn("status", F.when(done, "COMPLETED").otherwise("FAILED")).withColumn("error_message", F.when(~done, "no complete quote"))
-    return quotes, underlying, write_and_read(counts, [])
+    store.publish([quotes, underlying, store.merge("progress", counts, part, by, base)], base)
+    return store.read("quotes"), store.read("underlying"), store.read("progress")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, which all executors share; the warehouse where none is set."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """spark.checkpoint.dir, which all executors share. Where none is set a local session uses its warehouse; a cluster must name it."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return path or spark.conf.get("spark.sql.warehouse.dir")
+
+
+def fresh_store(spark: SparkSession) -> Store:
+    """An empty store in the shared folder."""
+    return Store(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}")
 
 
 def delete_rows(table: DataFrame, gone: Column) -> DataFrame:

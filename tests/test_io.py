@@ -79,20 +79,6 @@ def test_streamed_bars_equal_table_bars(spark, data, tmp_path):
     assert isinstance(last.first()["bar_ts"], dt.datetime)
 
 
-def test_backfill_again(spark, data, tmp_path):
-    """New bars are stored; the same backfill run again keeps each symbol, with no new bars."""
-    from skewlake.operators import clean
-    from skewlake.plans import ingest
-    from skewlake.plans.base import bars
-
-    stored, arriving = bars(spark, data, 0), clean.normalize_bars(bars(spark, data, 1))
-    first = {r["symbol"]: r for r in ingest.backfill(stored, arriving, str(tmp_path / "a")).collect()}
-    kept = spark.read.schema(arriving.schema).parquet(str(tmp_path / "a"))
-    assert kept.count() == sum(r["n_new"] for r in first.values()) > 0
-    again = {r["symbol"]: r for r in ingest.backfill(stored.select(*ingest.BAR_KEY).union(kept.select(*ingest.BAR_KEY)), arriving, str(tmp_path / "b")).collect()}
-    assert set(again) == set(first) and all(r["n_new"] == 0 and r["status"] == "COMPLETED" for r in again.values())
-
-
 def test_stream_dedup_over_batches(spark, data, tmp_path):
     """A log of 200 days and more in files of three batches, the later days first."""
     from skewlake.plans import registry
