@@ -159,8 +159,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, percent: in
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents, with all their columns, that repeat no item (rows with a null doc_id are kept)."""
-    return docs.join(find_leaks(docs, benchmark, **options).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """The documents, with all their columns, that repeat no item. Of a repeated doc_id all rows go if one repeats an item; rows with a null doc_id are kept."""
+    return docs.join(find_leaks(docs, benchmark, **options).select("doc_id").distinct(), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op1_decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from .common import cut
 
 #: Rows of data, and queries, that one local search takes at most.
 DATA_ROWS, QUERY_ROWS = 8192, 2048
-CELL = "vec_id long, query boolean, dim int, cell int, dist double, norm double, vector binary"
+CELL = "vec_id long, row long, query boolean, dim int, cell int, dist double, norm double, vector binary"
 
 
 def _unpack(blobs: list[bytes], dim: int) -> np.ndarray:
@@ -33,8 +33,8 @@ def _by_dim(sizes: np.ndarray):
         yield dim, np.flatnonzero(sizes == dim)
 
 
-def _best(q: np.ndarray, x: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """For each query (row number of q) up to k of (query, row of x, score): greatest scores, ties to smaller ids."""
+def _best(q: np.ndarray, x: np.ndarray, ids: np.ndarray, row_of: np.ndarray, own: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    """For each query (place in q) up to k of (query, place in x, score): greatest scores, ties to smaller ids; own: the query's own row."""
     out = []
     exact = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * max(1, q.shape[1]) < 2**52
     xt = (x.astype(np.float64) if exact else x).T
@@ -42,7 +42,7 @@ def _best(q: np.ndarray, x: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int
         part = q[i : i + 256]
         score = (part.astype(np.float64) @ xt).astype(np.int64) if exact else part @ xt
         for j, row in enumerate(score):
-            ok = np.flatnonzero(ids != own[i + j])
+            ok = np.flatnonzero(row_of != own[i + j])
             s = row[ok]
             if len(ok) > k:
                 ok = ok[s >= np.partition(s, len(s) - k)[len(s) - k]]
@@ -61,13 +61,13 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64,
     left out. Groups are cut in shards by hash of the ids, solved locally, and the shards' answers are merged.
 
     Vectors that are null, or hold null or non-finite components, take no part, nor do null ids; vectors of different length
-    don't meet. Rows that repeat a vec_id count once, with the least vector. Ties go to the smaller vec_id. A query with
+    don't meet. Rows that repeat a vec_id stand each for itself: as candidates, also of one another, and as queries with ranks of their own. Ties go to the smaller vec_id. A query with
     fewer than k others has as many rows as there are; an empty table gives none. Extra columns are not read. Scores must
     fit a 64-bit integer.
     """
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e"), is_query.alias("query"))
     v = v.filter("vec_id IS NOT NULL AND e IS NOT NULL AND forall(e, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity'))")
-    v = v.groupBy("vec_id").agg(F.min(F.struct("e", "query")).alias("s")).select("vec_id", "s.query", F.expr(f"transform(s.e, x -> floor(x * {scale}))").alias("v"))
+    v = v.select("vec_id", F.monotonically_increasing_id().alias("row"), "query", F.expr(f"transform(e, x -> floor(x * {scale}))").alias("v"))
     pivots = pivots or min(512, max(16, v.count() // 50_000))
     some = v.select("v").orderBy(F.xxhash64("vec_id")).limit(4 * pivots).collect()
     by_dim: dict[int, list] = {}
@@ -94,7 +94,7 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64,
                 dist[rows], norm[rows] = near, np.sqrt((x.astype(np.float64) ** 2).sum(1))
                 for i, blob in zip(rows.tolist(), _pack(x), strict=True):
                     vector[i] = blob
-            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("query"), pa.array(sizes.astype(np.int32)), pa.array(cell), pa.array(dist), pa.array(norm), pa.array(vector, pa.binary())], ["vec_id", "query", "dim", "cell", "dist", "norm", "vector"])
+            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("row"), b.column("query"), pa.array(sizes.astype(np.int32)), pa.array(cell), pa.array(dist), pa.array(norm), pa.array(vector, pa.binary())], ["vec_id", "row", "query", "dim", "cell", "dist", "norm", "vector"])
 
     def nearest(batches):
         """The k + 1 smallest distances of each group in this partition."""
@@ -145,26 +145,27 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64,
                     row += mine.tolist()
                     to += [cell] * len(mine)
             take = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("vec_id").take(take), b.column("dim").take(take), pa.array(to, pa.int32()), b.column("vector").take(take)], ["vec_id", "dim", "cell", "vector"])
+            yield pa.RecordBatch.from_arrays([b.column("vec_id").take(take), b.column("row").take(take), b.column("dim").take(take), pa.array(to, pa.int32()), b.column("vector").take(take)], ["vec_id", "row", "dim", "cell", "vector"])
 
     # shards of data for each dimension, and of queries for each group: a group with a third of all queries has more
     per = F.create_map(*[F.lit(x) for d, n in (rows or {0: 1}).items() for x in (d, -(-n // DATA_ROWS))])[F.col("dim")]
     turns = {f"{r['dim']} {r['cell']}": -(-r["n"] // QUERY_ROWS) for r in wanted} or {"": 1}
     asked = F.create_map(*[F.lit(x) for pair in turns.items() for x in pair])[F.concat_ws(" ", "dim", "cell")]
-    part = lambda n: F.pmod(F.xxhash64("vec_id"), n).cast("int")
+    part = lambda n: F.pmod(F.xxhash64("row"), n).cast("int")
     span = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    data = cells.mapInArrow(replicate, "vec_id long, dim int, cell int, vector binary").withColumn("shard", part(per)).select("*", span(asked).alias("turn"))
-    queries = cells.filter("query").select("vec_id", "dim", "cell", "vector", part(asked).alias("turn")).select("*", span(per).alias("shard"))
+    data = cells.mapInArrow(replicate, "vec_id long, row long, dim int, cell int, vector binary").withColumn("shard", part(per)).select("*", span(asked).alias("turn"))
+    queries = cells.filter("query").select("vec_id", "row", "dim", "cell", "vector", part(asked).alias("turn")).select("*", span(per).alias("shard"))
     key = ["dim", "cell", "shard", "turn"]
 
     def solve(key: tuple, asked: pa.Table, data: pa.Table) -> pa.Table:
         dim = key[0].as_py()
-        own, ids = asked.column("vec_id").to_numpy(), data.column("vec_id").to_numpy()
-        found = _best(_unpack(asked.column("vector").to_pylist(), dim), _unpack(data.column("vector").to_pylist(), dim), ids, own, k) if len(own) and len(ids) else []
-        return pa.table({"query_id": pa.array([int(own[a]) for a, _, _ in found], pa.int64()), "vec_id": pa.array([int(ids[b]) for _, b, _ in found], pa.int64()), "score": pa.array([s for _, _, s in found], pa.int64())})
+        name, own = asked.column("vec_id").to_numpy(), asked.column("row").to_numpy()
+        ids, rows = data.column("vec_id").to_numpy(), data.column("row").to_numpy()
+        found = _best(_unpack(asked.column("vector").to_pylist(), dim), _unpack(data.column("vector").to_pylist(), dim), ids, rows, own, k) if len(own) and len(ids) else []
+        return pa.table({"query_id": pa.array([int(name[a]) for a, _, _ in found], pa.int64()), "query_row": pa.array([int(own[a]) for a, _, _ in found], pa.int64()), "vec_id": pa.array([int(ids[b]) for _, b, _ in found], pa.int64()), "score": pa.array([s for _, _, s in found], pa.int64())})
 
-    some = queries.groupBy(*key).cogroup(data.groupBy(*key)).applyInArrow(solve, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    some = queries.groupBy(*key).cogroup(data.groupBy(*key)).applyInArrow(solve, "query_id long, query_row long, vec_id long, score long")
+    rank = F.row_number().over(Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id"))
     return some.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

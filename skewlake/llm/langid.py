@@ -22,6 +22,11 @@ PAD = 256
 LETTER = re.compile(r"[^\W\d_]")
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether a text holds a letter. The pattern also takes number signs such as ² or Ⅷ, so what it finds is looked at."""
+    return text is not None and any(m.group().isalpha() for m in LETTER.finditer(text))
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Whether crc32 of the doc_id as text leaves 1 when divided by 3 (a null doc_id: false)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -236,7 +241,7 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     def run(batches):
         for b in byte_slices(batches, 4 << 20):
             texts = b.column("text").to_pylist()
-            lettered = np.array([t is not None and LETTER.search(t) is not None for t in texts], bool)
+            lettered = np.array([has_letter(t) for t in texts], bool)
             label, score = np.full(len(texts), "und", object), np.where(lettered, 0.0, 1.0)
             if net and lettered.any():
                 total, count = net.documents(b.column("text"))
@@ -260,7 +265,7 @@ def keep_known(docs: DataFrame, least: float = 0.3) -> DataFrame:
     def known(texts: pa.Array) -> pa.Array:
         out = []
         for b in byte_slices([pa.RecordBatch.from_arrays([texts], ["text"])], 4 << 20):
-            lettered = np.array([t is not None and LETTER.search(t) is not None for t in b.column("text").to_pylist()], bool)
+            lettered = np.array([has_letter(t) for t in b.column("text").to_pylist()], bool)
             if net and lettered.any():
                 total, count = net.documents(b.column("text"))
                 lettered &= total.max(1) >= least * np.maximum(count, 1)

@@ -302,7 +302,7 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     """
     groups = stored(ngram_groups(docs, **options).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("low"), F.count(F.lit(1)).alias("n")))
     gone = groups.filter("low < doc_id").select("doc_id")
-    out = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    out = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
     if groups.filter("n > 1 AND low = doc_id").isEmpty():
         return out
     return out.filter("doc_id IS NULL").unionByName(out.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]))

@@ -14,14 +14,14 @@ from skewlake.llm import decontaminate, langid, ngram_join, packing, substring_d
 from skewlake.llm.tokens import Encoder
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-SCHEMA = "doc_id long, text string, lang string, block string, part string, node long, rest string"
+SCHEMA = "doc_id long, text string, lang string, block string, part string, node long, rest string, `a.b` string"
 BASE = " ".join(f"w{i % 37}x{i % 11}" for i in range(400))
 TEXTS = [
     BASE, BASE, BASE.upper(), BASE.replace("w5x5", "zz", 3), None, "", "  \n\t ", "one", "one two", "One TWO", "a b c",
     "a b c " * 30, "lorem " * 5000, "tail " + " ".join(BASE.split()[100:130]) + " end", "\x1c  x<|endoftext|>y  z\n\n q", "é ÉÉ ñandú 東京 🎉",
     "x" * 9000 + " y", "<|startoftext|> it's we'll 12345 !!! ...",
 ]
-ROWS = [(i, t, "en" if i % 2 else None, "b", "p", 7, "r") for i, t in enumerate(TEXTS)] + [(3, TEXTS[3], "en", "b", "p", 7, "r"), (None, BASE, "en", "b", "p", 7, None), (None, None, None, None, None, None, None)]
+ROWS = [(i, t, "en" if i % 2 else None, "b", "p", 7, "r", "d") for i, t in enumerate(TEXTS)] + [(3, TEXTS[3], "en", "b", "p", 7, "r", "d"), (None, BASE, "en", "b", "p", 7, None, "d"), (None,) * 8]
 
 
 @pytest.fixture(scope="module")
@@ -137,6 +137,11 @@ def test_encoder_equals_library():
         assert [np.frombuffer(x, "<u4").tolist() for x in e.encode(texts)] == [x.ids for x in plain.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_letters():
+    assert not any(map(langid.has_letter, [None, "", "²³ ½", "①Ⅷ", "12_3", "!?"]))
+    assert all(map(langid.has_letter, ["² x", "é", "東", "1a"]))
+
+
 def test_token_count(docs, empty):
     tok = Tokenizer.from_file(P.path("word_bpe_49k.json"))
     n = [len(tok.encode(t or "", add_special_tokens=False).ids) for _, t, *_ in ROWS]

@@ -55,15 +55,12 @@ def test_native_operators_run_no_python(spark, data):
 
 
 def brute_top(rows, k, every):
+    """Each row is a candidate for all others, also for those of its own vec_id."""
     out = []
-    best = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
-            best[i] = min(best.get(i, tuple(v)), tuple(v))
-    q = {i: [int(np.floor(64 * float(x))) for x in v] for i, v in best.items()}
-    for i in q:
+    q = [(i, [int(np.floor(64 * float(x))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    for a, (i, x) in enumerate(q):
         if i % every == 0:
-            found = sorted(((-sum(a * b for a, b in zip(q[i], q[j], strict=True)), j) for j in q if j != i and len(q[j]) == len(q[i])))[:k]
+            found = sorted((-sum(s * t for s, t in zip(x, y, strict=True)), j) for b, (j, y) in enumerate(q) if a != b and len(x) == len(y))[:k]
             out += [(i, r, j, -s) for r, (s, j) in enumerate(found, 1)]
     return sorted(out)
 
@@ -89,6 +86,12 @@ def test_knn_join(spark, monkeypatch, shape):
     assert knn.op5_exact_topk(df.limit(0)).count() == 0
 
 
+def test_knn_join_with_repeated_ids(spark, same):
+    rows = [(0, [1.0, 0.0]), (1, [0.9, 0.0]), (1, [0.1, 0.5]), (2, [0.5, 0.5])]
+    got = knn.op5_exact_topk(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    assert sorted(map(tuple, got.collect())) == [(0, 1, 1, 64 * 57), (0, 2, 2, 64 * 32), (0, 3, 1, 64 * 6)]
+
+
 def test_warc_round_trip(spark, tmp_path):
     big = "<p>é WARC/1.1\r\n\r\n</p>" * 20
     rows = [(1, "http://www.B.com/x?q=1#f", big), (2, "http://a.com", big), (3, None, "small"), (4, "http://a.com", "small"), (5, "x\r\ny", None), (6, "", ""), (None, "http://n.org", big), (0, "http://a.com", big + "!"), (7, "http://a.com", big), (1, "http://www.B.com/x?q=1#f", big), (8, "http://[", "z" * 300)]
