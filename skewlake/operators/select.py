@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .clean import complete_reading
@@ -30,19 +30,26 @@ def best_delta(targets: DataFrame, quotes: DataFrame, keep: list[str], how: str
     return joined.groupBy(*targets.columns).agg(best)
 
 
-def _start(targets: DataFrame, quotes: DataFrame, key: list[str]) -> DataFrame:
-    """Where the walk of each target starts (place), and in which direction it is bound to go (0: either).
+def _walk(max_hops: int, patience: int) -> str:
+    """The walk of target t over its chain, as SQL: chain is sorted by strike; below is the number of its strikes under the start.
 
-    The quote at starting_strike; where that strike isn't quoted, the better by score of the nearest quotes above and below (of
-    equal ones that below), and the walk then goes on that way only.
+    Its state: best (score), way (0: either side), idle (hops in a row without improvement), counted (quotes with a delta), done.
     """
-    gap = F.coalesce(F.abs(F.col("delta") - F.col("target_delta")), F.lit(float("inf")))
-    quote = F.struct("strike", "place", F.struct(gap, "incomplete", "strike_gap").alias("score"))
-    above, below = F.col("strike") >= F.col("starting_strike"), F.col("strike") < F.col("starting_strike")
-    near = targets.join(quotes, key).groupBy(*targets.columns).agg(F.min(F.when(above, quote)).alias("above"), F.max(F.when(below, quote)).alias("below"))
-    exact = F.coalesce(F.col("above.strike") == F.col("starting_strike"), F.lit(False))
-    up = exact | F.col("below").isNull() | F.coalesce(F.col("above.score") < F.col("below.score"), F.lit(False))
-    return near.select(*targets.columns, F.when(up, F.col("above.place")).otherwise(F.col("below.place")).alias("start"), F.when(exact, 0).when(up, 1).otherwise(-1).alias("bound"))
+    score = lambda q: f"CASE WHEN {q}.delta IS NOT NULL THEN named_struct('gap', abs({q}.delta - t.target_delta), 'incomplete', {q}.incomplete, 'strike_gap', {q}.strike_gap, 'strike', {q}.strike, 'delta', {q}.delta) END"
+    less = lambda x, y: f"({x} IS NOT NULL AND ({y} IS NULL OR struct({x}.gap, {x}.incomplete, {x}.strike_gap) < struct({y}.gap, {y}.incomplete, {y}.strike_gap)))"
+    let = lambda value, name, body: f"element_at(transform(array({value}), {name} -> {body}), 1)"
+    rank = lambda q: f"struct(coalesce(abs({q}.delta - t.target_delta), double('infinity')), {q}.incomplete, {q}.strike_gap)"
+    # a start that isn't quoted moves to the better of its neighbours by score, of equal ones the lower, and the walk goes on that way only
+    above, under = "get(chain, p)", "get(chain, p - 1)"
+    exact = f"coalesce({above}.strike = t.starting_strike, false)"
+    up = f"({exact} OR p = 0 OR coalesce({rank(above)} < {rank(under)}, false))"
+    start = f"named_struct('at', CASE WHEN {up} THEN p ELSE p - 1 END, 'way', CASE WHEN {exact} THEN 0 WHEN {up} THEN 1 ELSE -1 END)"
+    first = f"named_struct('best', {score('get(chain, s.at)')}, 'way', s.way, 'idle', 0, 'counted', CASE WHEN get(chain, s.at).delta IS NULL THEN 0 ELSE 1 END)"
+    looked = f"named_struct('seen', (a.way <= 0 AND s.at - h >= 0) OR (a.way >= 0 AND s.at + h < size(chain)), 'l', CASE WHEN a.way <= 0 AND s.at - h >= 0 THEN {score('get(chain, s.at - h)')} END, 'h', CASE WHEN a.way >= 0 THEN {score('get(chain, s.at + h)')} END)"
+    after = let(f"CASE WHEN {less('x.l', 'a.best')} THEN x.l ELSE a.best END", "m", f"named_struct('best', CASE WHEN {less('x.h', 'm')} THEN x.h ELSE m END, 'way', CASE WHEN {less('x.h', 'm')} THEN 1 WHEN {less('x.l', 'a.best')} THEN -1 ELSE a.way END, 'idle', CASE WHEN NOT x.seen THEN a.idle WHEN {less('x.l', 'a.best')} OR {less('x.h', 'm')} THEN 0 ELSE a.idle + 1 END, 'counted', a.counted + CASE WHEN x.l IS NULL THEN 0 ELSE 1 END + CASE WHEN x.h IS NULL THEN 0 ELSE 1 END)")
+    hop = f"CASE WHEN a.idle >= {patience} OR a.counted >= {max_hops + 1} THEN a ELSE {let(looked, 'x', after)} END"
+    fold = f"aggregate(sequence(1, {(max_hops + 1) * patience}), {first}, (a, h) -> {hop}).best"
+    return let("size(filter(chain, q -> q.strike < t.starting_strike))", "p", let(start, "s", fold))
 
 
 def best_delta_bounded(targets: DataFrame, quotes: DataFrame, max_hops: int, patience: int) -> DataFrame:
@@ -50,37 +57,18 @@ def best_delta_bounded(targets: DataFrame, quotes: DataFrame, max_hops: int, pat
 
     Quotes are ranked by strike; hop h looks at both sides of the start until one improves, then only at that side. A start
     that had to be moved off an unquoted strike goes one way only. A null delta is no improvement and isn't counted. The walk
-    ends after `patience` hops without improvement or at max_hops + 1 counted quotes. Only quotes within the reach of the
-    walk are gathered, so arrays stay within 2 * reach + 1 structs.
+    ends after `patience` hops without improvement or at max_hops + 1 counted quotes.
+
+    Each chain (symbol, snapshot, expiry, side: hundreds of quotes) is gathered once as a sorted array beside its targets, and each walk
+    reads it by place: one join, and no quote is copied to a target. Targets whose chain has no quote are left out.
     """
-    reach = (max_hops + 1) * patience
     key = ["symbol", "snapshot_time", "selected_expiry", "option_type"]
-    place = F.row_number().over(Window.partitionBy(*QUOTE).orderBy("strike"))
-    q = scored(quotes).withColumn("place", place).withColumnRenamed("expiry", "selected_expiry").select(*key, "strike", "delta", "incomplete", "strike_gap", "place")
-    start = _start(targets, q, key)
-    near = start.join(q, key).withColumn("hop", F.col("place") - F.col("start")).filter(F.abs("hop") <= reach)
-    score = F.struct(F.abs(F.col("delta") - F.col("target_delta")).alias("gap"), "incomplete", "strike_gap", "strike", "delta")
-    item = F.struct(F.abs("hop").alias("h"), F.signum(F.col("hop").cast("double")).cast("int").alias("side"), score.alias("score"))
-    walk = near.groupBy(*start.columns).agg(F.array_sort(F.collect_list(item)).alias("items"))
-    none = "cast(null AS struct<gap:double,incomplete:int,strike_gap:double,strike:double,delta:double>)"
-
-    def state(**changes: str) -> str:
-        """The walk's state with some fields changed. way: direction when the hop began; looked: a quote of this hop was seen."""
-        fields = ("best", "way", "direction", "idle", "counted", "hop", "improved", "looked", "done")
-        return "named_struct(" + ", ".join(f"'{f}', {changes.get(f, f'a.{f}')}" for f in fields) + ")"
-
-    idle = "CASE WHEN a.hop = 0 OR NOT a.looked THEN a.idle WHEN a.improved THEN 0 ELSE a.idle + 1 END"
-    begun = state(way="a.direction", idle=idle, hop="x.h", improved="false", looked="false", done=f"({idle}) >= {patience} OR a.counted >= {max_hops + 1}")
-    better = "a.best IS NULL OR struct(x.score.gap, x.score.incomplete, x.score.strike_gap) < struct(a.best.gap, a.best.incomplete, a.best.strike_gap)"
-    seen = f"""CASE WHEN a.done OR (a.way <> 0 AND x.side <> a.way AND x.h > 0) THEN a
-        WHEN x.score.gap IS NULL THEN {state(looked="true")}
-        WHEN {better} THEN {state(best="x.score", direction="IF(x.h = 0, a.direction, x.side)", counted="a.counted + 1", improved="true", looked="true")}
-        ELSE {state(counted="a.counted + 1", looked="true")} END"""
-    zero = state(best=none, way="bound", direction="bound", idle="0", counted="0", hop="0", improved="false", looked="false", done="false")
-    # each quote is met twice: first it may begin a hop, then it is looked at
-    fold = f"""aggregate(flatten(transform(items, i -> array(named_struct('opens', true, 'h', i.h, 'side', i.side, 'score', i.score), named_struct('opens', false, 'h', i.h, 'side', i.side, 'score', i.score)))),
-        {zero}, (a, x) -> CASE WHEN a.done THEN a WHEN x.opens AND x.h <> a.hop THEN {begun} WHEN x.opens THEN a ELSE {seen} END).best"""
-    return walk.select(*targets.columns, F.expr(fold).alias("best"))
+    q = scored(quotes).withColumnRenamed("expiry", "selected_expiry")
+    chains = q.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("strike", "delta", "incomplete", "strike_gap"))).alias("chain"))
+    rest = [c for c in targets.columns if c not in key]
+    asked = targets.groupBy(*key).agg(F.collect_list(F.struct(*rest)).alias("asked"))
+    walked = asked.join(chains, key).select(*key, F.expr(f"inline(transform(asked, t -> named_struct('t', t, 'best', {_walk(max_hops, patience)})))"))
+    return walked.select(*[F.col(c) if c in key else F.col(f"t.{c}") for c in targets.columns], "best")
 
 
 def target_status(targets: DataFrame, quotes: DataFrame, keep: list[str]) -> DataFrame:

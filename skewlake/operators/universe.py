@@ -50,20 +50,44 @@ def contract_universe(strikes: DataFrame, expiries: DataFrame, by: list[str]) ->
     return strikes.join(expiries, by).withColumn("option_type", F.explode(sides()))
 
 
-def nearest(groups: DataFrame, chain: DataFrame, by: list[str], value: str, gap: Column, out: str) -> DataFrame:
-    """For each row of groups the chain value of the smallest gap; of equal gaps the smaller value. Groups without a value are left out."""
-    best = groups.join(chain, by).groupBy(*groups.columns).agg(F.min(F.struct(gap.alias("gap"), F.col(value).alias(out))).alias("best"))
-    return best.select(*groups.columns, F.col(f"best.{out}").alias(out))
+def nearest(groups: DataFrame, chain: DataFrame, by: list[str], value: Column, point: Column, width: float, out: str) -> DataFrame:
+    """For each row of groups the chain's element whose value is nearest to the point; of two as near the smaller. Groups without one are left out.
+
+    value, point: numbers, of a chain row and of a row of groups; out: the chain column that is given. A sorted merge: both sides
+    go in one table, and each point takes the last element before it and the first after it. The work is linear in the rows of both,
+    however many points ask one chain. Chains are cut in ranges of `width`, each a task's group of its own; what lies before and
+    after a range comes from the ranges' ends, which are few.
+    """
+    rows = groups.distinct()
+    at, near = "nearest_at", ["nearest_v", "nearest_x"]
+    element = F.struct(value.cast("double").alias("v"), F.col(out).alias("x"))
+    sides = chain.select(*by, element.alias("e")).filter("e.v IS NOT NULL").select(*by, F.floor(F.col("e.v") / width).alias("range"), F.col("e.v").alias(at), "e")
+    asked = rows.select(*by, F.struct(*rows.columns).alias("row"), point.cast("double").alias(at)).filter(F.col(at).isNotNull())
+    asked = asked.withColumn("range", F.floor(F.col(at) / width))
+    # the last element of earlier ranges and the first of later ones, for every range that holds elements or points
+    ends = sides.groupBy(*by, "range").agg(F.min("e").alias("low"), F.max("e").alias("high")).unionByName(asked.select(*by, "range").distinct(), allowMissingColumns=True)
+    ends = ends.groupBy(*by, "range").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    order = Window.partitionBy(*by).orderBy("range")
+    ends = ends.select(*by, "range", F.last("high", True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("earlier"), F.first("low", True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("later"))
+    both = asked.unionByName(sides, allowMissingColumns=True)
+    up = Window.partitionBy(*by, "range").orderBy(at, F.col("e").isNull(), "e.x").rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy(*by, "range").orderBy(F.col(at).desc(), F.col("e").isNull(), F.col("e.x").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("before", F.last("e", True).over(up)).withColumn("after", F.last("e", True).over(down)).filter("row IS NOT NULL")
+    found = found.join(ends, [*by, "range"]).select("row", at, F.coalesce("before", "earlier").alias("b"), F.coalesce("after", "later").alias("a"))
+    lower = F.col("a").isNull() | (F.col(at) - F.col("b.v") <= F.col("a.v") - F.col(at))
+    best = F.when(F.col("b").isNotNull() & lower, F.col("b")).otherwise(F.col("a"))
+    return found.withColumn("best", best).filter("best IS NOT NULL").select("row.*", F.col("best.x").alias(out))
 
 
 def nearest_expiry(tenors: DataFrame, expiries: DataFrame, asof: Column) -> DataFrame:
     """The expiry after the as-of date nearest to each tenor; of equal ones the earlier."""
     later = expiries.filter(F.col("expiry") > asof)
-    return nearest(tenors, later, ["symbol"], "expiry", F.abs(F.datediff(F.col("expiry"), asof) - F.col("target_tenor_dte")), "selected_expiry")
+    return nearest(tenors, later.select("symbol", F.col("expiry").alias("selected_expiry")).distinct(), ["symbol"], F.datediff("selected_expiry", asof), F.col("target_tenor_dte"), 3650, "selected_expiry")
 
 
 def nearest_strike(guesses: DataFrame, strikes: DataFrame, by: list[str], guess: str = "guess") -> DataFrame:
-    return nearest(guesses, strikes, by, "strike", F.abs(F.col("strike") - F.col(guess)), "selected_strike")
+    """The strike nearest to each guess; of equal ones the lower."""
+    return nearest(guesses, strikes.withColumnRenamed("strike", "selected_strike"), by, F.col("selected_strike"), F.col(guess), 10_000, "selected_strike")
 
 
 def ranked_strikes(strikes: DataFrame, by: list[str]) -> DataFrame:

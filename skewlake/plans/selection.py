@@ -47,8 +47,15 @@ def missing_targets(spark, d):
     return plan.filter("selected_expiry IS NULL").select("symbol", "snapshot_time", "target_tenor_dte", "target_delta_abs", "option_type", F.lit("MISSING_NO_CANDIDATE").alias("status"))
 
 
-def _plan(spark, d, q: DataFrame) -> DataFrame:
-    return P.plan_targets(q, grid(spark, d, q), asof())
+def _facts(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The stored quotes, their snapshots with spots, and their chains: each read from the one before once, as later steps ask for them often."""
+    q = stored_quotes(spark, d)
+    snaps = T.write_and_read(q.select("symbol", "snapshot_time", F.col("underlying_price").alias("spot")).distinct(), [])
+    return q, snaps, T.write_and_read(q.select("symbol", "expiry", "strike").distinct(), [])
+
+
+def _plan(spark, d, snaps: DataFrame, chain: DataFrame) -> DataFrame:
+    return P.plan_targets(snaps, grid(spark, d, snaps), asof(), chain.select("symbol", "expiry").distinct())
 
 
 RANKED = "rk AS (SELECT symbol, strike, row_number() OVER (PARTITION BY symbol ORDER BY strike) AS place FROM (SELECT DISTINCT symbol, strike FROM fx_quotes)), sp AS (SELECT DISTINCT symbol, underlying_price AS spot FROM fx_quotes)"
@@ -98,13 +105,13 @@ KEEP = ["delta", "bid", "ask", "last", "volume", "open_interest", "underlying_pr
 
 
 def _best(spark, d) -> DataFrame:
-    q = stored_quotes(spark, d)
-    return P.best_delta(_plan(spark, d, q).filter("selected_expiry IS NOT NULL"), clean_of(q), KEEP)
+    q, snaps, chain = _facts(spark, d)
+    return P.best_delta(_plan(spark, d, snaps, chain).filter("selected_expiry IS NOT NULL"), clean_of(q), KEEP)
 
 
 def _status(spark, d) -> DataFrame:
-    q = stored_quotes(spark, d)
-    return P.target_status(_plan(spark, d, q), clean_of(q), ["delta"])
+    q, snaps, chain = _facts(spark, d)
+    return P.target_status(_plan(spark, d, snaps, chain), clean_of(q), ["delta"])
 
 
 @query(f"WITH {CQ}, {GRID} SELECT symbol, snapshot_time, option_type, target_tenor_dte, target_delta_abs, selected_expiry, strike AS selected_strike, delta AS selected_delta, gap AS delta_gap_abs, incomplete FROM best")
@@ -113,13 +120,12 @@ def best_delta(spark, d):
     return best.select(*BY, "selected_expiry", F.col("best.strike").alias("selected_strike"), F.col("best.delta").alias("selected_delta"), F.col("best.gap").alias("delta_gap_abs"), F.col("best.incomplete").alias("incomplete"))
 
 
-def _guessed(spark, d, q: DataFrame | None = None) -> DataFrame:
+def _guessed(spark, d, snaps: DataFrame, chain: DataFrame) -> DataFrame:
     """Targets with the strike of the chain that is nearest to the guess, whether or not it is quoted in the snapshot."""
-    q = quotes(spark, d) if q is None else q
-    plan = _plan(spark, d, q).filter("selected_expiry IS NOT NULL").join(q.select("symbol", F.col("underlying_price").alias("spot")).distinct(), "symbol")
+    plan = _plan(spark, d, snaps, chain).filter("selected_expiry IS NOT NULL").join(snaps.select("symbol", "spot").distinct(), "symbol")
     guessed = U.delta_guesses(plan, S.dte(F.col("selected_expiry"), asof())).drop("spot")
-    chain = q.select("symbol", F.col("expiry").alias("selected_expiry"), "strike").distinct()
-    start = U.nearest_strike(guessed.select("symbol", "selected_expiry", "guess").distinct(), chain, ["symbol", "selected_expiry"])
+    strikes = chain.withColumnRenamed("expiry", "selected_expiry")
+    start = U.nearest_strike(guessed.select("symbol", "selected_expiry", "guess").distinct(), strikes, ["symbol", "selected_expiry"])
     return guessed.join(start.withColumnRenamed("selected_strike", "starting_strike"), ["symbol", "selected_expiry", "guess"])
 
 
@@ -147,8 +153,8 @@ wk AS (SELECT s.symbol, s.snapshot_time, s.target_tenor_dte, s.dl, s.o, s.target
 SELECT symbol, snapshot_time, o AS option_type, target_tenor_dte, dl AS target_delta_abs, expiry AS selected_expiry, b[4] AS selected_strike, b[5] AS selected_delta, b[1] AS delta_gap_abs
 FROM (SELECT symbol, snapshot_time, o, target_tenor_dte, dl, expiry, last(best ORDER BY hop) AS b FROM wk GROUP BY ALL)""")
 def best_delta_bounded(spark, d):
-    q = stored_quotes(spark, d)
-    best = P.best_delta_bounded(_guessed(spark, d, q), clean_of(q), config.MAX_HOPS, config.PATIENCE)
+    q, snaps, chain = _facts(spark, d)
+    best = P.best_delta_bounded(_guessed(spark, d, snaps, chain), clean_of(q), config.MAX_HOPS, config.PATIENCE)
     return best.select(*BY, "selected_expiry", F.col("best.strike").alias("selected_strike"), F.col("best.delta").alias("selected_delta"), F.col("best.gap").alias("delta_gap_abs"))
 
 
@@ -156,7 +162,8 @@ def best_delta_bounded(spark, d):
 g AS (SELECT t.*, spot * CASE WHEN o = 'C' THEN 1 + {OFFSET} ELSE 1 - {OFFSET} END AS guess FROM t JOIN sp ON sp.symbol = t.symbol)
 SELECT g.symbol, g.expiry AS selected_expiry, dl AS target_delta_abs, o AS option_type, arg_min(strike, abs(strike - guess) * 1000000 + strike) AS selected_strike FROM g JOIN (SELECT DISTINCT symbol, expiry, strike FROM fx_quotes) c ON c.symbol = g.symbol AND c.expiry = g.expiry GROUP BY ALL""")
 def starting_strike(spark, d):
-    return _guessed(spark, d).select("symbol", "selected_expiry", "target_delta_abs", "option_type", F.col("starting_strike").alias("selected_strike")).distinct()
+    _, snaps, chain = _facts(spark, d)
+    return _guessed(spark, d, snaps, chain).select("symbol", "selected_expiry", "target_delta_abs", "option_type", F.col("starting_strike").alias("selected_strike")).distinct()
 
 
 @query("""SELECT symbol, snapshot_time, expiry, strike, option_type, CAST(row_number() OVER (PARTITION BY symbol, snapshot_time ORDER BY expiry - DATE '2024-01-02', abs(strike - underlying_price), strike, option_type) AS INTEGER) AS queue_place FROM fx_quotes""")
