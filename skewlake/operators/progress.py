@@ -11,9 +11,11 @@ from ..functions import scalars as S
 COUNTED = ["IN_PROGRESS", "RETRY", "FAILED"]
 
 
-def checkpoint_state(log: DataFrame, key: list[str], order: str, ts: str, budget: int = config.RETRY_BUDGET, count_in_progress: bool = True) -> DataFrame:
+def checkpoint_state(log: DataFrame, key: list[str], order: str, ts: str, budget: int = config.RETRY_BUDGET, count_in_progress: bool = True, told: tuple[str, ...] = ()) -> DataFrame:
     """State of each contract after its whole log: last status, attempts, backoff and time of completion.
 
+    told: columns of the log, such as error, reason and evidence, that each attempt overwrites; the last one's are given.
+
     Attempts is a plain count, so no fold is needed: counts and the last row come from one aggregate, with partial results
     before the shuffle. RETRY with its budget used up is FAILED; a RETRY within the budget waits for its backoff.
     """
@@ -21,13 +23,13 @@ def checkpoint_state(log: DataFrame, key: list[str], order: str, ts: str, budget
     finished = F.col("status").startswith("VERIFIED_") | (F.col("status") == "COMPLETE")
     out = log.groupBy(*key).agg(
         F.count_if(F.col("status").isin(counted)).cast("int").alias("attempts"),
-        F.max_by(F.struct("status", F.col(ts).alias("at")), F.col(order)).alias("last"),
+        F.max_by(F.struct("status", F.col(ts).alias("at"), *told), F.col(order)).alias("last"),
         F.max_by(F.when(finished, F.col(ts)), F.when(finished, F.col(order))).alias("completed_at"),
     )
     exhausted = (F.col("last.status") == "RETRY") & (F.col("attempts") >= budget)
     status = F.when(exhausted, "FAILED").otherwise(F.col("last.status"))
     waits = (F.col("last.status") == "RETRY") & ~exhausted
-    return out.select(*key, status.alias("status"), "attempts", F.when(waits, S.backoff_until(F.col("last.at"), F.col("attempts"))).alias("backoff_until"), "completed_at", F.col("last.at").alias("last_attempt_at"))
+    return out.select(*key, status.alias("status"), "attempts", F.when(waits, S.backoff_until(F.col("last.at"), F.col("attempts"))).alias("backoff_until"), "completed_at", F.col("last.at").alias("last_attempt_at"), *[F.col(f"last.{c}").alias(c) for c in told])
 
 
 def batch_progress(states: DataFrame) -> DataFrame:

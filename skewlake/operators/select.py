@@ -42,7 +42,7 @@ def _walk(max_hops: int, patience: int) -> str:
     # a start that isn't quoted moves to the better of its neighbours by score, of equal ones the lower, and the walk goes on that way only
     above, under = "get(chain, p)", "get(chain, p - 1)"
     exact = f"coalesce({above}.strike = t.starting_strike, false)"
-    up = f"({exact} OR p = 0 OR coalesce({rank(above)} < {rank(under)}, false))"
+    up = f"({exact} OR p = 0 OR ({above} IS NOT NULL AND {rank(above)} < {rank(under)}))"
     start = f"named_struct('at', CASE WHEN {up} THEN p ELSE p - 1 END, 'way', CASE WHEN {exact} THEN 0 WHEN {up} THEN 1 ELSE -1 END)"
     first = f"named_struct('best', {score('get(chain, s.at)')}, 'way', s.way, 'idle', 0, 'counted', CASE WHEN get(chain, s.at).delta IS NULL THEN 0 ELSE 1 END)"
     looked = f"named_struct('seen', (a.way <= 0 AND s.at - h >= 0) OR (a.way >= 0 AND s.at + h < size(chain)), 'l', CASE WHEN a.way <= 0 AND s.at - h >= 0 THEN {score('get(chain, s.at - h)')} END, 'h', CASE WHEN a.way >= 0 THEN {score('get(chain, s.at + h)')} END)"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..fixtures import over
 from ..sources import tables as T
+from ..sources.store import day
 from ..streaming import ticks as K
 from .base import query, ticks
 
@@ -41,15 +42,25 @@ def stream_ticks(spark, d):
     return _collect(spark, stream, "append").groupBy("symbol").agg(F.count(F.lit(1)).alias("n_ticks"), F.count("bid").alias("n_bids"), F.sum("volume").alias("volume"))
 
 
+def _into(stream: DataFrame, store, take) -> None:
+    """Run a stream to its end, each batch given to a callback that changes a store."""
+    stream.writeStream.foreachBatch(take).option("checkpointLocation", f"{store.root}/_stream-{uuid.uuid4().hex}").trigger(availableNow=True).start().awaitTermination()
+
+
 @query("SELECT DISTINCT symbol, ts FROM fx_ticks")
 def stream_dedup(spark, d):
-    """A stored log replayed: the delay is the span of its times, so that no row is late, whatever the order of the files."""
-    source = _source(spark, d, "fx_ticks")
-    span = ticks(spark, d).agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
-    seconds = int((span["high"] - span["low"]).total_seconds()) + 1 if span["low"] else 0
-    return _collect(spark, K.stream_dedup(source, ["symbol", "ts"], "ts", f"{seconds} seconds"), "append").select("symbol", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    """A stored log replayed into a table that holds each key once, whatever the order of the files."""
+    store = T.fresh_store(spark)
+    _into(K.clean_ticks(_source(spark, d, "fx_ticks")).select("symbol", "ts", "event_id"), store, K.dedup_into(store, "ticks", ["symbol", "ts"], day("ts"), ["event_id"]))
+    return store.read("ticks").select("symbol", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
 @query("""SELECT symbol, time_bucket(INTERVAL '15 minutes', ts) AS bar_ts, arg_min(last, (epoch_us(ts), event_id)) AS open, max(last) AS high, min(last) AS low, arg_max(last, (epoch_us(ts), event_id)) AS close, CAST(sum(volume) AS BIGINT) AS volume FROM fx_ticks GROUP BY ALL""")
 def resample_bars(spark, d):
     return K.resample(ticks(spark, d), "15 minutes")
+
+
+@query("""SELECT symbol, z.bar_size, CAST(time_bucket(z.width, ts) AS TIMESTAMP) AS bar_ts, arg_min(last, (epoch_us(ts), event_id)) AS open, max(last) AS high, min(last) AS low, arg_max(last, (epoch_us(ts), event_id)) AS close, CAST(sum(volume) AS BIGINT) AS volume
+FROM fx_ticks, (VALUES ('1 min', INTERVAL '1 minute'), ('5 mins', INTERVAL '5 minutes'), ('15 mins', INTERVAL '15 minutes'), ('1 hour', INTERVAL '1 hour'), ('1 day', INTERVAL '1 day')) AS z(bar_size, width) GROUP BY ALL""")
+def resample_all_sizes(spark, d):
+    return K.cascade(ticks(spark, d))

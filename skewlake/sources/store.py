@@ -117,8 +117,12 @@ class Store:
         hit = self.touched(self.read(table, parts).filter(goes), part)
         return self.stage(table, self.read(table, hit).filter(~goes), part, replace=True, emptied=hit)
 
-    def publish(self, changes: list[Change], base: int | None = None) -> int:
-        """Make changes the next commit, all at once, and give its number.
+    def done(self, stream: str) -> int:
+        """Number of the last batch of a stream that has been published; -1 before the first."""
+        return self.manifest().get("streams", {}).get(stream, -1)
+
+    def publish(self, changes: list[Change], base: int | None = None, batch: tuple[str, int] | None = None) -> int:
+        """Make changes the next commit, all at once, and give its number. batch: the stream and the number of its batch that this holds.
 
         base: the commit that the changes were made from; the last one by default. Where others have committed since, the changes are put
         on top of theirs, unless one of them changed a part that is replaced here: then a Conflict is raised and nothing is done.
@@ -127,7 +131,8 @@ class Store:
         then = self.manifest(base)["tables"]
         while True:
             last = self.version()
-            now = self.manifest(last)["tables"]
+            manifest = self.manifest(last)
+            now = manifest["tables"]
             for c in changes:
                 before, after = (t.get(c.table, {"parts": {}})["parts"] for t in (then, now))
                 if c.replace and any(before.get(p) != after.get(p) for p in c.parts):
@@ -137,7 +142,8 @@ class Store:
                 for part, names in c.parts.items():
                     table["parts"][part] = [*([] if c.replace else table["parts"].get(part, [])), *names]
                 table["parts"] = {p: names for p, names in table["parts"].items() if names}
-            if self._put(last + 1, {"tables": now}):
+            streams = manifest.get("streams", {}) | (dict([batch]) if batch else {})
+            if self._put(last + 1, {"tables": now, "streams": streams}):
                 return last + 1
 
     def _put(self, version: int, manifest: dict) -> bool:

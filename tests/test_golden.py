@@ -161,7 +161,7 @@ def test_wide_walk_is_best_delta(spark, data):
     from skewlake.plans import base, selection
 
     q = base.cleaned(spark, data).filter("delta IS NOT NULL")
-    targets = selection._guessed(spark, data)
+    targets = selection._guessed(spark, data, *selection._facts(spark, data)[1:])
     wide = select.best_delta_bounded(targets, q, 200, 200).select("symbol", "snapshot_time", "option_type", "target_tenor_dte", "target_delta_abs", F.col("best.gap").alias("walked"))
     best = select.best_delta(targets.drop("guess", "starting_strike"), q, ["delta"]).select("symbol", "snapshot_time", "option_type", "target_tenor_dte", "target_delta_abs", F.col("best.gap").alias("least"))
     both = wide.join(best, ["symbol", "snapshot_time", "option_type", "target_tenor_dte", "target_delta_abs"]).toPandas()
@@ -176,3 +176,20 @@ def test_lookups_have_defaults(spark):
 def test_cdf_is_the_normal_distribution():
     x = pd.Series([-40, -8.5, -3, -0.1, 0, 1, 7.5])
     assert pricing._cdf(x.to_numpy()) == pytest.approx([0.5 * math.erfc(-v / math.sqrt(2)) for v in x], abs=1e-13)
+
+
+def test_nearest_over_ranges(spark):
+    """A sorted merge over many ranges gives what comparing all pairs gives, with ties, repeats and groups without a chain."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    r = random.Random(4)
+    chain = [("A", float(r.randrange(0, 400) * 2)) for _ in range(150)] + [("B", 7.0)]
+    asked = [("A", float(x)) for x in range(-20, 830, 3)] + [("B", 1e6), ("C", 1.0), ("A", 11.0), ("A", None)]
+    got = universe.nearest(spark.createDataFrame(asked, "symbol string, p double"), spark.createDataFrame(chain, "symbol string, v double"), ["symbol"], F.col("v"), F.col("p"), 16.0, "v")
+    want = {(s, p, min((abs(v - p), v) for t, v in chain if t == s)[1]) for s, p in asked if p is not None and s != "C"}
+    rows = [tuple(x) for x in got.collect()]
+    assert set(rows) == want and len(rows) == len(want)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") >= 3 and "Join Cross" not in plan

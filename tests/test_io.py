@@ -1,6 +1,7 @@
 """Sinks, sources and streams."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,21 +52,43 @@ def test_callback_gets_every_tick(spark, data, tmp_path):
 
 
 def test_streamed_state_equals_batch(spark, data, tmp_path):
-    from skewlake.operators.progress import checkpoint_state
+    """Three batches with clock timers: the last state of each contract is that of the table, and who waits is released once."""
+    from skewlake.operators.progress import checkpoint_state, queue_eligible
 
-    log = base.attempts(spark, data)
+    told = ("error", "reason", "evidence")
+    few = spark.range(30).selectExpr("'Z' AS batch_id", "9000 + id % 20 AS contract_id", "1000000 + id AS attempt_seq", "TIMESTAMP_NTZ '2024-02-01 10:00:00' AS ts", "IF(id < 20, 'RETRY', 'COMPLETE') AS status", "'TRADES' AS what_to_show")
+    log = base.attempts(spark, data).unionByName(few).withColumns({c: F.when(F.col("attempt_seq") % (3 + i) > 0, F.concat(F.lit(f"{c} "), "attempt_seq")) for i, c in enumerate(told)})
     folder = str(tmp_path / "log")
     log.orderBy("attempt_seq").repartition(3).write.parquet(folder)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    stream = ticks.read_events(spark, folder, "batch_id string, contract_id long, attempt_seq long, ts timestamp_ntz, status string, what_to_show string", 1)
-    got, shown = {}, ("status", "attempts", "backoff_until", "completed_at", "last_attempt_at")
+    stream = ticks.read_events(spark, folder, "batch_id string, contract_id long, attempt_seq long, ts timestamp_ntz, status string, what_to_show string, error string, reason string, evidence string", 1)
+    got, released, seen, shown = {}, {}, set(), ("status", "attempts", "backoff_until", "completed_at", "last_attempt_at", *told)
 
     def take(batch, n):
-        got.update({r["contract_id"]: tuple(r[c] for c in shown) for r in batch.collect()})
-
-    ticks.stream_checkpoints(stream).writeStream.outputMode("update").foreachBatch(take).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
-    want = checkpoint_state(log, ["contract_id"], "attempt_seq", "ts")
-    assert got == {r["contract_id"]: tuple(r[c] for c in shown) for r in want.collect()}
+        seen.add(n)
+        for r in batch.collect():
+            if r["released"]:
+                released.setdefault(r["contract_id"], []).append((n, r["backoff_until"], r["status"]))
+            else:
+                got[r["contract_id"]] = (n, tuple(r[c] for c in shown))
+
+    # with clock timers a stream has always more to do, so it runs until all rows were read and one batch more
+    running = ticks.stream_checkpoints(stream).writeStream.outputMode("update").foreachBatch(take).option("checkpointLocation", str(tmp_path / "c")).trigger(processingTime="200 milliseconds").start()
+    total, deadline = log.count(), time.time() + 120
+    while sum(p["numInputRows"] for p in running.recentProgress) < total and time.time() < deadline:
+        time.sleep(0.2)
+    last = len(running.recentProgress)
+    while len(running.recentProgress) < last + 1 and time.time() < deadline:
+        time.sleep(0.2)
+    running.stop()
+    states = checkpoint_state(log, ["contract_id"], "attempt_seq", "ts", told=told)
+    assert {k: v for k, (_, v) in got.items()} == {r["contract_id"]: tuple(r[c] for c in shown) for r in states.collect()}
+    assert {0, 1, 2} <= seen
+    # backoffs of the log have long ended by the clock: who waits at the end was released after its last change
+    waiting = {r["contract_id"] for r in queue_eligible(states, F.current_timestamp()).filter("status = 'RETRY'").collect()}
+    assert waiting and all(released[k][-1][0] >= got[k][0] for k in waiting)
+    assert all(until is None and status == "RETRY" for rows in released.values() for _, until, status in rows)
+    assert all(len({n for n, *_ in rows}) == len(rows) for rows in released.values())
 
 
 def test_streamed_bars_equal_table_bars(spark, data, tmp_path):
@@ -90,3 +113,44 @@ def test_stream_dedup_over_batches(spark, data, tmp_path):
     events.coalesce(1).write.mode("append").parquet(path)
     got = registry.queries()["stream_dedup"](spark, str(tmp_path))
     assert got.count() == ticks(spark, str(tmp_path)).select("symbol", "ts").distinct().count()
+
+
+def test_late_repeats_are_neither_doubled_nor_lost(spark, tmp_path):
+    from skewlake.sources.store import Store, day
+
+    store = Store(spark, str(tmp_path / "s"))
+    take = ticks.dedup_into(store, "t", ["k", "ts"], day("ts"), ["v"])
+    at = lambda d: dt.datetime(2024, 1, d, 10)
+    batch = lambda rows: spark.createDataFrame(rows, "k string, ts timestamp, v int")
+    take(batch([("a", at(20), 2), ("a", at(20), 1), ("b", at(20), 3)]), 0)
+    take(batch([("a", at(1), 4), ("a", at(20), 5)]), 1)  # a late row, and a repeat
+    take(batch([("a", at(1), 4), ("a", at(20), 5)]), 1)  # the batch comes again
+    take(batch([("a", at(1), 6), ("c", at(2), 7)]), 2)  # a late repeat
+    assert sorted(map(tuple, store.read("t").collect())) == [("a", at(1), 4), ("a", at(20), 1), ("b", at(20), 3), ("c", at(2), 7)]
+    parts = store.manifest()["tables"]["t"]["parts"]
+    assert {p: len(n) for p, n in parts.items()} == {"2024-01-20": 1, "2024-01-01": 1, "2024-01-02": 1}
+
+
+def test_streamed_cascade_equals_table(spark, data, tmp_path):
+    """All sizes from a stream in several batches, with late ticks, equal those of the table; a batch that comes again counts once."""
+    from skewlake.plans.streams import _into
+    from skewlake.sources.store import Store
+
+    every = base.ticks(spark, data)
+    path = str(tmp_path / "ticks")
+    every.repartition(3, "event_id").write.parquet(path)
+    store = Store(spark, str(tmp_path / "s"))
+    take, seen = ticks.cascade_into(store), []
+
+    def twice(batch, n):
+        seen.append(n)
+        take(batch, n)
+        take(batch, n)
+
+    _into(ticks.read_events(spark, path, every._jdf.schema().toDDL(), 1), store, twice)
+    assert len(seen) == 3
+    want = ticks.cascade(every)
+    for size, _ in ticks.SIZES:
+        columns = ["symbol", "bar_ts", "open", "high", "low", "close", "volume"]
+        got = sorted(map(tuple, ticks.bars_of(store, size).select(*columns).collect()))
+        assert got == sorted(map(tuple, want.filter(F.col("bar_size") == size).select(*columns).collect())) and got
