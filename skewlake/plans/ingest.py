@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -75,6 +77,14 @@ def upsert_progress(spark, d):
     return I.upsert(log.filter("attempt_seq % 2 = 0"), log.filter("attempt_seq % 2 = 1"), schemas.PROGRESS_KEY, "attempt_seq")
 
 
+@query("SELECT batch_id, contract_id, attempt_seq, ts, status FROM fx_attempts")
+def jdbc_io(spark, d):
+    """The log written to a relational store and read back in parts. Without DB_URL the store is an embedded one in this process, for local sessions."""
+    url = os.environ.get("DB_URL", f"jdbc:derby:memory:market-{uuid.uuid4().hex};create=true")
+    T.write_jdbc(attempts(spark, d).select("batch_id", "contract_id", "attempt_seq", "ts", "status"), "attempts", 4, url, "overwrite")
+    return T.read_jdbc_split(spark, "attempts", "attempt_seq", 8, url).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 @query("""WITH w AS (SELECT DISTINCT symbol, strike, expiry, option_type, what_to_show, CAST(bar_ts AS DATE) AS trade_date FROM fx_option_bars WHERE is_incoming = 1),
 h AS (SELECT DISTINCT symbol, strike, expiry, option_type, what_to_show, CAST(bar_ts AS DATE) AS trade_date FROM fx_option_bars WHERE is_incoming = 0)
 SELECT w.* FROM w SEMI JOIN h USING (symbol, strike, expiry, option_type, what_to_show, trade_date)""")

@@ -93,9 +93,10 @@ def delete_rows(table: DataFrame, gone: Column) -> DataFrame:
     return table.filter(~F.coalesce(gone, F.lit(False)))
 
 
-def jdbc_options(table: str, partition_column: str | None = None, lower: str | None = None, upper: str | None = None, partitions: int = 16) -> dict[str, str]:
-    """Options for a relational store. Address and credentials come from the environment (DB_URL, DB_USER, DB_PASSWORD)."""
-    options = {"url": os.environ.get("DB_URL", "jdbc:postgresql://localhost:5432/market"), "dbtable": table, "user": os.environ.get("DB_USER", ""), "password": os.environ.get("DB_PASSWORD", "")}
+def jdbc_options(table: str, partition_column: str | None = None, lower: str | None = None, upper: str | None = None, partitions: int = 16, url: str | None = None) -> dict[str, str]:
+    """Options for a relational store. Address and credentials come from the environment (DB_URL, DB_USER, DB_PASSWORD) where not given."""
+    options = {"url": url or os.environ.get("DB_URL", "jdbc:postgresql://localhost:5432/market"), "dbtable": table}
+    options |= {k: os.environ[v] for k, v in (("user", "DB_USER"), ("password", "DB_PASSWORD")) if os.environ.get(v)}
     if partition_column:
         options |= {"partitionColumn": partition_column, "lowerBound": str(lower), "upperBound": str(upper), "numPartitions": str(partitions)}
     return options
@@ -105,5 +106,16 @@ def read_jdbc(spark: SparkSession, table: str, **partitioning) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(table, **partitioning)).load()
 
 
-def write_jdbc(rows: DataFrame, table: str, partitions: int = 16) -> None:
-    rows.coalesce(partitions).write.format("jdbc").options(**jdbc_options(table)).mode("append").save()
+def read_jdbc_split(spark: SparkSession, table: str, column: str, partitions: int = 16, url: str | None = None) -> DataFrame:
+    """A table read in parts of equal spans of a numeric column, whose bounds the store is asked for once. Rows without a value come too."""
+    name = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(jdbc_options(table, url=url)["url"]).quoteIdentifier(column)
+    ends = read_jdbc(spark, f"(SELECT MIN({name}) AS low, MAX({name}) AS high FROM {table}) ends", url=url).first()
+    low, high = ends[0], ends[1]
+    if low is None:
+        return read_jdbc(spark, table, url=url)
+    return read_jdbc(spark, table, partition_column=column, lower=low, upper=high + 1, partitions=max(1, min(partitions, int(high - low) + 1)), url=url)
+
+
+def write_jdbc(rows: DataFrame, table: str, partitions: int = 16, url: str | None = None, mode: str = "append") -> None:
+    """Each of at most `partitions` tasks writes its rows over one connection."""
+    rows.coalesce(partitions).write.format("jdbc").options(**jdbc_options(table, url=url)).mode(mode).save()
