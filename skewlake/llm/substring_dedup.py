@@ -16,11 +16,27 @@ OUT = "doc_id long, n_words long, n_removed long, kept string, factors array<str
 FACTOR = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("block", pa.int64()), ("boundary", pa.bool_())]))
 
 
+def _cuts(docs: DataFrame, n: int, q: list[int]) -> list[int]:
+    """Edges of about n ranges of doc_id with equally many rows: QUANTILES of them, each cut again by its own quantiles where n is larger."""
+    edges = sorted(set(q[:: max(1, QUANTILES // n)]) | {q[-1]})
+    per = min(QUANTILES, -(-n // max(1, len(edges) - 1)))
+    if n <= QUANTILES or per < 2 or len(edges) < 3:
+        return edges
+    inner = np.array(edges[1:-1], np.int64)
+
+    @F.pandas_udf("int")
+    def coarse(ids):
+        return ids.__class__(np.searchsorted(inner, ids.to_numpy(), side="right").astype(np.int32))
+
+    finer = docs.filter("doc_id IS NOT NULL").groupBy(coarse("doc_id")).agg(F.percentile_approx("doc_id", F.array(*[F.lit(i / per) for i in range(1, per)]), F.lit(20_000)).alias("q"))
+    return sorted(set(edges).union(*(r["q"] for r in finer.select("q").collect())))
+
+
 def _blocks(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
     """Give each document the number of its reference block: blocks are ranges of doc_id of about block_bytes.
 
-    The driver holds at most QUANTILES + 1 edges; between two of them ids are cut evenly. Rows without an id copy nothing and
-    are copied by none, so they may lie in any block and are dealt by their texts.
+    The driver holds at most QUANTILES squared edges, by two levels of quantiles; where there are more blocks, ids are cut evenly
+    between two edges. Rows without an id copy nothing and are copied by none, so they may lie in any block and are dealt by their texts.
     """
     row = docs.agg(
         F.sum(F.octet_length("text")).alias("b"),
@@ -29,17 +45,16 @@ def _blocks(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
     n = max(1, -(-(row["b"] or 0) // block_bytes))
     if n == 1 or not row["q"]:
         return docs.withColumn("block", F.lit(0).cast("long")), 1
-    edges = sorted(set(row["q"][:: max(1, QUANTILES // n)]) | {row["q"][-1]})
+    edges = np.array(_cuts(docs, n, row["q"]), np.int64)
     if len(edges) == 1:
         return docs.withColumn("block", F.lit(0).cast("long")), 1
     per = max(1, -(-n // (len(edges) - 1)))
-    lo, hi = np.array(edges[:-1], object), np.array(edges[1:], object)
 
     @F.pandas_udf("long")
     def block(ids):
-        x = ids.fillna(edges[0]).to_numpy().astype(np.int64)
-        k = np.clip(np.searchsorted(np.array(edges, np.int64), x, side="right") - 1, 0, len(lo) - 1)
-        a, b = lo.astype(np.float64)[k], hi.astype(np.float64)[k]
+        x = ids.fillna(int(edges[0])).to_numpy().astype(np.int64)
+        k = np.clip(np.searchsorted(edges, x, side="right") - 1, 0, len(edges) - 2)
+        a, b = edges[k].astype(np.float64), edges[k + 1].astype(np.float64)
         return ids.__class__(k * per + np.clip((x - a) * per // np.maximum(b - a, 1), 0, per - 1).astype(np.int64))
 
     n = per * (len(edges) - 1)
@@ -52,24 +67,29 @@ def _sorted_block(table: pa.Table) -> tuple[np.ndarray, pa.Array]:
     return ids[order], table.column("text").combine_chunks().take(pa.array(order))
 
 
-def _windows(words: Words, ids: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """First word and hash of each window of a document that has an id."""
+def _windows(words: Words, ids: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, hash and place in the block of each window of a document that has an id.
+
+    Places count words, with a gap before each document, so windows at successive places are of one document.
+    """
     h, whole = words.ngrams(window)
-    at = np.flatnonzero(whole & (ids[words.text_of()] != NULL_ID))
-    return at, h[at]
+    doc = words.text_of()
+    at = np.flatnonzero(whole & (ids[doc] != NULL_ID))
+    return at, h[at], at + doc[at]
 
 
-def greedy_factors(first: np.ndarray, block: np.ndarray, doc: np.ndarray, window: int) -> list[tuple[int, int, int, bool]]:
+def greedy_factors(first: np.ndarray, block: np.ndarray, place: np.ndarray, doc: np.ndarray, window: int) -> list[tuple[int, int, int, bool]]:
     """Parse from left to right: begin, end (in words), block and whether the span is a boundary check.
 
-    first, block, doc: first word, reference block and document of each window that some block holds, in order. A factor
-    begins at the first such window that the factor before leaves free, and grows while the next window is in the same block.
+    first, block, place, doc: first word, reference block, place in that block and document of each window that some block
+    holds, in order. A factor begins at the first such window that the factor before leaves free, and grows while the next window
+    lies at the next place of the same block, so it is a string of a document of that block.
     Windows that begin inside a factor and run past its end straddle a boundary: no factor holds them, so their
     spans are given beside the factors.
     """
     if not len(first):
         return []
-    lead = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1] + 1) | (block[1:] != block[:-1]) | (doc[1:] != doc[:-1])]))
+    lead = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1] + 1) | (block[1:] != block[:-1]) | (place[1:] != place[:-1] + 1) | (doc[1:] != doc[:-1])]))
     run = np.diff(np.concatenate([lead, [len(first)]]))
     out, free = [], 0
     for a, n, b in zip(first[lead].tolist(), run.tolist(), block[lead].tolist(), strict=True):
@@ -85,10 +105,11 @@ def greedy_factors(first: np.ndarray, block: np.ndarray, doc: np.ndarray, window
 def dedup_substrings(docs: DataFrame, window: int = 13, block_bytes: int = 6 << 20, carry: bool = False) -> DataFrame:
     """Parse every document against the reference blocks of all documents with a smaller doc_id, and drop what is copied.
 
-    Blocks are ranges of doc_id. Each block is indexed by the hashes of its `window`-word windows; the index is
-    dealt over buckets of the hash space, so one shuffle sets each window of a document against every reference block
-    at once, and the answer names the first block that holds it. The parse (greedy_factors) goes from left to right: a
-    factor grows while the next window is in the same block; what is shorter than `window` words is no factor but literal.
+    Blocks are ranges of doc_id. Each block is indexed by the hashes of its `window`-word windows with the place where each
+    is first found; the index is dealt over buckets of the hash space, so one shuffle sets each window of a document against every
+    reference block at once, and the answer names the first block that holds it and its place there. The parse (greedy_factors) goes
+    from left to right: a factor grows word by word while the next window lies at the next place of the same block, so it is
+    a string of a document there; what is shorter than `window` words is no factor but literal.
     Factors are the duplicate spans, and so are the windows that straddle the boundary of a factor and are in some block.
     The words that these spans cover are removed.
 
@@ -113,14 +134,16 @@ def dedup_substrings(docs: DataFrame, window: int = 13, block_bytes: int = 6 <<
 
     def index(key: tuple, table: pa.Table) -> pa.Table:
         ids, texts = _sorted_block(table)
-        _, h = _windows(Words(texts), ids, window)
-        h = np.unique(h)
+        _, h, place = _windows(Words(texts), ids, window)
+        h, first = np.unique(h, return_index=True)
+        place = place[first]
         edge = bucket_edges(h, buckets)
         full = np.flatnonzero(np.diff(edge))
-        return pa.table({"bucket": pa.array(full, pa.int64()), "block": pa.array([key[0].as_py()] * len(full), pa.int64()), "body": pa.array([pack_sorted(h[edge[k] : edge[k + 1]]) for k in full], pa.binary())})
+        body, places = ([pack(x[edge[k] : edge[k + 1]]) for k in full] for pack, x in ((pack_sorted, h), (pack_u32, place)))
+        return pa.table({"bucket": pa.array(full, pa.int64()), "block": pa.array([key[0].as_py()] * len(full), pa.int64()), "body": pa.array(body, pa.binary()), "places": pa.array(places, pa.binary())})
 
     def match(table: pa.Table) -> pa.Table:
-        """For each block's windows in a bucket, the first block that has them, where that is another."""
+        """For each block's windows in a bucket, the first block that has them and the place there, where that is another."""
         table = table.sort_by("block")
         parts = [unpack_sorted(x) for x in table.column("body").to_pylist()]
         size = np.array([len(x) for x in parts])
@@ -128,27 +151,30 @@ def dedup_substrings(docs: DataFrame, window: int = 13, block_bytes: int = 6 <<
         order = np.argsort(h, kind="stable")
         s = h[order]
         head = np.concatenate([[True], s[1:] != s[:-1]])
-        source = np.empty(len(h), np.int64)
-        source[order] = block[order][np.flatnonzero(head)[np.cumsum(head) - 1]]
+        lead = np.empty(len(h), np.int64)
+        lead[order] = order[np.flatnonzero(head)][np.cumsum(head) - 1]
+        del s, order, head
+        source, place = block[lead], np.concatenate([unpack_u32(x) for x in table.column("places").to_pylist()])[lead]
         edge = np.concatenate([[0], np.cumsum(size)])
-        out: dict[str, list] = {"bucket": [], "block": [], "hits": [], "source": []}
+        out: dict[str, list] = {"bucket": [], "block": [], "hits": [], "source": [], "places": []}
         for k, (a, b) in enumerate(zip(edge[:-1], edge[1:], strict=True)):
             hit = np.flatnonzero(source[a:b] != block[a:b])
             if len(hit):
-                for name, v in zip(out, (table.column("bucket")[k].as_py(), table.column("block")[k].as_py(), pack_u32(np.diff(hit, prepend=0)), pack_u32(source[a:b][hit])), strict=True):
+                for name, v in zip(out, (table.column("bucket")[k].as_py(), table.column("block")[k].as_py(), pack_u32(np.diff(hit, prepend=0)), pack_u32(source[a:b][hit]), pack_u32(place[a:b][hit])), strict=True):
                     out[name].append(v)
-        return pa.table(out, schema=pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("hits", pa.binary()), ("source", pa.binary())]))
+        return pa.table(out, schema=pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("hits", pa.binary()), ("source", pa.binary()), ("places", pa.binary())]))
 
     def parse(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         ids, texts = _sorted_block(table)
         order = pa.array(np.argsort(table.column("doc_id").combine_chunks().fill_null(NULL_ID).to_numpy(zero_copy_only=False), kind="stable"))
         words = Words(texts)
-        at, h = _windows(words, ids, window)
+        at, h, place = _windows(words, ids, window)
         distinct, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        source = np.full(len(distinct), -1, np.int64)
+        source, there = np.full(len(distinct), -1, np.int64), place[first]
         edge = bucket_edges(distinct, buckets)
-        for bucket, hits, found in zip(*(answers.column(c).to_pylist() for c in ("bucket", "hits", "source")), strict=True):
-            source[edge[bucket] + np.cumsum(unpack_u32(hits).astype(np.int64))] = unpack_u32(found)
+        for bucket, hits, found, places in zip(*(answers.column(c).to_pylist() for c in ("bucket", "hits", "source", "places")), strict=True):
+            hit = edge[bucket] + np.cumsum(unpack_u32(hits).astype(np.int64))
+            source[hit], there[hit] = unpack_u32(found), unpack_u32(places)
         doc = words.text_of()
         of = source[inverse]
         # in the block itself: documents are in order, so the first place of a window has its smallest doc_id
@@ -156,7 +182,7 @@ def dedup_substrings(docs: DataFrame, window: int = 13, block_bytes: int = 6 <<
         me = int(table.column("block")[0].as_py()) if table.num_rows else 0
         of = np.where(of < 0, np.where(own, me, -1), of)
         copied = of >= 0
-        spans = greedy_factors(at[copied], of[copied], doc[at[copied]], window)
+        spans = greedy_factors(at[copied], of[copied], there[inverse[copied]], doc[at[copied]], window)
         lo, hi, source_of, boundary = (np.array(x) for x in zip(*spans, strict=True)) if spans else (np.zeros(0, np.int64),) * 4
         drop = np.zeros(len(words.hash) + 1, np.int64)
         np.add.at(drop, lo, 1)
@@ -182,8 +208,8 @@ def dedup_substrings(docs: DataFrame, window: int = 13, block_bytes: int = 6 <<
         more = {"rest": table.column("rest").combine_chunks().take(order), "old": texts} if carry else {}
         return pa.table({"doc_id": pa.array(ids, pa.int64(), mask=ids == NULL_ID), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept": pa.array([raw[x:y] for x, y in zip(starts.tolist(), ends.tolist(), strict=True)], pa.binary()).cast(pa.string()), "factors": factors.cast(FACTOR), **more})
 
-    messages = docs.groupBy("block").applyInArrow(index, "bucket long, block long, body binary")
-    answers = messages.groupBy("bucket").applyInArrow(match, "bucket long, block long, hits binary, source binary")
+    messages = docs.groupBy("block").applyInArrow(index, "bucket long, block long, body binary, places binary")
+    answers = messages.groupBy("bucket").applyInArrow(match, "bucket long, block long, hits binary, source binary, places binary")
     found = docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(parse, out)
     if not carry:
         return found

@@ -433,12 +433,63 @@ def test_one_id_on_two_texts(spark):
 
 
 def test_greedy_factors():
-    f = lambda first, block: substring_dedup.greedy_factors(np.array(first), np.array(block), np.zeros(len(first), int), 3)
-    assert f([], []) == []
-    assert f([0, 1, 5], [2, 2, 2]) == [(0, 4, 2, False), (5, 8, 2, False)]
+    f = lambda first, block, place: substring_dedup.greedy_factors(np.array(first), np.array(block), np.array(place), np.zeros(len(first), int), 3)
+    assert f([], [], []) == []
+    assert f([0, 1, 5], [2, 2, 2], [4, 5, 6]) == [(0, 4, 2, False), (5, 8, 2, False)]
     # a window of another block inside the first factor straddles its end; the next factor begins at the first free word
-    assert f([0, 1, 2, 3, 4, 5], [0, 0, 1, 1, 1, 1]) == [(0, 4, 0, False), (2, 6, 1, True), (4, 8, 1, False)]
-    assert f([0, 1], [0, 1]) == [(0, 3, 0, False), (1, 4, 1, True)]
+    assert f([0, 1, 2, 3, 4, 5], [0, 0, 1, 1, 1, 1], [7, 8, 2, 3, 4, 5]) == [(0, 4, 0, False), (2, 6, 1, True), (4, 8, 1, False)]
+    assert f([0, 1], [0, 1], [0, 1]) == [(0, 3, 0, False), (1, 4, 1, True)]
+    # two windows of one block at other places are no longer factor
+    assert f([0, 1], [0, 0], [3, 9]) == [(0, 3, 0, False), (1, 4, 0, True)]
+
+
+def test_factors_are_strings_of_their_blocks(spark):
+    import random
+
+    w = [f"w{i}" for i in range(14)]
+    d = [(1, " ".join([*w[:13], "X"])), (2, " ".join(["Y", *w[1:]])), (3, " ".join(w))]
+    d = spark.createDataFrame(d, "doc_id long, text string")
+    got = {r["doc_id"]: [tuple(f) for f in r["factors"]] for r in substring_dedup.dedup_substrings(d).collect()}
+    assert got == {1: [], 2: [], 3: [(0, 13, 0, False), (1, 13, 0, True)]}
+
+    rng = random.Random(5)
+    pool = [f"v{i}" for i in range(300)]
+    texts = []
+    for i in range(120):
+        t = [rng.choice(pool) for _ in range(rng.randrange(60))]
+        for _ in range(rng.randrange(3) if texts else 0):
+            s = rng.choice(texts)
+            a = rng.randrange(len(s) + 1)
+            t[rng.randrange(len(t) + 1) : 0] = s[a : a + rng.randrange(50)]
+        texts.append(t)
+    data = [(i * i, " ".join(t)) for i, t in enumerate(texts)]
+    d = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    for size in (1500, 1 << 20):
+        block = {r["doc_id"]: r["block"] for r in substring_dedup._blocks(d, size)[0].collect()}
+        held = {}
+        for i, t in data:
+            held.setdefault(block[i], []).append((i, f" {t} "))
+        n = 0
+        for r in substring_dedup.dedup_substrings(d, block_bytes=size).collect():
+            t = dict(data)[r["doc_id"]].split()
+            for f in r["factors"]:
+                if not f["boundary"]:
+                    part = " ".join(t[f["start"] : f["start"] + f["length"]])
+                    assert any(i < r["doc_id"] and f" {part} " in x for i, x in held[f["block"]])
+                    n += f["length"] > 13
+        assert n > 20
+        assert rows(substring_dedup.op4_substring_dedup(d)) == brute_dedup(data, 13)
+
+
+def test_blocks_of_clustered_ids(spark, monkeypatch):
+    """Where there are more blocks than quantiles, each range is cut by its own quantiles, so clusters of ids don't fill a block."""
+    monkeypatch.setattr(substring_dedup, "QUANTILES", 8)
+    d = spark.createDataFrame([(c * 10**9 + i, "t" * 10) for c in range(20) for i in range(100)], "doc_id long, text string").repartition(3)
+    df, n = substring_dedup._blocks(d, 20_000 // 50)
+    sizes = sorted(r["count"] for r in df.groupBy("block").count().collect())
+    assert n >= 50 and len(sizes) >= 40 and sizes[-1] <= 3 * 2000 // 50
+    got = {r["doc_id"]: r["block"] for r in df.collect()}
+    assert [got[i] for i in sorted(got)] == sorted(got.values())
 
 
 def test_sql_twins(spark, data, same):
