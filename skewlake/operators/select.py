@@ -30,12 +30,12 @@ def best_delta(targets: DataFrame, quotes: DataFrame, keep: list[str], how: str
     return joined.groupBy(*targets.columns).agg(best)
 
 
-def _walk(max_hops: int, patience: int) -> str:
+def _walk(max_hops: int, patience: int, more: list[str]) -> str:
     """The walk of target t over its chain, as SQL: chain is sorted by strike; below is the number of its strikes under the start.
 
-    Its state: best (score), way (0: either side), idle (hops in a row without improvement), counted (quotes with a delta), done.
+    more: columns of a quote that go along with its score. Its state: best (score), way (0: either side), idle (hops in a row without improvement), counted (quotes with a delta), done.
     """
-    score = lambda q: f"CASE WHEN {q}.delta IS NOT NULL THEN named_struct('gap', abs({q}.delta - t.target_delta), 'incomplete', {q}.incomplete, 'strike_gap', {q}.strike_gap, 'strike', {q}.strike, 'delta', {q}.delta) END"
+    score = lambda q: f"CASE WHEN {q}.delta IS NOT NULL THEN named_struct('gap', abs({q}.delta - t.target_delta), 'incomplete', {q}.incomplete, 'strike_gap', {q}.strike_gap, 'strike', {q}.strike, 'delta', {q}.delta{''.join(f", '{c}', {q}.{c}" for c in more)}) END"
     less = lambda x, y: f"({x} IS NOT NULL AND ({y} IS NULL OR struct({x}.gap, {x}.incomplete, {x}.strike_gap) < struct({y}.gap, {y}.incomplete, {y}.strike_gap)))"
     let = lambda value, name, body: f"element_at(transform(array({value}), {name} -> {body}), 1)"
     rank = lambda q: f"struct(coalesce(abs({q}.delta - t.target_delta), double('infinity')), {q}.incomplete, {q}.strike_gap)"
@@ -52,7 +52,7 @@ def _walk(max_hops: int, patience: int) -> str:
     return let("size(filter(chain, q -> q.strike < t.starting_strike))", "p", let(start, "s", fold))
 
 
-def best_delta_bounded(targets: DataFrame, quotes: DataFrame, max_hops: int, patience: int) -> DataFrame:
+def best_delta_bounded(targets: DataFrame, quotes: DataFrame, max_hops: int, patience: int, keep: list[str] | None = None) -> DataFrame:
     """Search outward from starting_strike, as a bounded walk over the quotes that are present.
 
     Quotes are ranked by strike; hop h looks at both sides of the start until one improves, then only at that side. A start
@@ -60,24 +60,30 @@ def best_delta_bounded(targets: DataFrame, quotes: DataFrame, max_hops: int, pat
     ends after `patience` hops without improvement or at max_hops + 1 counted quotes.
 
     Each chain (symbol, snapshot, expiry, side: hundreds of quotes) is gathered once as a sorted array beside its targets, and each walk
-    reads it by place: one join, and no quote is copied to a target. Targets whose chain has no quote are left out.
+    reads it by place: one join, and no quote is copied to a target. Targets whose chain has no quote are left out. keep: columns of
+    the quote that come with its score.
     """
+    more = [c for c in keep or [] if c not in ("strike", "delta")]
     key = ["symbol", "snapshot_time", "selected_expiry", "option_type"]
     q = scored(quotes).withColumnRenamed("expiry", "selected_expiry")
-    chains = q.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("strike", "delta", "incomplete", "strike_gap"))).alias("chain"))
+    chains = q.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("strike", "delta", "incomplete", "strike_gap", *more))).alias("chain"))
     rest = [c for c in targets.columns if c not in key]
     asked = targets.groupBy(*key).agg(F.collect_list(F.struct(*rest)).alias("asked"))
-    walked = asked.join(chains, key).select(*key, F.expr(f"inline(transform(asked, t -> named_struct('t', t, 'best', {_walk(max_hops, patience)})))"))
+    walked = asked.join(chains, key).select(*key, F.expr(f"inline(transform(asked, t -> named_struct('t', t, 'best', {_walk(max_hops, patience, more)})))"))
     return walked.select(*[F.col(c) if c in key else F.col(f"t.{c}") for c in targets.columns], "best")
 
 
 def target_status(targets: DataFrame, quotes: DataFrame, keep: list[str]) -> DataFrame:
     """One row for each target: SELECTED, MISSING_NULL_FIELDS (the best quote lacks a reading) or MISSING_NO_CANDIDATE."""
-    joined = best_delta(targets, quotes, keep, "left")
+    return status_of(best_delta(targets, quotes, keep, "left"))
+
+
+def status_of(chosen: DataFrame) -> DataFrame:
+    """What became of targets: status and reason, from selected_expiry and the best quote, which is null where there is none."""
     status = F.when(F.col("best").isNull(), "MISSING_NO_CANDIDATE").when(F.col("best.incomplete") == 1, "MISSING_NULL_FIELDS").otherwise("SELECTED")
     reason = F.when(F.col("selected_expiry").isNull(), "no expiry for tenor").when(F.col("best").isNull(), "no quote with delta").when(F.col("best.incomplete") == 1, "best quote lacks readings")
-    return joined.select(
-        *_key(targets), status.alias("status"), reason.alias("reason"), "selected_expiry",
+    return chosen.select(
+        *_key(chosen), status.alias("status"), reason.alias("reason"), "selected_expiry",
         F.col("best.strike").alias("selected_strike"), F.col("best.delta").alias("selected_delta"), F.col("best.gap").alias("delta_gap_abs"), "best",
     )
 

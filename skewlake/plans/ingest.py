@@ -73,8 +73,13 @@ def delete_batch(spark, d):
 
 @query("SELECT batch_id, arg_max(contract_id, attempt_seq) AS contract_id, max(attempt_seq) AS attempt_seq, arg_max(status, attempt_seq) AS status FROM fx_attempts GROUP BY batch_id")
 def upsert_progress(spark, d):
-    log = attempts(spark, d).select("batch_id", "contract_id", "attempt_seq", "status")
-    return I.upsert(log.filter("attempt_seq % 2 = 0"), log.filter("attempt_seq % 2 = 1"), schemas.PROGRESS_KEY, "attempt_seq")
+    """A table of batches by bucket, into which later rows are put by key; buckets without such rows keep their files."""
+    store, part = T.fresh_store(spark), bucket(16, "batch_id")
+    log = T.write_and_read(attempts(spark, d).select("batch_id", "contract_id", "attempt_seq", "status"), [])
+    put = lambda stored, new: I.upsert(stored, new, schemas.PROGRESS_KEY, "attempt_seq")
+    for turn in (0, 1):
+        store.publish([store.rewrite("progress", log.filter(F.col("attempt_seq") % 2 == turn), part, put)])
+    return store.read("progress")
 
 
 @query("SELECT batch_id, contract_id, attempt_seq, ts, status FROM fx_attempts")

@@ -120,16 +120,17 @@ def best_delta(spark, d):
     return best.select(*BY, "selected_expiry", F.col("best.strike").alias("selected_strike"), F.col("best.delta").alias("selected_delta"), F.col("best.gap").alias("delta_gap_abs"), F.col("best.incomplete").alias("incomplete"))
 
 
-def _guessed(spark, d, snaps: DataFrame, chain: DataFrame) -> DataFrame:
+def _guessed(spark, d, snaps: DataFrame, chain: DataFrame, plan: DataFrame | None = None) -> DataFrame:
     """Targets with the strike of the chain that is nearest to the guess, whether or not it is quoted in the snapshot."""
-    plan = _plan(spark, d, snaps, chain).filter("selected_expiry IS NOT NULL").join(snaps.select("symbol", "spot").distinct(), "symbol")
+    plan = (_plan(spark, d, snaps, chain) if plan is None else plan).filter("selected_expiry IS NOT NULL").join(snaps.select("symbol", "spot").distinct(), "symbol")
     guessed = U.delta_guesses(plan, S.dte(F.col("selected_expiry"), asof())).drop("spot")
     strikes = chain.withColumnRenamed("expiry", "selected_expiry")
     start = U.nearest_strike(guessed.select("symbol", "selected_expiry", "guess").distinct(), strikes, ["symbol", "selected_expiry"])
     return guessed.join(start.withColumnRenamed("selected_strike", "starting_strike"), ["symbol", "selected_expiry", "guess"])
 
 
-@query(f"""WITH RECURSIVE {CQ}, {GRID}, sp AS (SELECT DISTINCT symbol, underlying_price AS spot FROM fx_quotes),
+#: The bounded walk of each target, hop by hop, and the best quote of its last hop, in SQL.
+WALK = f"""sp AS (SELECT DISTINCT symbol, underlying_price AS spot FROM fx_quotes),
 t AS (SELECT symbol, snapshot_time, target_tenor_dte, target_delta_abs AS dl, option_type AS o, target_delta, selected_expiry AS expiry FROM plan WHERE selected_expiry IS NOT NULL),
 g AS (SELECT t.*, spot * CASE WHEN o = 'C' THEN 1 + {OFFSET} ELSE 1 - {OFFSET} END AS guess FROM t JOIN sp ON sp.symbol = t.symbol),
 ss AS (SELECT g.symbol, snapshot_time, target_tenor_dte, dl, o, target_delta, g.expiry, arg_min(strike, abs(strike - guess) * 1000000 + strike) AS s0 FROM g JOIN (SELECT DISTINCT symbol, expiry, strike FROM fx_quotes) c ON c.symbol = g.symbol AND c.expiry = g.expiry GROUP BY ALL),
@@ -149,9 +150,11 @@ wk AS (SELECT s.symbol, s.snapshot_time, s.target_tenor_dte, s.dl, s.o, s.target
           CASE WHEN hi.delta IS NOT NULL THEN ROW(abs(hi.delta - w.target_delta), hi.incomplete, hi.strike_gap, hi.strike, hi.delta) END AS h
         FROM wk w LEFT JOIN pq lo ON lo.symbol = w.symbol AND lo.snapshot_time = w.snapshot_time AND lo.expiry = w.expiry AND lo.o = w.o AND lo.place = w.start - w.hop - 1 AND w.dir <= 0
         LEFT JOIN pq hi ON hi.symbol = w.symbol AND hi.snapshot_time = w.snapshot_time AND hi.expiry = w.expiry AND hi.o = w.o AND hi.place = w.start + w.hop + 1 AND w.dir >= 0
-        WHERE w.idle < {config.PATIENCE} AND w.counted < {config.MAX_HOPS + 1} AND w.hop < {(config.MAX_HOPS + 1) * config.PATIENCE}))))
-SELECT symbol, snapshot_time, o AS option_type, target_tenor_dte, dl AS target_delta_abs, expiry AS selected_expiry, b[4] AS selected_strike, b[5] AS selected_delta, b[1] AS delta_gap_abs
-FROM (SELECT symbol, snapshot_time, o, target_tenor_dte, dl, expiry, last(best ORDER BY hop) AS b FROM wk GROUP BY ALL)""")
+        WHERE w.idle < {config.PATIENCE} AND w.counted < {config.MAX_HOPS + 1} AND w.hop < {(config.MAX_HOPS + 1) * config.PATIENCE})))),
+bb AS (SELECT symbol, snapshot_time, o AS option_type, target_tenor_dte, dl AS target_delta_abs, expiry AS selected_expiry, last(best ORDER BY hop) AS b FROM wk GROUP BY ALL)"""
+
+
+@query(f"WITH RECURSIVE {CQ}, {GRID}, {WALK} SELECT symbol, snapshot_time, option_type, target_tenor_dte, target_delta_abs, selected_expiry, b[4] AS selected_strike, b[5] AS selected_delta, b[1] AS delta_gap_abs FROM bb")
 def best_delta_bounded(spark, d):
     q, snaps, chain = _facts(spark, d)
     best = P.best_delta_bounded(_guessed(spark, d, snaps, chain), clean_of(q), config.MAX_HOPS, config.PATIENCE)
@@ -183,17 +186,47 @@ def skew_target_status(spark, d):
     return _status(spark, d).drop("best")
 
 
+def _named(told: DataFrame) -> DataFrame:
+    return told.withColumn("collection_batch", S.batch_id(F.concat("symbol", F.lit("_tenor_delta")), S.iso(F.col("snapshot_time").cast("timestamp"))))
+
+
+def snapshot_rows(told: DataFrame, asof) -> DataFrame:
+    """The row of each selected target, with the readings of its quote."""
+    out = told.filter("status = 'SELECTED'").select("symbol", "snapshot_time", F.col("selected_expiry").alias("expiry"), F.col("best.strike").alias("strike"), "option_type", "target_tenor_dte", "target_delta_abs", S.dte(F.col("selected_expiry"), asof).alias("dte"), F.col("best.gap").alias("delta_gap_abs"), *[F.col(f"best.{c}").alias(c) for c in KEEP], "collection_batch")
+    return out.withColumns({"iv_mid": S.iv_mid(F.col("iv_bid"), F.col("iv_ask")), "rho": F.lit(None).cast("double"), "moneyness": S.moneyness(F.col("strike"), F.col("underlying_price"))})
+
+
+@query(f"""WITH RECURSIVE {CQ}, {GRID}, {WALK},
+ws AS (SELECT p.*, b IS NOT NULL AS found, b[2] = 0 AS whole, b[4] AS strike, b[1] AS gap FROM plan p LEFT JOIN bb USING (symbol, snapshot_time, option_type, target_tenor_dte, target_delta_abs)),
+wt AS (SELECT *, CASE WHEN NOT found THEN 'MISSING_NO_CANDIDATE' WHEN NOT whole THEN 'MISSING_NULL_FIELDS' ELSE 'SELECTED' END AS status FROM ws),
+wp AS (SELECT symbol, snapshot_time, count(*) AS expected, count(*) FILTER (WHERE status = 'SELECTED') AS completed, count(*) FILTER (WHERE status <> 'SELECTED') AS missing FROM wt GROUP BY ALL)
+SELECT wt.symbol, wt.snapshot_time, wt.selected_expiry AS expiry, wt.strike, wt.option_type, target_tenor_dte, target_delta_abs, CAST(CASE WHEN status = 'SELECTED' THEN wt.selected_expiry - DATE '2024-01-02' END AS INTEGER) AS dte, gap AS delta_gap_abs,
+delta, bid, ask, last, volume, open_interest, sq.underlying_price, iv_bid, iv_ask, gamma, theta, vega, (iv_bid + iv_ask) / 2 AS iv_mid, CAST(NULL AS DOUBLE) AS rho, wt.strike / sq.underlying_price AS moneyness,
+md5(wt.symbol || '_tenor_delta_' || strftime(wt.snapshot_time, '%Y-%m-%dT%H:%M:%S')) AS collection_batch, status, expected, completed, missing, CASE WHEN completed > 0 THEN 'COMPLETED' ELSE 'FAILED' END AS run_status
+FROM wt JOIN wp ON wp.symbol = wt.symbol AND wp.snapshot_time = wt.snapshot_time
+LEFT JOIN sq ON status = 'SELECTED' AND sq.symbol = wt.symbol AND sq.snapshot_time = wt.snapshot_time AND sq.expiry = wt.selected_expiry AND sq.option_type = wt.option_type AND sq.strike = wt.strike""")
+def skew_snapshot(spark, d):
+    """The run as a whole: expiry, starting strike and bounded walk for each target; rows, status and progress in one commit; what a reader sees of the three."""
+    q, snaps, chain = _facts(spark, d)
+    plan = _plan(spark, d, snaps, chain)
+    best = P.best_delta_bounded(_guessed(spark, d, snaps, chain, plan), clean_of(q), config.MAX_HOPS, config.PATIENCE, KEEP)
+    told = P.status_of(plan.join(best.select(*BY, "best"), BY, "left"))
+    told = T.write_and_read(_named(told), [])
+    by = ["symbol", "snapshot_time"]
+    done = progress.rollup(told, [*by, "collection_batch"], F.col("status") == "SELECTED", "no target filled")
+    rows, status, done = T.write_skew(T.fresh_store(spark), snapshot_rows(told, asof()), told.drop("best"), done)
+    readings = rows.drop("expiry", "strike", "delta_gap_abs", "collection_batch")
+    seen = status.drop("reason", "selected_delta").withColumnsRenamed({"selected_expiry": "expiry", "selected_strike": "strike"}).join(readings, BY, "left")
+    return seen.join(done.select(*by, "expected", "completed", "missing", F.col("status").alias("run_status")), by)
+
+
 @query(f"""WITH {CQ}, {GRID} SELECT symbol, snapshot_time, selected_expiry AS expiry, strike, option_type, target_tenor_dte, target_delta_abs, CAST(selected_expiry - DATE '2024-01-02' AS INTEGER) AS dte, gap AS delta_gap_abs,
 delta, bid, ask, last, volume, open_interest, underlying_price, iv_bid, iv_ask, gamma, theta, vega, (iv_bid + iv_ask) / 2 AS iv_mid, CAST(NULL AS DOUBLE) AS rho, strike / underlying_price AS moneyness,
 md5(symbol || '_tenor_delta_' || strftime(snapshot_time, '%Y-%m-%dT%H:%M:%S')) AS collection_batch FROM best WHERE incomplete = 0""")
-def skew_snapshot(spark, d):
-    """Rows of the targets that are filled, written once by snapshot and given as read back."""
-    kept = _best(spark, d).filter("best.incomplete = 0")
-    out = kept.select("symbol", "snapshot_time", F.col("selected_expiry").alias("expiry"), F.col("best.strike").alias("strike"), "option_type", "target_tenor_dte", "target_delta_abs", S.dte(F.col("selected_expiry"), asof()).alias("dte"), F.col("best.gap").alias("delta_gap_abs"), *[F.col(f"best.{c}").alias(c) for c in KEEP])
-    out = out.withColumns({
-        "iv_mid": S.iv_mid(F.col("iv_bid"), F.col("iv_ask")), "rho": F.lit(None).cast("double"), "moneyness": S.moneyness(F.col("strike"), F.col("underlying_price")),
-        "collection_batch": S.batch_id(F.concat("symbol", F.lit("_tenor_delta")), S.iso(F.col("snapshot_time").cast("timestamp"))),
-    })
+def skew_snapshot_exhaustive(spark, d):
+    """Rows of the targets that the best quote of the whole chain fills, written once by snapshot and given as read back."""
+    kept = _best(spark, d).filter("best.incomplete = 0").withColumn("status", F.lit("SELECTED"))
+    out = snapshot_rows(_named(kept), asof())
     return T.write_and_read(out.withColumn("snapshot_date", F.to_date("snapshot_time")), ["snapshot_date"]).drop("snapshot_date")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -108,6 +108,13 @@ class Store:
                 change.parts[p] += names
         return change
 
+    def rewrite(self, table: str, rows: DataFrame, part: Column, combine: Callable[[DataFrame, DataFrame], DataFrame], base: int | None = None) -> Change:
+        """Stage what `combine` makes of stored rows and arriving ones. Rows are computed once; only the parts that they touch are read and written anew."""
+        arriving = self.stage(table, rows, part)
+        new = self.staged(arriving)
+        stored = self.read(table, arriving.parts, base, arriving.schema)
+        return self.stage(table, combine(stored, new), part, replace=True, emptied=arriving.parts)
+
     def without(self, table: str, gone: Column, part: Column, parts: Iterable[str] | None = None) -> Change:
         """Stage a deletion: parts that hold such rows are written anew without them, all others keep their files.
 

@@ -75,6 +75,24 @@ def write_snapshot(store: Store, rows: DataFrame, complete: Column) -> tuple[Dat
     return store.read("quotes"), store.read("underlying"), store.read("progress")
 
 
+def write_skew(store: Store, rows: DataFrame, status: DataFrame, progress: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Write the snapshot rows of selected targets, what became of every target, and the progress of each snapshot in one commit; all as read back.
+
+    Readers see the three tables of a commit or none. A snapshot that is written again replaces its rows in all three, even where it has no
+    selected target any more. The three frames should be drawn from one written table, as status is read twice.
+    """
+    by, part, base = ["symbol", "snapshot_time"], day("snapshot_time"), store.version()
+    told = store.merge("skew_status", status, part, by, base)
+    again = status.select(*by).distinct()
+    new = store.stage("skew_rows", rows, part, replace=True, emptied=told.parts)
+    if old := [p for p in told.parts if p in store.parts("skew_rows", base)]:
+        kept = store.read("skew_rows", old, base).join(again, by, "left_anti").select(*rows.columns)
+        for p, names in store.stage("skew_rows", kept, part).parts.items():
+            new.parts[p] = [*new.parts.get(p, []), *names]
+    store.publish([new, told, store.merge("skew_progress", progress, part, by, base)], base)
+    return store.read("skew_rows"), store.read("skew_status"), store.read("skew_progress")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir, which all executors share. Where none is set a local session uses its warehouse; a cluster must name it."""
     path = spark.conf.get("spark.checkpoint.dir", None)

@@ -14,6 +14,11 @@ from skewlake.sources.store import Conflict, Store, bucket, day, month
 NOW = dt.datetime(2024, 1, 20, 12)
 
 
+@pytest.fixture
+def store(spark, tmp_path):
+    return Store(spark, str(tmp_path / "store"))
+
+
 def rows(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
@@ -169,3 +174,46 @@ def test_part_names(spark):
     df = spark.sql("SELECT TIMESTAMP '2024-01-02 10:00:00' AS t, 'k' AS k")
     assert df.select(day("t"), month("t")).first()[:] == ("2024-01-02", "2024-01")
     assert 0 <= int(df.select(bucket(4, "k")).first()[0]) < 4
+
+
+def test_upsert_leaves_other_parts(store, spark):
+    from skewlake.operators import ingest
+
+    part, put = F.substring("id", 1, 1), lambda old, new: ingest.upsert(old, new, ["id"], "v")
+    df = lambda rows: spark.createDataFrame(rows, "id string, v int, x string")
+    store.publish([store.rewrite("t", df([("a1", 1, "p"), ("a1", 3, "q"), ("b1", 1, "r"), ("b2", 5, "s")]), part, put)])
+    before = store.manifest()["tables"]["t"]["parts"]
+    new = df([("b1", 2, "u"), ("b2", 4, "late"), ("c1", None, None)])
+    for _ in range(2):
+        store.publish([store.rewrite("t", new, part, put)])
+        assert sorted((r["id"], r["v"], r["x"]) for r in store.read("t").collect()) == [("a1", 3, "q"), ("b1", 2, "u"), ("b2", 5, "s"), ("c1", None, None)]
+    after = store.manifest()["tables"]["t"]["parts"]
+    assert after["a"] == before["a"] and after["b"] != before["b"]
+    store.publish([store.rewrite("t", new.limit(0), part, put)])
+    assert store.manifest()["tables"]["t"]["parts"] == after
+
+
+def test_skew_run_lands_whole(store, spark, monkeypatch):
+    import datetime as dt
+
+    at = lambda h, d=2: dt.datetime(2024, 1, d, h)
+    rows = lambda r: spark.createDataFrame(r, "symbol string, snapshot_time timestamp_ntz, strike double")
+    told = lambda r: spark.createDataFrame(r, "symbol string, snapshot_time timestamp_ntz, status string")
+    run = lambda a, b: tables.write_skew(store, rows(a), told(b), told(b).groupBy("symbol", "snapshot_time").agg(F.count_if(F.col("status") == "SELECTED").alias("completed")))
+    got = lambda name: sorted(tuple(r) for r in store.read(name).collect())
+    both = [("A", at(1), "SELECTED"), ("A", at(1), "MISSING_NO_CANDIDATE"), ("B", at(2), "SELECTED")]
+    for _ in range(2):
+        run([("A", at(1), 5.0), ("B", at(2), 6.0)], both)
+        assert got("skew_rows") == [("A", at(1), 5.0), ("B", at(2), 6.0)] and got("skew_progress") == [("A", at(1), 1), ("B", at(2), 1)]
+    # a run that stops between two tables shows nothing
+    publish = store.publish
+    monkeypatch.setattr(store, "publish", lambda *a, **k: (_ for _ in ()).throw(RuntimeError()))
+    with pytest.raises(RuntimeError):
+        run([], [("A", at(1), "MISSING_NO_CANDIDATE")])
+    assert got("skew_rows") == [("A", at(1), 5.0), ("B", at(2), 6.0)] and got("skew_status") == sorted(both)
+    # a snapshot that is written again without a selected target loses its rows, and no other snapshot of the day does
+    monkeypatch.setattr(store, "publish", publish)
+    run([], [("A", at(1), "MISSING_NO_CANDIDATE"), ("C", at(1, 3), "MISSING_NO_CANDIDATE")])
+    assert got("skew_rows") == [("B", at(2), 6.0)]
+    assert got("skew_status") == [("A", at(1), "MISSING_NO_CANDIDATE"), ("B", at(2), "SELECTED"), ("C", at(1, 3), "MISSING_NO_CANDIDATE")]
+    assert got("skew_progress") == [("A", at(1), 0), ("B", at(2), 1), ("C", at(1, 3), 0)]
