@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import scalars as S
 from ..sources import tables as T
-from ..sources.store import Change, Store, bucket, month
+from ..sources.store import Change, Store, bucket
 from . import ingest as I
+from .bars import BAR_KEY, CONTRACT, Bars
 
-CONTRACT = ["symbol", "strike", "expiry", "option_type", "what_to_show"]
-BAR_KEY = [*CONTRACT, "bar_ts"]
 #: The list of work, one row for each contract.
 WORK = """symbol string, strike double, expiry date, option_type string, what_to_show string, start_date date, end_date date,
 bar_size string, status string, attempts int, run string, lease_until timestamp, backoff_until timestamp, last_error string,
@@ -23,7 +22,7 @@ last_attempt_at timestamp, completed_at timestamp"""
 
 
 class Backfill:
-    """A store's tables `bars` (parts: months) and `work` (parts: open and finished contracts, by bucket), and runs that fill them.
+    """A store's tables `bars` and `latest` (see Bars) and `work` (parts: open and finished contracts, by bucket), and runs that fill them.
 
     Finished contracts are never written again; each run writes the open ones anew.
 
@@ -35,7 +34,7 @@ class Backfill:
     def __init__(self, store: Store, lease: dt.timedelta = dt.timedelta(hours=1), budget: int = config.RETRY_BUDGET, buckets: int = 16, bar_part: Column | None = None):
         self.store, self.lease, self.budget = store, lease, budget
         self.work_part = F.concat(F.when(F.col("status").isin(config.TERMINAL_STATES), "done-").otherwise("open-"), bucket(buckets, *CONTRACT))
-        self.bar_part = month("bar_ts") if bar_part is None else bar_part
+        self.bars = Bars(store, bar_part, buckets)
 
     def work(self) -> DataFrame:
         return self.store.read("work", schema=WORK)
@@ -49,20 +48,6 @@ class Backfill:
         done = {p: names for p, names in staged.parts.items() if p.startswith("done-")}
         return [Change("work", staged.schema, True, {p: names for p, names in staged.parts.items() if p not in done}), Change("work", staged.schema, False, done)]
 
-    def judged(self, arriving: DataFrame, order: list[str], parts: list[str] | None = None) -> DataFrame:
-        """The first arriving bar of each key by `order`, and whether it is new. Of the stored bars only the parts that arriving bars touch are
-        read (or those named in `parts`), and of these the keys alone."""
-        parts = self.store.touched(arriving, self.bar_part) if parts is None else parts
-        held = self.store.read("bars", parts, schema=arriving._jdf.schema().toDDL()).select(*BAR_KEY, F.lit(True).alias("held"))
-        lead = F.struct(*order).alias("bar")
-        both = arriving.select(*BAR_KEY, lead).unionByName(held, allowMissingColumns=True)
-        best = both.groupBy(*BAR_KEY).agg(F.min("bar").alias("bar"), F.coalesce(F.max("held"), F.lit(False)).alias("held")).filter("bar IS NOT NULL")
-        return best.select(*[F.col(c) if c in BAR_KEY else F.col(f"bar.{c}").alias(c) for c in arriving.columns], (~F.col("held")).alias("is_new"))
-
-    def insert(self, arriving: DataFrame, order: list[str]) -> Change:
-        """Stage the arriving bars whose key isn't stored, one for each key; inserting twice equals inserting once."""
-        return self.store.stage("bars", self.judged(arriving, order).filter("is_new").drop("is_new"), self.bar_part)
-
     def eligible(self, now: Column) -> Column:
         """Pending, not waiting for its backoff, and under no run's lease."""
         waits = lambda c: F.coalesce(F.col(c) > now, F.lit(False))
@@ -109,9 +94,9 @@ class Backfill:
         day = F.to_date("bar_ts")
         wanted = F.exists("chunks", lambda c: day.between(c["chunk_start"], c["chunk_end"]))
         loaded = arriving.join(mine.select(*CONTRACT, "chunks"), CONTRACT).filter(wanted).select(*arriving.columns)
-        parts = self.store.touched(arriving, self.bar_part)
-        judged = T.write_and_read(self.judged(loaded, [c for c in arriving.columns if c not in BAR_KEY], parts), [])
-        bars = self.store.stage("bars", judged.filter("is_new").drop("is_new"), self.bar_part)
+        parts = self.store.touched(arriving, self.bars.part)
+        judged = T.write_and_read(self.bars.judged(loaded, [c for c in arriving.columns if c not in BAR_KEY], parts), [])
+        bars = self.store.stage("bars", judged.filter("is_new").drop("is_new"), self.bars.part)
         # days with arriving bars, and those of them that are held: stored before, or found in what was staged
         marks = judged.select(*CONTRACT, day.alias("day"), F.lit(1).alias("want"), F.when(F.col("is_new"), 0).otherwise(1).alias("have"), F.lit(0).alias("new"))
         marks = marks.unionByName(self.store.staged(bars).select(*CONTRACT, day.alias("day"), F.lit(0).alias("want"), F.lit(1).alias("have"), F.lit(1).alias("new")))
@@ -133,7 +118,7 @@ class Backfill:
             "backoff_until": F.when(status == "RETRY", S.backoff_until(at, F.col("attempts"))), "last_error": S.truncate_error(F.col("error")),
             "unavailable_reason": F.when(gone, reason), "probe_evidence": F.when(many == 0, evidence), "completed_at": F.when(done | gone, at), "status": status,
         }).select(*open_.columns)
-        return self.store.publish([bars, *self._changed(states.unionByName(open_.filter(~F.coalesce(leased, F.lit(False)))), base)], base)
+        return self.store.publish([*self.bars.changes(bars, base), *self._changed(states.unionByName(open_.filter(~F.coalesce(leased, F.lit(False)))), base)], base)
 
     def run(self, name: str, requests: DataFrame, arriving: DataFrame, now: dt.datetime, most: int | None = None, prices: DataFrame | None = None, **told: DataFrame) -> int:
         """Lease and load; the number of contracts taken. Nothing is read or written further where none is eligible."""

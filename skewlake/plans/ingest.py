@@ -12,7 +12,8 @@ from .. import config, schemas
 from ..functions import scalars as S
 from ..operators import clean, joins
 from ..operators import ingest as I
-from ..operators.backfill import BAR_KEY, CONTRACT, Backfill
+from ..operators.backfill import Backfill
+from ..operators.bars import BAR_KEY, CONTRACT, Bars
 from ..sources import tables as T
 from ..sources.store import bucket
 from .base import CHAINS, CQ, attempts, bars, chains, cleaned, daily, query, text_of
@@ -42,6 +43,28 @@ def insert_new_bars(spark, d):
     return I.insert_new(bars(spark, d, 0), bars(spark, d, 1), BAR_KEY, ["close", "volume"])
 
 
+def _held(spark, d):
+    """A store with the bars that aren't arriving, and the latest of each contract."""
+    held = Bars(T.fresh_store(spark))
+    held.store.publish(held.changes(held.store.stage("bars", bars(spark, d, 0), held.part)))
+    return held
+
+
+@query(f"WITH {NEW_BARS} SELECT * FROM nb")
+def insert_touched_months(spark, d):
+    """The insertion into a table of months: the keys of those that arriving bars touch are read, new bars join them. The rows are those that were stored."""
+    held = _held(spark, d)
+    return held.store.staged(held.insert(bars(spark, d, 1), ["close", "volume"]))
+
+
+@query("SELECT symbol, strike, expiry, option_type, what_to_show, max(bar_ts) AS latest FROM fx_option_bars GROUP BY ALL")
+def latest_bar_kept(spark, d):
+    """The latest bar of each contract after the arriving bars went in, from the maxima that are kept beside the bars."""
+    held = _held(spark, d)
+    held.insert(bars(spark, d, 1), ["close", "volume"])
+    return held.latest()
+
+
 @query("SELECT * FROM fx_underlying_bars WHERE day(trade_date) % 2 = 1")
 def insert_new_underlying(spark, d):
     every = daily(spark, d)
@@ -105,10 +128,11 @@ rs AS (SELECT rq.*, greatest(start_date, coalesce(CAST(latest AS DATE), CASE WHE
 FROM rq LEFT JOIN lt USING (symbol, strike, expiry, option_type, what_to_show) LEFT JOIN hd USING (symbol, strike, expiry, option_type, what_to_show))"""
 
 
-def _resolved(spark, d):
+def _resolved(spark, d, latest=None):
     asked = bars(spark, d, 1).groupBy(*CONTRACT).agg(F.to_date(F.min("bar_ts")).alias("start_date"), F.date_add(F.to_date(F.max("bar_ts")), 1).alias("end_date"))
     heads = bars(spark, d).filter("volume > 25").groupBy(*CONTRACT).agg(F.min("bar_ts").alias("head_ts"))
-    return I.resolve_start(asked, I.latest_bar(bars(spark, d, 0), CONTRACT, "bar_ts"), heads, CONTRACT)
+    latest = I.latest_bar(bars(spark, d, 0), CONTRACT, "bar_ts") if latest is None else latest(asked)
+    return I.resolve_start(asked, latest, heads, CONTRACT)
 
 
 def resolved(every):
@@ -126,6 +150,12 @@ def resolve_start_date(spark, d):
     return _resolved(spark, d)
 
 
+@query(f"WITH {RESOLVED} SELECT * FROM rs")
+def resolve_start_kept(spark, d):
+    """The same from the latest bars that are kept, of the contracts that are asked for; no stored bar is read."""
+    return _resolved(spark, d, _held(spark, d).latest)
+
+
 @query(f"WITH {RESOLVED} SELECT * FROM rs WHERE resolved_start <= end_date")
 def eligible_requests(spark, d):
     return I.eligible_requests(_resolved(spark, d))
@@ -206,7 +236,7 @@ def bar_backfill(spark, d):
     """Where each contract's request starts, put on the list of work, leased, cut in chunks and loaded; bars and states in one commit."""
     every = T.write_and_read(bars(spark, d), [])
     job = Backfill(T.fresh_store(spark), bar_part=F.date_format("bar_ts", "yyyy"))
-    job.store.publish([job.store.stage("bars", every.filter("is_incoming = 0").drop("is_incoming"), job.bar_part)])
+    job.store.publish([job.store.stage("bars", every.filter("is_incoming = 0").drop("is_incoming"), job.bars.part)])
     asked = resolved(every).filter("resolved_start <= end_date").select(*CONTRACT, F.col("resolved_start").alias("start_date"), "end_date", F.lit("1 hour").alias("bar_size"))
     job.run("first", asked, clean.normalize_bars(every.filter("is_incoming = 1").drop("is_incoming"), distinct=False), dt.datetime(2024, 1, 20, 12))
     return job.rollup()

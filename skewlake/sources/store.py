@@ -128,16 +128,19 @@ class Store:
         """Number of the last batch of a stream that has been published; -1 before the first."""
         return self.manifest().get("streams", {}).get(stream, -1)
 
-    def publish(self, changes: list[Change], base: int | None = None, batch: tuple[str, int] | None = None) -> int:
+    def publish(self, changes: list[Change], base: int | None = None, batch: tuple[str, int] | None = None, alone: bool = False) -> int:
         """Make changes the next commit, all at once, and give its number. batch: the stream and the number of its batch that this holds.
 
         base: the commit that the changes were made from; the last one by default. Where others have committed since, the changes are put
         on top of theirs, unless one of them changed a part that is replaced here: then a Conflict is raised and nothing is done.
+        alone: any commit since is a Conflict, for changes that build on whole tables.
         """
         base = self.version() if base is None else base
         then = self.manifest(base)["tables"]
         while True:
             last = self.version()
+            if alone and last != base:
+                raise Conflict(f"there are commits after {base}")
             manifest = self.manifest(last)
             now = manifest["tables"]
             for c in changes:

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from skewlake.operators import clean
-from skewlake.operators.backfill import BAR_KEY, CONTRACT, Backfill
+from skewlake.operators.backfill import CONTRACT, Backfill
+from skewlake.operators.bars import BAR_KEY, Bars
 from skewlake.plans import base
 from skewlake.sources import tables
 from skewlake.sources.store import Conflict, Store, bucket, day, month
@@ -153,21 +154,94 @@ def test_finished_work_is_not_written_again(spark, tmp_path):
 
 def test_insert_reads_only_touched_parts(spark, data, tmp_path):
     """Arriving bars of one month: the plan names that month's folder and no other, and of its columns the keys."""
-    job = Backfill(Store(spark, str(tmp_path / "s")))
+    held = Bars(Store(spark, str(tmp_path / "s")))
     stored, arriving = base.bars(spark, data, 0), clean.normalize_bars(base.bars(spark, data, 1))
-    job.store.publish([job.store.stage("bars", stored, job.bar_part)])
+    held.store.publish([held.store.stage("bars", stored, held.part)])
     some = arriving.filter("date_format(bar_ts, 'yyyy-MM') = '1996-03'").cache()
-    judged = job.judged(some, ["close", "volume"])
-    files = {f for f in job.store.read("bars", job.store.touched(some, month("bar_ts"))).inputFiles()}
-    assert files and all("stored_part=1996-03" in f for f in files) and len(job.store.parts("bars")) > 50
+    judged = held.judged(some, ["close", "volume"])
+    files = {f for f in held.store.read("bars", held.store.touched(some, month("bar_ts"))).inputFiles()}
+    assert files and all("stored_part=1996-03" in f for f in files) and len(held.store.parts("bars")) > 50
     plan = judged._jdf.queryExecution().executedPlan().toString()
     assert "close" not in plan.split("ReadSchema")[1].split("\n")[0]
     new = {tuple(r[c] for c in BAR_KEY) for r in some.select(*BAR_KEY).distinct().join(stored.select(*BAR_KEY), BAR_KEY, "left_anti").collect()}
     assert {tuple(r[c] for c in BAR_KEY) for r in judged.filter("is_new").collect()} == new
-    before = job.store.read("bars").count()
+    before = held.store.read("bars").count()
     for _ in range(2):
-        job.store.publish([job.insert(some, ["close", "volume"])])
-        assert job.store.read("bars").count() == before + len(new)
+        held.insert(some, ["close", "volume"])
+        assert held.store.read("bars").count() == before + len(new)
+
+
+def bar(k, day_, hour=10, symbol="A"):
+    return (symbol, float(k), dt.date(2024, 2, 1), "C", "TRADES", dt.datetime(2024, *day_, hour), 1.0, 5)
+
+
+def bars_of(spark, values):
+    return spark.createDataFrame(values, "symbol string, strike double, expiry date, option_type string, what_to_show string, bar_ts timestamp_ntz, close double, volume long")
+
+
+def latest(df):
+    return sorted((r["strike"], r["latest"].month, r["latest"].day) for r in df.collect())
+
+
+def test_latest_bars_are_kept(store, spark):
+    held = Bars(store)
+    with pytest.raises(ValueError, match="no bars"):
+        held.latest()
+    held.insert(bars_of(spark, [bar(1, (1, 2)), bar(1, (1, 3)), bar(2, (1, 2)), bar(3, (2, 2))]), ["close", "volume"])
+    assert latest(held.latest()) == [(1.0, 1, 3), (2.0, 1, 2), (3.0, 2, 2)]
+    before = store.manifest()["tables"]["latest"]["parts"]
+    # an older bar of 1, a stored one of 3, and later ones of 2: only the bucket of 1 and that of 2 are written
+    held.insert(bars_of(spark, [bar(1, (1, 1)), bar(3, (2, 2)), bar(2, (3, 1)), bar(2, (3, 4))]), ["close", "volume"])
+    after = store.manifest()["tables"]["latest"]["parts"]
+    assert latest(held.latest()) == [(1.0, 1, 3), (2.0, 3, 4), (3.0, 2, 2)] and store.read("bars").count() == 7
+    touched = set(store.touched(bars_of(spark, [bar(1, (1, 1)), bar(2, (1, 1))]), held.latest_part))
+    assert {p for p in after if after[p] != before.get(p)} == touched
+    assert latest(held.latest(bars_of(spark, [bar(2, (1, 1)), bar(9, (1, 1))]))) == [(2.0, 3, 4)]
+    assert all("/latest/" in f for f in held.latest().inputFiles())
+    n = store.version()
+    held.insert(bars_of(spark, []), ["close", "volume"])
+    assert store.version() == n + 1 and latest(held.latest()) == [(1.0, 1, 3), (2.0, 3, 4), (3.0, 2, 2)]
+
+
+def test_latest_without_kept_maxima(store, spark):
+    """A store that was filled without them is scanned, until they are gathered; neither side overlooks the other's commit."""
+    held, order = Bars(store), ["close", "volume"]
+    store.publish([store.stage("bars", bars_of(spark, [bar(1, (1, 2)), bar(2, (1, 5))]), held.part)])
+    held.insert(bars_of(spark, [bar(1, (3, 2))]), order)
+    assert not store.parts("latest") and latest(held.latest()) == [(1.0, 3, 2), (2.0, 1, 5)]
+    assert latest(held.latest(bars_of(spark, [bar(2, (1, 1))]))) == [(2.0, 1, 5)]
+    base = store.version()
+    late = held.changes(held.stage(bars_of(spark, [bar(2, (4, 4))]), order), base)
+    held.gather()
+    with pytest.raises(Conflict):
+        store.publish(late, base)
+    held.insert(bars_of(spark, [bar(2, (4, 4))]), order)
+    assert all("/latest/" in f for f in held.latest().inputFiles()) and latest(held.latest()) == [(1.0, 3, 2), (2.0, 4, 4)]
+
+
+def test_gather_gives_way_to_commits(store, spark, monkeypatch):
+    held = Bars(store)
+    store.publish([store.stage("bars", bars_of(spark, [bar(1, (1, 2))]), held.part)])
+    real = store.stage
+
+    def meanwhile(table, *args, **kwargs):
+        if table == "latest":
+            store.publish([real("bars", bars_of(spark, [bar(1, (5, 2))]), held.part)])
+        return real(table, *args, **kwargs)
+
+    monkeypatch.setattr(store, "stage", meanwhile)
+    with pytest.raises(Conflict):
+        held.gather()
+    assert latest(held.latest()) == [(1.0, 5, 2)]
+
+
+def test_backfill_keeps_latest_bars(spark, tmp_path):
+    job, requests, arriving = made(spark, tmp_path)
+    job.run("r1", requests, arriving, NOW, most=5)
+    job.run("r2", requests, arriving, NOW + dt.timedelta(hours=2))
+    want = {r["strike"]: r["t"] for r in job.store.read("bars").groupBy("strike").agg(F.max("bar_ts").alias("t")).collect()}
+    assert {r["strike"]: r["latest"] for r in job.bars.latest().collect()} == want and len(want) == 7
+    assert all("/latest/" in f for f in job.bars.latest().inputFiles())
 
 
 def test_part_names(spark):
