@@ -78,3 +78,11 @@ def test_starting_strikes(spark):
     want = [(s, g, min((abs(k - g), k) for k in held[s])[1]) for s, g in asked if g is not None and s in held]
     assert sorted(map(tuple, got.collect())) == sorted(want)
     assert "Sort" not in planned(got)
+
+
+def test_skew_plan_is_stored(spark, data, monkeypatch):
+    """The run asks for each target's expiry once: what walks and what is told read the same stored plan."""
+    seen, real = [], select.walked_chains
+    monkeypatch.setattr(selection.P, "walked_chains", lambda targets, *a: seen.append(planned(targets)) or real(targets, *a))
+    selection.skew_snapshot(spark, data)
+    assert seen and "Window" not in seen[0]
