@@ -86,3 +86,31 @@ def test_skew_plan_is_stored(spark, data, monkeypatch):
     monkeypatch.setattr(selection.P, "walked_chains", lambda targets, *a: seen.append(planned(targets)) or real(targets, *a))
     selection.skew_snapshot(spark, data)
     assert seen and "Window" not in seen[0]
+
+
+def some(spark, seed=5):
+    r = random.Random(seed)
+    rows = [(f"S{s}", DAY, DAY, o, float(k), 100.0, r.choice([None, 0.1, 0.2, 0.3, 0.4]), r.choice([None, 1.0])) for s in range(8) for o in "CP" for k in r.sample(range(90, 111), r.randint(1, 9))]
+    q = spark.createDataFrame(rows, "symbol string, snapshot_time date, expiry date, option_type string, strike double, underlying_price double, delta double, bid double")
+    q = q.withColumns({c: F.lit(1.0) for c in ("ask", "iv_bid", "iv_ask", "gamma", "theta", "vega")})
+    t = [(f"S{s}", DAY, DAY, o, x) for s in range(9) for o in "CP" for x in (0.15, 0.3)]
+    return rows, q, t + t[:3], spark.createDataFrame(t + t[:3] + [("S1", DAY, None, "C", 0.15)], "symbol string, snapshot_time date, selected_expiry date, option_type string, target_delta double")
+
+
+def test_best_delta_from_chains(spark):
+    """Equal to comparing all quotes of a chain, each target once; the wide rows are neither joined in copies nor sorted."""
+    rows, q, asked, targets = some(spark)
+    want = {}
+    for s, _, e, o, x in asked:
+        scores = [(abs(d - x), int(b is None), abs(k - 100.0), k, d, b) for s2, _, _, o2, k, _, d, b in rows if (s2, o2) == (s, o) and d is not None]
+        want[s, e, o, x] = min(scores, key=lambda v: v[:4]) if scores else None
+    told = lambda df: {(r[0], r[2], r[3], r["target_delta"]): r["best"] and tuple(r["best"][c] for c in ("gap", "incomplete", "strike_gap", "strike", "delta", "bid")) for r in df.select(*KEY, "target_delta", "best").collect()}
+    inner, left = (select.best_delta(targets, q, ["delta", "bid"], how) for how in ("inner", "left"))
+    assert told(inner) == {k: v for k, v in want.items() if v} and inner.count() == len(told(inner))
+    assert told(left) == want | {("S1", None, "C", 0.15): None} and left.count() == len(want) + 1
+    assert "SortAggregate" not in planned(inner) and "SortMergeJoin" not in planned(inner)
+
+
+def test_best_delta_query_sorts_no_quotes(spark, data):
+    text = planned(registry.queries()["best_delta"](spark, data))
+    assert "ShuffledHashJoin" in text and not re.search(r"\bmin\(CASE", text)
