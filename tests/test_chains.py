@@ -114,3 +114,9 @@ def test_best_delta_from_chains(spark):
 def test_best_delta_query_sorts_no_quotes(spark, data):
     text = planned(registry.queries()["best_delta"](spark, data))
     assert "ShuffledHashJoin" in text and not re.search(r"\bmin\(CASE", text)
+
+
+def test_exhaustive_snapshot_copies_no_readings(spark, data):
+    """Readings come from places in chains after the choice, so no target carries those of every quote."""
+    plan = selection._best(spark, data, selection.KEEP)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" in plan and not re.search(r"\bmin\(CASE", plan) and "array_min(" in plan
