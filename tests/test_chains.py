@@ -8,8 +8,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from skewlake import fixtures
 from skewlake.operators import select, universe
-from skewlake.plans import registry, selection
+from skewlake.plans import base, registry, selection
 
 DAY, KEY = dt.date(2024, 1, 2), ["symbol", "snapshot_time", "selected_expiry", "option_type"]
 
@@ -120,3 +121,14 @@ def test_exhaustive_snapshot_copies_no_readings(spark, data):
     """Readings come from places in chains after the choice, so no target carries those of every quote."""
     plan = selection._best(spark, data, selection.KEEP)._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_set" in plan and not re.search(r"\bmin\(CASE", plan) and "array_min(" in plan
+
+
+def test_quotes_and_chains_take_one_shuffle_into_bounded_tasks(spark, data, monkeypatch):
+    """No task combines the rows of a whole file split: they are dealt by chain before, to as many tasks as their number asks for, and then lie as chains need them."""
+    monkeypatch.setattr(fixtures, "TASK_ROWS", 500)
+    chains = select.gathered(base.cleaned(spark, data), ["delta"])
+    above, below = planned(chains).split("Exchange")
+    assert "collect_list" in above and "Aggregate" not in below
+    assert chains.rdd.getNumPartitions() == -(-fixtures.table(spark, data, "lineitem").count() // 500) > 4
+    held = chains.groupBy(F.spark_partition_id()).agg(F.sum(F.size("chain")).alias("n"))
+    assert held.agg(F.max("n")).first()[0] < 1000
